@@ -13,7 +13,7 @@ from ..operators.labels import merge_groups, two_term_labels, with_fallback
 from ..operators.picks import top_terms
 from ..operators.protocol import fill_groups
 from ..operators.vectors import long_weights
-from ..session import cut, to_table
+from ..session import BROADCAST_ROWS, cut, to_table
 from .base import Answered, Backend, LabelSet
 from .lexicon import lexicon_scores
 
@@ -84,7 +84,7 @@ class OfflineBackend(Backend):
         weights = long_weights(texts, clustering.vocabulary)
         bound = len(label_set.names) * len(clustering.vocabulary.terms or [""])
         nearest = nearest_centroid(weights, cut(self._prototypes(clustering, label_set)), "label_id",
-                                   max_rows=bound if bound <= 200_000 else None)
+                                   max_rows=bound if bound <= BROADCAST_ROWS else None)
         assigned = nearest.filter(F.col("similarity") >= self.min_similarity).join(
             F.broadcast(label_set.labels), "label_id").select("row_id", F.col("label").alias("__label"))
         label = F.coalesce("__label", F.lit(label_set.fallback))
