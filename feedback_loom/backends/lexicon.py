@@ -2,10 +2,11 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.tokens import term_rows, with_tokens
+from ..functions.tokens import sql_list, term_rows, with_tokens
+from ..session import join_sized, to_table
 
 #: Lexicons up to this size are matched inside the row; larger ones are joined.
-ROW_LOCAL_TERMS = 5_000
+ROW_LOCAL_TERMS = 50_000
 
 
 def induce_lexicon(texts: DataFrame, labels: DataFrame, content_col: str = "content", row_id: str = "row_id",
@@ -45,26 +46,30 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, content_col: str = "con
                    row_id: str = "row_id", row_local_terms: int = ROW_LOCAL_TERMS) -> DataFrame:
     """Add ``score_col`` from the polarities of the distinct words of each text.
 
-    A lexicon of signs that is proven small is matched inside each row: no
-    exchange, the text is read once and passed on. A larger or weighted one is
-    joined by word; only ids and partial sums are exchanged before the scores are
-    joined back.
+    A lexicon of signs that is proven small is matched inside each row by hash
+    lookup: no exchange, the text is read once and passed on. A larger or weighted
+    one is joined by word; only ids and partial sums are exchanged before the
+    scores are joined back.
     """
     head = lexicon.select("term", F.col("polarity").cast("double").alias("polarity")).limit(row_local_terms + 1).collect()
     if len(head) <= row_local_terms and all(r.polarity in (1.0, -1.0) for r in head):
         found = {
-            sign: F.size(F.array_intersect(F.lit([r.term for r in head if r.polarity == sign] or [""]), "__tokens"))
+            sign: F.expr(f"size(filter(__tokens, w -> w IN ({sql_list([r.term for r in head if r.polarity == sign] or [''])})))")
             for sign in (1.0, -1.0)
         }
         return (
             with_tokens(texts, content_col, "__tokens")
+            .withColumn("__tokens", F.array_distinct("__tokens"))
             .withColumns({"__p": found[1.0], "__n": found[-1.0]})
-            .withColumn(score_col, balance_score(F.col("__p") - F.col("__n"), F.col("__p") + F.col("__n")))
+            # explode keeps a later filter on the score from being pushed below it, which
+            # would find the words of every text once for each mention of the score
+            .select("*", F.explode(F.array(balance_score(
+                F.col("__p") - F.col("__n"), F.col("__p") + F.col("__n")))).alias(score_col))
             .drop("__tokens", "__p", "__n")
         )
     hits = term_rows(with_tokens(texts.select(row_id, content_col), content_col), row_id, distinct=True)
     sums = (
-        hits.join(lexicon, "term")
+        join_sized(hits, to_table(lexicon, "lexicon"), on="term")
         .groupBy(row_id)
         .agg(F.sum("polarity").alias("__p"), F.sum(F.abs("polarity")).alias("__w"))
     )

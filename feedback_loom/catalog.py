@@ -27,17 +27,23 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return S.texts_from(spark.read.parquet(f"{folder}/documents.parquet"), "text", "doc_id")
 
 
+def wide_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents for word work, spread over the cores if they come in fewer splits."""
+    return S.texts_from(spark.read.parquet(f"{folder}/documents.parquet"), "text", "doc_id",
+                        spark.sparkContext.defaultParallelism)
+
+
 def polarity_labels(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet").select(
         F.col("doc_id").alias("row_id"), ((F.col("quality") == 1) & (F.col("toxic") == 0)).alias("positive"))
 
 
 def lexicon(spark: SparkSession, folder: str) -> DataFrame:
-    return induce_lexicon(documents(spark, folder), polarity_labels(spark, folder))
+    return induce_lexicon(wide_documents(spark, folder), polarity_labels(spark, folder))
 
 
 def scored(spark: SparkSession, folder: str) -> DataFrame:
-    return lexicon_scores(documents(spark, folder), lexicon(spark, folder))
+    return lexicon_scores(wide_documents(spark, folder), lexicon(spark, folder))
 
 
 def partly_scored(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,7 +62,7 @@ def source_number(source: Column) -> Column:
 
 
 def tokenised(spark: SparkSession, folder: str) -> DataFrame:
-    return with_tokens(documents(spark, folder), stop_words=S.default_stop_words())
+    return with_tokens(wide_documents(spark, folder), stop_words=S.default_stop_words())
 
 
 def weighted(spark: SparkSession, folder: str) -> tuple[DataFrame, vectors.Vocabulary]:
@@ -151,7 +157,7 @@ def read_texts_csv(spark, folder):
 
 def read_stop_words(spark, folder):
     """Words in a fifth of all texts, written one per line and read as a stop list."""
-    texts = documents(spark, folder)
+    texts = wide_documents(spark, folder)
     tokens = with_tokens(texts).select("row_id", "tokens")
     frequent = vectors.term_counts(tokens).filter(F.col("df") * 5 >= texts.count())
     path = scratch_path(spark, "stop_words")
@@ -171,7 +177,7 @@ def preview_conclusion(spark, folder):
 def analysis_outputs(spark, folder):
     """The four results are written, read back and counted."""
     path = scratch_path(spark, "results")
-    S.save_results(analyze(documents(spark, folder), OfflineBackend(lexicon(spark, folder)), max_clusters=6), path)
+    S.save_results(analyze(wide_documents(spark, folder), OfflineBackend(lexicon(spark, folder)), max_clusters=6), path)
     counted = [
         table.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("output"), "n_rows")
         for name, table in S.load_results(spark, path).items()
@@ -251,7 +257,7 @@ def all_clusters(spark, folder):
 
 def stop_word_exclusion(spark, folder):
     stop = spark.createDataFrame([(w,) for w in S.default_stop_words()], "term string")
-    spelled = with_tokens(documents(spark, folder)).select("row_id", "tokens")
+    spelled = with_tokens(wide_documents(spark, folder)).select("row_id", "tokens")
     return vectors.term_counts(spelled).join(F.broadcast(stop), "term", "left_anti").select("term", "cf")
 
 
@@ -454,7 +460,7 @@ def long_words(spark, folder):
 
 
 def words_per_text(spark, folder):
-    return term_rows(with_tokens(documents(spark, folder))).groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    return term_rows(with_tokens(wide_documents(spark, folder))).groupBy("row_id", "term").agg(F.count(F.lit(1)).alias("n"))
 
 
 def chord_distance(spark, folder):
@@ -486,6 +492,7 @@ def elbow_curve(spark, folder):
 
 def nearest_centroid(spark, folder):
     texts, vocabulary = weighted(spark, folder)
+    texts = to_table(texts.select("row_id", "source", "features"), "weighted_texts")
     means = cut(clusters.group_means(texts, vocabulary, "source"))
     bound = means.count()
     nearest = clusters.nearest_centroid(vectors.long_weights(texts, vocabulary), means, "source",
@@ -500,7 +507,7 @@ def group_keywords(spark, folder):
 
 def _given_clusters(spark, folder):
     texts, vocabulary = weighted(spark, folder)
-    texts = texts.withColumn("cluster", source_number(F.col("source")))
+    texts = to_table(texts.withColumn("cluster", source_number(F.col("source"))), "clustered_texts")
     means = to_table(clusters.group_means(texts, vocabulary, "cluster"), "centroids")
     top = texts.agg(F.max("cluster")).first()[0]
     return texts, vocabulary, means, top + 1
@@ -515,7 +522,7 @@ def group_summary(spark, folder):
 
 
 def clustered_texts(spark, folder):
-    found = clusters.cluster_texts(documents(spark, folder), stop_words=S.default_stop_words())
+    found = clusters.cluster_texts(wide_documents(spark, folder), stop_words=S.default_stop_words())
     return found.summary.select("cluster", "keywords", "comment_cnt", "comment_pct")
 
 
@@ -664,6 +671,7 @@ def label_reviews(spark, folder):
 
 def classified_by_cosine(spark, folder):
     texts, vocabulary = weighted(spark, folder)
+    texts = to_table(texts, "weighted_texts")
     means = to_table(clusters.group_means(texts, vocabulary, "lang"), "prototypes").withColumnRenamed("lang", "label")
     names = [r.lang for r in texts.select("lang").distinct().orderBy("lang").collect()]
     label_set = LabelSet(labels.with_fallback(labels.label_frame(spark, names)), [*names, A.FALLBACK_LABEL], means)
@@ -682,6 +690,7 @@ def classified_by_function(spark, folder):
 
 def typical_causes(spark, folder):
     texts, vocabulary = weighted(spark, folder)
+    texts = to_table(texts, "weighted_texts")
     means = to_table(clusters.group_means(texts, vocabulary, "source"), "centroids")
     return causes.typical_causes(texts, means, "source")
 
@@ -727,14 +736,14 @@ def answer_status(spark, folder):
 def resumed_scores(spark, folder):
     """Stored scores are kept; only rows without one are scored."""
     stored = partly_scored(spark, folder).filter(F.col("score").isNotNull()).select("row_id", "score")
-    todo = rollup.resume(documents(spark, folder), stored)
+    todo = rollup.resume(wide_documents(spark, folder), stored)
     fresh = lexicon_scores(todo, lexicon(spark, folder)).select("row_id", "score")
     return stored.withColumn("resumed", F.lit(True)).unionByName(fresh.withColumn("resumed", F.lit(False)))
 
 
 def analyze_feedback(spark, folder):
     """The whole analysis over all documents; one row per problem label."""
-    results = analyze(documents(spark, folder), OfflineBackend(lexicon(spark, folder)))
+    results = analyze(wide_documents(spark, folder), OfflineBackend(lexicon(spark, folder)))
     return results.class_summary.join(results.conclusion.select("rank", "class", "pct"), "class").select(
         "rank", "class", "count", "percentage", "pct", "score", "reasons")
 

@@ -1,7 +1,6 @@
 """Words of a text as an array column, without leaving the JVM."""
 
 import pandas as pd
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Fixed patterns: runs of two or more word characters that are not digits only,
@@ -25,6 +24,12 @@ def words(text: Column) -> Column:
     return F.when(text.rlike(f"[{HAN}]"), F.flatten(pieces)).otherwise(plain)
 
 
+def sql_list(values: list[str]) -> str:
+    """Values as a quoted SQL list; ``IN`` over it becomes one hash lookup per word."""
+    quoted = (v.replace("\\", "\\\\").replace("'", "\\'") for v in values)
+    return ", ".join(f"'{v}'" for v in quoted)
+
+
 def segmented_words(segmenter):
     """Pandas UDF around a user function ``list[str] -> list[list[str]]``."""
 
@@ -37,7 +42,6 @@ def segmented_words(segmenter):
 def with_tokens(df: DataFrame, content_col: str = "content", tokens_col: str = "tokens",
                 stop_words: list[str] | None = None, segmenter=None) -> DataFrame:
     """Add the cleaned words of ``content_col``; no stop word, one-character or all-digit word."""
-    raw = "__words"
     if segmenter is None:
         spelled = words(F.col(content_col))
     else:
@@ -45,12 +49,10 @@ def with_tokens(df: DataFrame, content_col: str = "content", tokens_col: str = "
             F.transform(segmented_words(segmenter)(F.col(content_col)), lambda w: F.lower(F.trim(w))),
             lambda w: (F.length(w) > 1) & w.rlike(r"[\p{L}\p{N}_]") & ~w.rlike(r"^[0-9]+$"),
         )
-    spelled = F.coalesce(spelled, F.array().cast("array<string>"))
-    if not stop_words:
-        return df.withColumn(tokens_col, spelled)
-    remover = StopWordsRemover(inputCol=raw, outputCol=tokens_col, stopWords=list(stop_words),
-                               caseSensitive=True)
-    return remover.transform(df.withColumn(raw, spelled)).drop(raw)
+    df = df.withColumn(tokens_col, F.coalesce(spelled, F.array().cast("array<string>")))
+    if stop_words:
+        df = df.withColumn(tokens_col, F.expr(f"filter(`{tokens_col}`, w -> w NOT IN ({sql_list(stop_words)}))"))
+    return df
 
 
 def term_rows(df: DataFrame, row_id: str = "row_id", tokens_col: str = "tokens",

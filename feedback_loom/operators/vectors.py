@@ -14,10 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 
 MAX_FEATURES = 1000
 
-_TERM_COUNTS = """inline(concat(
-    transform(tokens, t -> named_struct('term', t, 'cf', 1L, 'df', 0L)),
-    transform(array_distinct(tokens), t -> named_struct('term', t, 'cf', 0L, 'df', 1L))))"""
-
 
 @dataclass(frozen=True)
 class Vocabulary:
@@ -33,12 +29,17 @@ class Vocabulary:
 
 
 def term_counts(tokenised: DataFrame, tokens_col: str = "tokens") -> DataFrame:
-    """term, cf (occurrences) and df (texts that hold it), in one pass without a shuffle by text."""
+    """term, cf (occurrences) and df (texts that hold it), in one pass without a shuffle by text.
+
+    Each text gives its words followed by its distinct words; the place of a word
+    tells which of the two it counts for.
+    """
+    twice = F.posexplode(F.concat(F.col(tokens_col), F.array_distinct(tokens_col))).alias("place", "term")
+    occurrence = F.col("place") < F.col("n")
     return (
-        tokenised.select(F.col(tokens_col).alias("tokens"))
-        .selectExpr(_TERM_COUNTS)
+        tokenised.select(F.size(tokens_col).alias("n"), twice)
         .groupBy("term")
-        .agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
+        .agg(F.count_if(occurrence).alias("cf"), F.count_if(~occurrence).alias("df"))
     )
 
 

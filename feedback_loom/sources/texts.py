@@ -30,15 +30,21 @@ def read_texts_csv(spark: SparkSession, path: str, schema: T.StructType | str =
     )
 
 
-def texts_from(df: DataFrame, content_col: str = "content", key: str | None = None) -> DataFrame:
+def texts_from(df: DataFrame, content_col: str = "content", key: str | None = None,
+               min_partitions: int | None = None) -> DataFrame:
     """Give any frame the columns ``row_id`` and ``content`` first.
 
     With no ``key`` ids are generated and written once, so that they stay the
-    same whenever a task is run again.
+    same whenever a task is run again. ``min_partitions`` spreads a plain scan of
+    fewer splits (one small or unsplittable file) over that many tasks; a scan
+    that already has as many is left alone.
     """
     others = [c for c in df.columns if c not in (content_col, key, "row_id", "content")]
     if key is not None:
-        return df.select(F.col(key).alias("row_id"), F.col(content_col).alias("content"), *others)
+        texts = df.select(F.col(key).alias("row_id"), F.col(content_col).alias("content"), *others)
+        if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+            texts = texts.repartition(min_partitions, "row_id")
+        return texts
     numbered = df.select(F.monotonically_increasing_id().alias("row_id"),
                          F.col(content_col).alias("content"), *others)
     return to_table(numbered, "texts")
