@@ -36,7 +36,7 @@ def segmented_words(segmenter):
     def cut_batch(texts: pd.Series) -> pd.Series:
         return pd.Series(list(segmenter(texts.tolist())), dtype="object")
 
-    return F.pandas_udf(cut_batch, "array<string>", functionType=F.PandasUDFType.SCALAR)
+    return F.pandas_udf(cut_batch, "array<string>")
 
 
 def with_tokens(df: DataFrame, content_col: str = "content", tokens_col: str = "tokens",

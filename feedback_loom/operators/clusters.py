@@ -25,7 +25,7 @@ ROWS_PER_PARTITION = 100_000
 
 def partitions_for(rows: int) -> int:
     """Partition count that depends on the data alone, so that fits can be repeated."""
-    return max(min(8, -(-rows // 2_000)), -(-rows // ROWS_PER_PARTITION), 1)
+    return max(min(8, -(-rows // 1_000)), -(-rows // ROWS_PER_PARTITION), 1)
 
 
 def lay_out(vectors: DataFrame, rows: int, row_id: str = "row_id") -> DataFrame:

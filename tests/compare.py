@@ -14,7 +14,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
-def test_session() -> SparkSession:
+def local_session() -> SparkSession:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
@@ -61,7 +61,7 @@ def main() -> None:
     import __spark_entry__ as contract
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    spark, connection = test_session(), duck(folder)
+    spark, connection = local_session(), duck(folder)
     queries, oracles = contract.queries(), contract.oracle_sql()
     bad = 0
     for name in sys.argv[2:] or queries:
