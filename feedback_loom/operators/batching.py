@@ -13,19 +13,26 @@ def bucket_of(row_id: Column, buckets: int) -> Column:
     return F.pmod(digest, F.lit(buckets))
 
 
+def bucket_count(rows: int, batch_size: int) -> int:
+    return max(1, -(-rows // (batch_size * BATCHES_PER_BUCKET)))
+
+
 def assign_batches(df: DataFrame, row_id: str = "row_id", batch_size: int = DEFAULT_BATCH_SIZE,
-                   rows: int | None = None) -> DataFrame:
+                   rows: int | None = None, tasks: int | None = None) -> DataFrame:
     """Add ``bucket``, ``batch_no`` and ``pos`` (0-based place within the batch).
 
     Rows are numbered within hash buckets of about 100 batches, never globally,
     so the only exchange is by bucket and no task sees more than its buckets.
+    ``rows`` (or an upper bound) saves the count; ``tasks`` fixes the number of
+    partitions, which adaptive execution then leaves alone.
     """
     total = df.count() if rows is None else rows
-    buckets = max(1, -(-total // (batch_size * BATCHES_PER_BUCKET)))
     place = F.row_number().over(Window.partitionBy("bucket").orderBy(row_id)) - 1
+    keyed = df.withColumn("bucket", bucket_of(F.col(row_id), bucket_count(total, batch_size)))
+    if tasks is not None:
+        keyed = keyed.repartition(tasks, "bucket")
     return (
-        df.withColumn("bucket", bucket_of(F.col(row_id), buckets))
-        .withColumn("__place", place)
+        keyed.withColumn("__place", place)
         .withColumn("batch_no", F.floor(F.col("__place") / batch_size).cast("bigint"))
         .withColumn("pos", (F.col("__place") % batch_size).cast("int"))
         .drop("__place")

@@ -20,7 +20,7 @@ from .vectors import MAX_FEATURES, Vocabulary, fit_vocabulary, long_weights, tfi
 
 MAX_CLUSTERS = 20
 SEED = 1
-ROWS_PER_PARTITION = 100_000
+ROWS_PER_PARTITION = 400_000
 
 
 def partitions_for(rows: int) -> int:
@@ -49,9 +49,15 @@ def single_cluster_sse(vectors: DataFrame, features_col: str = "features") -> fl
     return float(max(0.0, (norm @ norm) - stats["count"] * (mean @ mean)))
 
 
-def distinct_vectors(vectors: DataFrame, features_col: str = "features") -> int:
-    """Number of different vectors; only hashes are compared and moved."""
-    return vectors.select(F.xxhash64(vector_to_array(features_col)).alias("h")).distinct().count()
+def distinct_vectors(vectors: DataFrame, up_to: int, features_col: str = "features") -> int:
+    """Number of different vectors, counted no further than ``up_to``.
+
+    A few rows mostly show enough of them; only otherwise are the hashes of all
+    rows compared, and nothing but hashes is moved.
+    """
+    hashes = vectors.select(F.xxhash64(vector_to_array(features_col)).alias("h"))
+    seen = hashes.limit(100 * up_to).distinct().count()
+    return min(up_to, seen if seen >= up_to else hashes.distinct().count())
 
 
 @dataclass(frozen=True)
@@ -66,12 +72,12 @@ class Sweep:
 
 
 def sweep(vectors: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED,
-          parallelism: int = 4, features_col: str = "features") -> Sweep:
+          parallelism: int = 8, features_col: str = "features") -> Sweep:
     """Fit k = 1..max_clusters on laid-out vectors; a few fits run at a time.
 
     k never exceeds the number of different vectors.
     """
-    top = max(1, min(max_clusters, distinct_vectors(vectors, features_col)))
+    top = max(1, distinct_vectors(vectors, max_clusters, features_col))
     base = KMeans(seed=seed, featuresCol=features_col, predictionCol="cluster")
 
     def fit(k: int) -> tuple[int, KMeansModel]:
@@ -203,7 +209,7 @@ class Clustering:
 def cluster_texts(texts: DataFrame, content_col: str = "content", max_clusters: int = MAX_CLUSTERS,
                   score_col: str | None = None, row_id: str = "row_id", stop_words: list[str] | None = None,
                   segmenter=None, max_features: int = MAX_FEATURES, seed: int = SEED,
-                  parallelism: int = 4) -> Clustering:
+                  parallelism: int = 8) -> Clustering:
     """Tokenise, weigh, sweep, pick k by elbow, assign and summarise.
 
     Whole texts are read for their words, for the annotation and for the few sample

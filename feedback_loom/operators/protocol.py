@@ -8,11 +8,11 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import answers as A
 from ..session import to_table
-from .batching import DEFAULT_BATCH_SIZE, assign_batches
+from .batching import DEFAULT_BATCH_SIZE, assign_batches, bucket_count
 
 # What a repeated prompt says about the fault of the answer before.
 NOTES = {
@@ -77,26 +77,40 @@ def write_back(checked: DataFrame, row_ids_col: str = "row_ids", row_id: str = "
     )
 
 
-def _batched_rows(pending: DataFrame, row_id: str, batch_size: int) -> DataFrame:
-    """One row per batch with its rows in key order and its prompt."""
+def call_tasks(spark: SparkSession) -> int:
+    """Tasks of a calling stage: enough to keep every core waiting for an answer."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _batched_rows(pending: DataFrame, row_id: str, content_col: str, batch_size: int, rows: int) -> DataFrame:
+    """One row per batch with its rows in key order and its prompt.
+
+    Calls are slow and small, so their tasks are never merged: the exchange by
+    bucket has a fixed number of partitions. With fewer buckets than tasks (little
+    text, then) the finished batches are spread instead.
+    """
+    tasks = call_tasks(pending.sparkSession)
+    enough = bucket_count(rows, batch_size) >= tasks
 
     def by_key(a: Column, b: Column) -> Column:
         return F.when(a["row_id"] < b["row_id"], -1).when(a["row_id"] > b["row_id"], 1).otherwise(0)
 
-    keyed = assign_batches(pending, row_id, batch_size)
+    keyed = assign_batches(pending, row_id, batch_size, rows, tasks if enough else None)
     grouped = keyed.groupBy("bucket", "batch_no").agg(
         F.count(F.lit(1)).cast("int").alias("n"),
         F.array_sort(
-            F.collect_list(F.struct(F.col(row_id).alias("row_id"), "payload", "body")), by_key
+            F.collect_list(F.struct(F.col(row_id).alias("row_id"), "payload")), by_key
         ).alias("members"),
         F.array_sort(F.collect_set("note")).alias("notes"),
     )
-    body = F.array_join(F.col("members.body"), A.ITEM_SEP)
-    return grouped.select(
+    texts = F.transform("members", lambda m: A.without_delimiters(m["payload"][content_col]))
+    body = F.array_join(texts, A.ITEM_SEP)
+    batches = grouped.select(
         "n",
         F.transform("members", lambda m: m["payload"]).alias("payloads"),
         F.concat_ws("\n\n", "notes", body).alias("prompt"),
     )
+    return batches if enough else batches.repartition(tasks)
 
 
 def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTask, ask: Ask,
@@ -119,12 +133,12 @@ def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTa
     pending = todo.filter(usable).select(
         row_id,
         F.struct(*typed).alias("payload"),
-        A.without_delimiters(F.col(content_col)).alias("body"),
         F.lit(None).cast("string").alias("note"),
     )
     failed = None
+    rows = todo.count()  # reads no text
     for turn, size in enumerate(halving_sizes(batch_size)):
-        batches = _batched_rows(pending, row_id, size)
+        batches = _batched_rows(pending, row_id, content_col, size, rows)
         asked = batches.select("n", "payloads", ask(F.col("prompt")).alias("response"))
         written = to_table(asked, f"answers_{turn}")
         checked = checked_items(written, task.check)
@@ -133,14 +147,14 @@ def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTa
             .select("items", F.posexplode("payloads").alias("pos", "payload"))
             .select("payload.*", F.get("items", F.col("pos")).cast(task.value_type).alias(result_col))
         )
-        failed = checked.filter(F.col("status") != A.OK).select(
-            "status", "response", F.explode("payloads").alias("payload"))
-        if failed.isEmpty():
+        invalid = checked.filter(F.col("status") != A.OK)
+        failed = invalid.select("status", "response", F.explode("payloads").alias("payload"))
+        rows = invalid.agg(F.sum("n")).first()[0]
+        if not rows:
             break
         pending = failed.select(
             F.col(f"payload.{row_id}").alias(row_id),
             "payload",
-            A.without_delimiters(F.col(f"payload.{content_col}")).alias("body"),
             note_for(F.col("status"), task.notes).alias("note"),
         )
     empty = F.lit(None).cast(task.value_type).alias(result_col)
@@ -148,8 +162,7 @@ def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTa
         blank.select(*columns, F.lit("blank_text").alias("status"), F.lit(None).cast("string").alias("response")))
     done.append(quarantine.select(*columns, empty))
     wanted = [F.col(c) for c in columns] + [F.col(result_col).cast(task.value_type).alias(result_col)]
-    rows = reduce(DataFrame.unionByName, [part.select(*wanted) for part in done])
-    return rows, quarantine
+    return reduce(DataFrame.unionByName, [part.select(*wanted) for part in done]), quarantine
 
 
 def annotate_groups(groups: DataFrame, key: str, task: GroupTask, ask: Ask, max_attempts: int = 4):

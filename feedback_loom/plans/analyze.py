@@ -99,7 +99,7 @@ def choose_labels(backend: Backend, clustering: Clustering, summary: DataFrame,
 def analyze(df: DataFrame, backend: Backend, batch_size: int = 30, content_col: str = "content",
             score_col: str = "score", max_clusters: int = MAX_CLUSTERS, class_col: str = "class",
             reviews: DataFrame | None = None, stop_words: list[str] | None = None, segmenter=None,
-            negative_up_to: float = NEGATIVE_UP_TO, parallelism: int = 4) -> Results:
+            negative_up_to: float = NEGATIVE_UP_TO, parallelism: int = 8) -> Results:
     """Score, keep negatives, cluster, label, classify, summarise and conclude.
 
     ``df`` has a unique ``row_id`` (see ``sources.texts_from``) and the text column.
