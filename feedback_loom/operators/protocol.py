@@ -140,8 +140,8 @@ def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTa
     for turn, size in enumerate(halving_sizes(batch_size)):
         batches = _batched_rows(pending, row_id, content_col, size, rows)
         asked = batches.select("n", "payloads", ask(F.col("prompt")).alias("response"))
-        written = to_table(asked, f"answers_{turn}")
-        checked = checked_items(written, task.check)
+        # the check is written with the answer, so later reads filter on a stored column
+        checked = to_table(checked_items(asked, task.check), f"answers_{turn}")
         done.append(
             checked.filter(F.col("status") == A.OK)
             .select("items", F.posexplode("payloads").alias("pos", "payload"))
@@ -174,8 +174,7 @@ def annotate_groups(groups: DataFrame, key: str, task: GroupTask, ask: Ask, max_
     done, failed = [], None
     for attempt in range(max_attempts):
         asked = pending.select(key, "body", ask(F.concat_ws("\n\n", "note", "body")).alias("response"))
-        written = to_table(asked, f"group_answers_{attempt}")
-        checked = written.withColumn("status", task.check(F.col("response")))
+        checked = to_table(asked.withColumn("status", task.check(F.col("response"))), f"group_answers_{attempt}")
         done.append(checked.filter(F.col("status") == A.OK).select(
             key, *[parse(F.col("response")).alias(name) for name, parse in task.parse.items()]))
         failed = checked.filter(F.col("status") != A.OK)
