@@ -15,7 +15,7 @@ from .functions import answers as A, columns as C
 from .functions.tokens import term_rows, with_tokens
 from .operators import batching, causes, clusters, conclusion, labels, picks, protocol, rollup, vectors
 from .plans import analyze
-from .session import BROADCAST_ROWS, cut, scratch_path, to_table
+from .session import BROADCAST_ROWS, cut, join_sized, scratch_path, to_table
 from .sources import texts as S
 
 EXTRA_CLUSTERS = 5
@@ -111,8 +111,8 @@ def group_answers(spark: SparkSession, folder: str) -> DataFrame:
     facts = documents(spark, folder).groupBy("source").agg(
         F.count(F.lit(1)).cast("string").alias("c"), F.max("n_chars").cast("string").alias("m"),
         F.min("lang").alias("a"), F.max("lang").alias("z"))
-    issues = F.concat(F.lit("体验问题：1."), "a", F.lit("<sep0>2."), "z")
-    reasons = F.concat(F.lit("推理原因：1."), "c", F.lit("<sep0>2."), "m")
+    issues = F.concat(F.lit(f"{A.ISSUES_HEADING}{A.HEADING_COLON}1."), "a", F.lit("<sep0>2."), "z")
+    reasons = F.concat(F.lit(f"{A.REASONS_HEADING}{A.HEADING_COLON}1."), "c", F.lit("<sep0>2."), "m")
     number = source_number(F.col("source"))
     response = (
         F.when(number % 7 == 3, issues)
@@ -262,10 +262,10 @@ def stop_word_exclusion(spark, folder):
 
 
 def label_membership(spark, folder):
-    allowed = documents(spark, folder).select("source").distinct()
+    allowed = cut(documents(spark, folder).select("source").distinct())
     items = label_answers(spark, folder).select(
         "bucket", "batch_no", F.explode(A.split_items(F.col("response"))).alias("source"))
-    misses = items.join(allowed, "source", "left_anti").groupBy("bucket", "batch_no").agg(F.count(F.lit(1)).alias("misses"))
+    misses = join_sized(items, allowed, "source", "left_anti").groupBy("bucket", "batch_no").agg(F.count(F.lit(1)).alias("misses"))
     return label_answers(spark, folder).select("bucket", "batch_no").join(misses, ["bucket", "batch_no"], "left").select(
         "bucket", "batch_no", F.coalesce("misses", F.lit(0).cast("bigint")).alias("misses"))
 
@@ -595,7 +595,8 @@ def length_labeller(names):
 
 def length_describer():
     """A stand-in model for groups; it leaves out a heading until a note asks for it."""
-    note = protocol.NOTES["omitted"]
+    note = protocol.NOTES[A.OMITTED]
+    issues, reasons = A.ISSUES_HEADING + A.HEADING_COLON, A.REASONS_HEADING + A.HEADING_COLON
 
     def reply(instruction, prompts):
         out = []
@@ -605,7 +606,7 @@ def length_describer():
             if not noted and len(body) % 2:
                 out.append("no heading")
             else:
-                out.append(f"体验问题：1.chars {len(body)}<sep0>2.lines<sep1>推理原因：1.length<sep0>2.{body.count(chr(10)) + 1}")
+                out.append(f"{issues}1.chars {len(body)}<sep0>2.lines<sep1>{reasons}1.length<sep0>2.{body.count(chr(10)) + 1}")
         return out
 
     return reply
@@ -696,8 +697,10 @@ def typical_causes(spark, folder):
 
 
 def explained_by_function(spark, folder):
+    heading = A.REASONS_HEADING + A.HEADING_COLON
+
     def reply(instruction, prompts):
-        return [f"So: 推理原因：1.{len(p)} characters<sep>2.of text " for p in prompts]
+        return [f"So: {heading}1.{len(p)} characters<sep>2.of text " for p in prompts]
 
     texts = documents(spark, folder).withColumnRenamed("lang", "class")
     summary = rollup.class_summary(texts, "class")

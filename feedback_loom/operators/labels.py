@@ -1,11 +1,11 @@
 """Label sets: proposing from clusters, merging, reviewing."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import answers as A
 
 #: A label set comes from a handful of clusters; more than this is a misuse.
-MAX_GROUPS = 1_000
+MAX_GROUPS = 200
 
 
 def with_fallback(labels: DataFrame, fallback: str = A.FALLBACK_LABEL) -> DataFrame:
@@ -81,8 +81,6 @@ def two_term_labels(top: DataFrame, merged: DataFrame, key: str) -> DataFrame:
         .withColumnRenamed(key, "merged")
     )
     distinct = named.join(merged.select("merged").distinct(), "merged").groupBy("label").agg(F.min("merged").alias("first"))
-    from pyspark.sql import Window
-
     numbered = distinct.select(
         "label", F.row_number().over(Window.partitionBy().orderBy("first")).alias("label_id"))
     return merged.join(named, "merged").join(numbered, "label").select(key, "label_id", "label")

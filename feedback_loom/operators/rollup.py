@@ -1,6 +1,6 @@
 """Counts, shares and means per group; pending counts."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.columns import as_double, is_pending
 
@@ -60,8 +60,6 @@ def merge_results(df: DataFrame, stored: DataFrame, result_col: str, row_id: str
 
 def observed_progress(df: DataFrame, result_col: str, name: str = "progress"):
     """(frame, observation): counts that fill in while another action runs."""
-    from pyspark.sql import Observation
-
     seen = Observation(name)
     pending: Column = is_pending(F.col(result_col))
     return df.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(pending).alias("pending")), seen
