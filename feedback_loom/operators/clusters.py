@@ -24,8 +24,11 @@ ROWS_PER_PARTITION = 400_000
 
 
 def partitions_for(rows: int) -> int:
-    """Partition count that depends on the data alone, so that fits can be repeated."""
-    return max(min(8, -(-rows // 1_000)), -(-rows // ROWS_PER_PARTITION), 1)
+    """Partition count that depends on the data alone, so that fits can be repeated.
+
+    Several fits run at a time, so few rows need few partitions each.
+    """
+    return max(min(8, -(-rows // 5_000)), -(-rows // ROWS_PER_PARTITION), 1)
 
 
 def lay_out(vectors: DataFrame, rows: int, row_id: str = "row_id") -> DataFrame:
