@@ -8,22 +8,18 @@ from __future__ import annotations
 
 import re
 from pathlib import Path
-from zipfile import ZipFile
 
+STOP_WORDS = Path(__file__).resolve().parent / "feedback_loom" / "sources" / "stop_words"
 LANGUAGES = ("english", "french", "german", "spanish")
 ISSUES, REASONS, COLON, FALLBACK = "体验问题", "推理原因", "：", "其他问题"
 
 
 def stop_words() -> list[str]:
-    """The public stop word lists inside Spark's own MLlib jar."""
-    import pyspark
-
-    jar = next((Path(pyspark.__file__).parent / "jars").glob("spark-mllib_*.jar"))
+    """The public stop word lists kept beside the library, as ``default_stop_words`` gives them."""
     found: set[str] = set()
-    with ZipFile(jar) as archive:
-        for language in LANGUAGES:
-            text = archive.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-            found.update(line.strip().lower() for line in text.splitlines() if line.strip())
+    for language in LANGUAGES:
+        lines = (STOP_WORDS / f"{language}.txt").read_text(encoding="utf-8").splitlines()
+        found.update(line.strip().lower() for line in lines if line.strip() and not line.startswith("#"))
     return sorted(found)
 
 
@@ -351,13 +347,14 @@ QUERIES = {
 def sql(name: str) -> str:
     """A query with the shared expressions it uses, each once and in order."""
     body = QUERIES[name]
-    texts = {part: (text() if callable(text) else text) for part, text in PARTS.items()}
+    texts: dict[str, str] = {}
     needed: set[str] = set()
 
     def collect(text: str) -> None:
         for part in PARTS:
             if part not in needed and re.search(rf"\b{part}\b", text):
                 needed.add(part)
+                texts[part] = PARTS[part]() if callable(PARTS[part]) else PARTS[part]
                 collect(texts[part].split(" AS ", 1)[1])
 
     collect(body)
