@@ -6,6 +6,7 @@
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -29,6 +30,7 @@ def main() -> None:
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
         "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="feedback_loom-bench-"),
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     })

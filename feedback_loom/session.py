@@ -5,7 +5,6 @@ by many fits) is written to the folder the cluster names in
 ``spark.checkpoint.dir``, so it survives the loss of any executor.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -35,18 +34,23 @@ def build_session(app_name: str = "feedback_loom", master: str | None = None, **
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for written tables and checkpoints."""
+    """The shared folder for written tables and checkpoints: ``spark.checkpoint.dir`` or what ``use_scratch`` set."""
     context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="feedback_loom-")
-    if not context.getCheckpointDir():
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root and not context.getCheckpointDir():
         context.setCheckpointDir(root)
+    root = root or context.getCheckpointDir()
+    if not root:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and every executor can reach")
     return root.rstrip("/")
 
 
+def use_scratch(spark: SparkSession, path: str) -> None:
+    """Take ``path`` for written tables and checkpoints where the session names no folder of its own."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{scratch_root(spark)}/feedback_loom/{uuid.uuid4().hex}/{name}"

@@ -1,6 +1,7 @@
 """Run queries against their SQL: ``python tests/compare.py [folder] [name ...]``."""
 
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -22,6 +23,7 @@ def local_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="feedback_loom-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
