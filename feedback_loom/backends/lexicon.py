@@ -8,9 +8,6 @@ from ..session import join_sized, to_table
 #: Lexicons up to this size are matched inside the row; larger ones are joined.
 ROW_LOCAL_TERMS = 50_000
 
-#: Up to this many labels (key and flag) go to the texts by broadcast, about 40 MB.
-LABEL_ROWS = 2_000_000
-
 
 def induce_lexicon(texts: DataFrame, labels: DataFrame, content_col: str = "content", row_id: str = "row_id",
                    min_texts: int = 5, min_log_odds: float = 0.5) -> DataFrame:
@@ -20,7 +17,7 @@ def induce_lexicon(texts: DataFrame, labels: DataFrame, content_col: str = "cont
     polarity. Words in few labelled texts or with weak odds are left out.
     """
     known = labels.filter(F.col("positive").isNotNull()).select(row_id, "positive")
-    labelled = join_sized(texts.select(row_id, content_col), known, row_id, max_rows=LABEL_ROWS)
+    labelled = join_sized(texts.select(row_id, content_col), known, row_id)
     spelled = with_tokens(labelled, content_col).select(row_id, "positive", "tokens")
     sizes = spelled.agg(
         F.count_if(F.col("positive")).alias("P"), F.count_if(~F.col("positive")).alias("N")).first()

@@ -9,7 +9,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Most rows a side may have before it is joined by shuffle instead of broadcast.
+#: Most bytes (rows written as JSON) a side may have before it is joined by shuffle instead of broadcast.
+BROADCAST_BYTES = 32 << 20
+#: Most rows of a label-by-vocabulary table that goes to every task; a row has a bounded key and two numbers.
 BROADCAST_ROWS = 200_000
 
 
@@ -78,12 +80,13 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def join_sized(left: DataFrame, right: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a written or cached ``right``; broadcast only if it is proven small.
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join a written or cached ``right``; broadcast only if its rows are proven small.
 
-    ``right`` should be cheap to scan, as its rows are counted first. A larger
+    ``right`` should be cheap to scan, as its bytes are summed first. A larger
     side is joined by shuffle under the adaptive skew rules.
     """
-    if right.limit(max_rows + 1).count() <= max_rows:
+    size = right.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).agg(F.sum("n")).first()[0] or 0
+    if size <= max_bytes:
         right = F.broadcast(right)
     return left.join(right, on=on, how=how)
