@@ -2,17 +2,46 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import line_dedup, minhash, url_filters
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without the blocks of lines that an earlier document holds."""
+    done = line_dedup.deduplicated(table(spark, folder, "documents"))
+    return done.select("doc_id", "text", "n_removed", "removed_spans")
+
+
+URL_RULES = """VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')"""
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, longest fitting rule and verdict of every page."""
+    rules = spark.sql(f"SELECT * FROM {URL_RULES} AS rules(host, path, verdict)")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return url_filters.judged(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Components of near-duplicate documents over shingles of four words at 0.8."""
     return minhash.near_duplicates(table(spark, folder, "documents"), k=4)
 
 
-QUERIES = {f.__name__: f for f in (op6_minhash_near_dedup,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_url_filters, op6_minhash_near_dedup)}
+ORACLES: dict[str, str] = {
+    "op5_url_filters": f"""
+        WITH rules(rh, rp, verdict) AS ({URL_RULES}),
+        urls AS (SELECT page_id,
+                translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+        best AS (SELECT host, path, arg_max({{'rule': rh || rp, 'verdict': verdict}}, length(rh || rp)) AS best
+            FROM (SELECT DISTINCT host, path FROM urls), rules
+            WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY host, path)
+        SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
+        FROM urls LEFT JOIN best USING (host, path)""",
+}
