@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, minhash, url_filters
+from . import decontaminate, license_scan, line_dedup, minhash, url_filters
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,7 +31,20 @@ def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), k=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_url_filters, op6_minhash_near_dedup)}
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents, with the best window of each."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and templates found in every document."""
+    return license_scan.scanned(table(spark, folder, "documents")).drop("places")
+
+
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
+                                  op9_license_scans)}
+LICENSE_WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
+
 ORACLES: dict[str, str] = {
     "op5_url_filters": f"""
         WITH rules(rh, rp, verdict) AS ({URL_RULES}),
