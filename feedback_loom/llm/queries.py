@@ -1,8 +1,9 @@
 """One query per operator, over whole tables and with production parameters."""
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, license_scan, line_dedup, minhash, url_filters
+from . import decontaminate, embed_dedup, license_scan, line_dedup, minhash, token_counts, url_filters
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -15,6 +16,12 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", "n_removed", "removed_spans")
 
 
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every line of every document, from one encoding of the whole text."""
+    return token_counts.section_tokens(table(spark, folder, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"),
+                                       tokenizers.PATTERN)
+
+
 URL_RULES = """VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
     ('net', '/es/', 'block'), ('net', '/fr/', 'block')"""
 
@@ -36,13 +43,18 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.95."""
+    return embed_dedup.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and templates found in every document."""
     return license_scan.scanned(table(spark, folder, "documents")).drop("places")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
-                                  op9_license_scans)}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_token_counts, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
+                                  op8_embedding_near_dedup, op9_license_scans)}
 LICENSE_WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
 
 ORACLES: dict[str, str] = {
