@@ -1,21 +1,36 @@
 """One query per operator, over whole tables and with production parameters."""
 
 import public_tokenizers as tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontaminate, embed_dedup, license_scan, line_dedup, minhash, token_counts, url_filters
+from . import decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, token_counts, url_filters
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def remainder(n: int) -> Column:
+    """crc32 of the document's id as text, modulo ``n``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without the blocks of lines that an earlier document holds."""
     done = line_dedup.deduplicated(table(spark, folder, "documents"))
     return done.select("doc_id", "text", "n_removed", "removed_spans")
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of all documents under word counts and the pair model of six sevenths of them."""
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(remainder(7) == 2, F.lit(False))
+    model = lm_scoring.trained(docs.where(~held_out))
+    found = lm_scoring.scored(docs, model, extra={"held_out": held_out})
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                        "base_score", "score")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every line of every document, from one encoding of the whole text."""
     return token_counts.section_tokens(table(spark, folder, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"),
@@ -53,7 +68,7 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(table(spark, folder, "documents")).drop("places")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op4_token_counts, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
                                   op8_embedding_near_dedup, op9_license_scans)}
 LICENSE_WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
 
