@@ -7,21 +7,26 @@ gets another one), which lowers the variance against independent hashes, and the
 ranks still to come cannot win once every slot holds a smaller rank: the signature
 stops early, after one rank for long documents.
 
-Banding proposes pairs, exact Jaccard similarity on full shingle sets confirms them.
-With 32 bands of 4 slots a pair at 0.8 shares no band with probability 5e-8.
+Banding proposes pairs, whole signatures drop those far below the threshold, exact
+Jaccard similarity on full shingle sets confirms the rest. With 32 bands of 5 slots a pair
+at 0.8 shares no band with probability 3e-6, and 160 slots estimate it below 0.66 as rarely.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import cut, to_table
+from ..session import cut, join_sized, to_table
 from .components import components
 from .words import Words, mix, over_texts, shingles_of, signed
 
-SLOTS, BAND_ROWS = 128, 4
+SLOTS, BAND_ROWS = 160, 5
+#: Standard errors by which an estimate may fall short of the threshold.
+ERRORS = 4.5
+#: Members of a bucket that are compared at once.
+BLOCK = 1024
 FRACTION = np.float64(2.0 ** -53)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,29 +78,30 @@ def _described(k: int, slots: int, rows: int):
         for runs in shingles_of(words, k):
             elements = np.unique(runs)
             if not len(elements):
-                yield 0, 0, 0, None
+                yield 0, 0, 0, None, None
                 continue
             one, two = mix(elements).sum(), mix(elements ^ STEP).sum()
-            yield len(elements), *signed(np.array([one, two])).tolist(), signed(bands(signature(elements, slots), rows))
+            sign = signature(elements, slots)
+            short = (mix(sign.view(np.uint64)) & np.uint64(0xFF)).astype(np.uint8)
+            yield (len(elements), *signed(np.array([one, two])).tolist(), signed(bands(sign, rows)), short.tobytes())
     return each
 
 
 def described(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, slots: int = SLOTS,
               rows: int = BAND_ROWS) -> DataFrame:
-    """``(key, n_shingles, set_a, set_b, bands)``: set size, 128-bit hash of the set and band keys of each row."""
-    schema = f"{key} long, n_shingles long, set_a long, set_b long, bands array<long>"
+    """Set size, 128-bit hash of the set, band keys and one byte per signature slot of each row."""
+    names = [key, "n_shingles", "set_a", "set_b", "bands", "signature"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
     each = _described(k, slots, rows)
 
     def run(batches):
         for batch in batches:
-            found = over_texts(batch.column(1), each)
-            n, a, b, keys = zip(*found) if found else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(a, pa.int64()),
-                pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-            ], names=[key, "n_shingles", "set_a", "set_b", "bands"])
+            columns = list(zip(*over_texts(batch.column(1), each))) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], names=names)
 
-    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(
+        run, f"{key} long, n_shingles long, set_a long, set_b long, bands array<long>, signature binary")
 
 
 def shingle_sets(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
@@ -131,14 +137,54 @@ def _similar(percent: int):
 
 def verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, k: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that are similar on full sets; only texts of paired documents are read again."""
-    ids = pairs.select("a").union(pairs.select("b")).distinct()
-    wanted = docs.join(ids.withColumnRenamed("a", key), key, "left_semi")
-    sets = to_table(shingle_sets(wanted, text, key, k), "shingle_sets")
+    ids = cut(pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct())
+    sets = to_table(shingle_sets(join_sized(docs, ids, key, "left_semi"), text, key, k), "shingle_sets")
     both = (pairs.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
             .select("a", "b", "of_a", "of_b"))
     return both.mapInArrow(_similar(percent), "a long, b long").distinct()
 
 
+def _estimated(least: float):
+    """Keep the pairs whose signatures agree in enough slots."""
+    def run(batches):
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+                        for i in (2, 3)) if batch.num_rows else (np.zeros((0, 1)),) * 2
+            yield batch.select([0, 1]).filter(pa.array((one == two).mean(axis=1) >= least))
+    return run
+
+
+def _block(members: list[dict]) -> tuple:
+    return (np.array([m["id"] for m in members], np.int64), np.array([m["component"] for m in members], np.int64),
+            np.array([m["size"] for m in members], np.int64),
+            np.frombuffer(b"".join(m["signature"] for m in members), np.uint8).reshape(len(members), -1),
+            np.array([m["bands"] for m in members], np.int64))
+
+
+def _between(least: float, percent: int):
+    """Pairs of two blocks of a bucket that lie in different components and may be similar.
+
+    A pair that shares several buckets is left to the first of them, so it comes once.
+    """
+    def run(batches):
+        for batch in batches:
+            found_a, found_b = [], []
+            for row in range(batch.num_rows):
+                bucket, one, two = (batch.column(i)[row].as_py() for i in range(3))
+                a, b = _block(one), _block(two)
+                for i in range(len(a[0])):
+                    size = a[2][i]
+                    at = np.flatnonzero((a[1][i] != b[1]) & (a[0][i] < b[0])
+                                        & (100 * np.minimum(size, b[2]) >= percent * np.maximum(size, b[2])))
+                    at = at[(b[3][at] == a[3][i]).mean(axis=1) >= least]
+                    shared = b[4][at] == a[4][i]
+                    at = at[a[4][i][shared.argmax(axis=1)] == bucket] if len(at) else at
+                    found_a.extend([int(a[0][i])] * len(at))
+                    found_b.extend(b[0][at].tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+    return run
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80,
                     slots: int = SLOTS, rows: int = BAND_ROWS) -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for each row of ``docs``.
@@ -150,61 +196,51 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     empty table gives an empty result.
 
     Equal sets are grouped by their hash and go on as one row each. Within a bucket of a
-    band, all members are compared with the bucket's smallest; buckets whose members lie in
-    more than one component then take further pivots, twice as many in each round, until
-    nothing is left to compare. So no bucket is expanded into all its pairs, none is capped,
-    and no link between different components of it is lost.
+    band, all members are compared with the bucket's smallest. Buckets whose members then lie in
+    more than one component are cut into blocks, and the blocks are compared with one another,
+    members of one component excepted. So no bucket is capped or collected, no
+    bucket hands out all its pairs, and no link between components is lost.
     """
+    similar = percent / 100
+    least = similar - ERRORS * (similar * (1 - similar) / slots) ** 0.5
     rows_of = to_table(described(docs, text, key, k, slots, rows), "signatures")
     known = rows_of.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
-    groups = cut(known.groupBy("set_a", "set_b").agg(
-        F.min(key).alias("id"), F.max(key).alias("last"), F.first("n_shingles").alias("size"),
-        F.min_by("bands", key).alias("bands")))
-    members = cut(groups.select("id", "size", F.explode("bands").alias("bucket")).distinct())
-    shared = members.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = shared.where("low < high").select("bucket", F.col("low").alias("pivot"))
-    left = cut(members.join(shared, "bucket").where("id <> pivot"))
-    close = (100 * F.least("size", "size_a") >= percent * F.greatest("size", "size_a"))
-    sizes = groups.select(F.col("id").alias("a"), F.col("size").alias("size_a"))
-    pairs = left.select(F.col("pivot").alias("a"), F.col("id").alias("b"), "size").distinct()
-    pairs = cut(pairs.join(sizes, "a").where(close).select("a", "b").distinct())
-    equal = known.join(groups.where("id < last").select("set_a", "set_b", "id"), ["set_a", "set_b"])
-    links = cut(equal.select(F.col("id").alias("a"), F.col(key).alias("b")).where("a <> b")
-                .union(verified(pairs, docs, text, key, k, percent)))
+    groups = known.groupBy("set_a", "set_b").agg(F.min(key).alias("id"), F.max(key).alias("last"))
+    groups = cut(groups.where("id < last").select("set_a", "set_b", "id"))
+    equal = cut(join_sized(known.select(key, "set_a", "set_b"), groups, ["set_a", "set_b"])
+                .where(F.col("id") != F.col(key)).select(F.col("id").alias("a"), F.col(key).alias("b")).distinct())
+    first = join_sized(known, equal.select(F.col("b").alias(key)), key, "left_anti").select(
+        F.col(key).alias("id"), F.col("n_shingles").alias("size"), "bands", "signature")
+    members = first.select("id", F.explode("bands").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last"))
+    shared = cut(shared.where("a < last").select("bucket", "a"))
+    placed = cut(join_sized(members, shared, "bucket").select("bucket", "a", "id"))
+    pairs = placed.where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    signs = first.select("id", "signature")
+    pairs = cut(pairs.join(signs.toDF("a", "of_a"), "a").join(signs.toDF("b", "of_b"), "b")
+                .select("a", "b", "of_a", "of_b").mapInArrow(_estimated(least), "a long, b long"))
+    links = cut(equal.union(verified(pairs, docs, text, key, k, percent)))
     found = components(links)
-    open_rows, taken = left.select("bucket", "id", "size"), 1
-    while True:
-        placed = (open_rows.join(found, "id", "left")
-                  .select("bucket", "id", "size", F.coalesce("component", "id").alias("component")))
-        mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        placed = cut(placed.join(mixed.where("low < high").select("bucket"), "bucket", "left_semi"))
-        if placed.isEmpty():
-            break
-        ranked = _ranked(placed)
-        pivots = ranked.where(F.col("rank") <= taken)
-        pivots = pivots.select("bucket", F.col("id").alias("a"), F.col("size").alias("size_a"),
-                               F.col("component").alias("other"))
-        pairs = cut(ranked.join(pivots, "bucket").where(close & (F.col("component") != F.col("other")))
-                    .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        more = cut(verified(pairs, docs, text, key, k, percent))
-        if not more.isEmpty():
-            links = cut(links.union(more))
-            found = components(links)
-        open_rows = cut(ranked.where(F.col("rank") > taken).select("bucket", "id", "size"))
-        taken *= 2
-    placed = rows_of.select(key, "n_shingles").join(found.withColumnRenamed("id", key), key, "left")
+
+    own = F.coalesce("component", "id").alias("component")
+    placed = placed.join(found, "id", "left").select("bucket", "id", own)
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    placed = placed.join(mixed.where("low < high").select("bucket"), "bucket", "left_semi")
+    placed = placed.join(first, "id").withColumn(
+        "block", F.floor(F.row_number().over(Window.partitionBy("bucket").orderBy("id")) / BLOCK))
+    blocks = to_table(placed.groupBy("bucket", "block").agg(
+        F.collect_list(F.struct("id", "component", "size", "signature", "bands")).alias("members")), "blocks")
+    both = (blocks.toDF("bucket", "one", "a").join(blocks.toDF("bucket", "two", "b"), "bucket").where("one <= two")
+            .select("bucket", "a", "b"))
+    more = cut(verified(cut(both.mapInArrow(_between(least, percent), "a long, b long")), docs, text, key, k, percent))
+    if not more.isEmpty():
+        found = components(links.union(more))
+    judged = rows_of.select(key, "n_shingles").join(found.withColumnRenamed("id", key), key, "left")
     component = F.coalesce("component", key)
-    return placed.select(key, "n_shingles", component.alias("component_id"),
+    return judged.select(key, "n_shingles", component.alias("component_id"),
                          F.coalesce(component == F.col(key), F.lit(True)).alias("kept"))
 
 
-def _ranked(placed: DataFrame) -> DataFrame:
-    """Number the rows of each bucket in order of id."""
-    from pyspark.sql import Window
-
-    return placed.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("id")))
-
-
 def without_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5,
                             percent: int = 80) -> DataFrame:
     """The rows whose key stands for its group; of rows that repeat a key, one. All columns stay."""

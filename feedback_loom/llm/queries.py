@@ -3,7 +3,7 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, token_counts, url_filters
+from . import decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, token_counts, toxicity, url_filters
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,15 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", "n_removed", "removed_spans")
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of all documents by a model of the labelled ones that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    model = toxicity.trained(docs.where(~held_out), table(spark, folder, "labels").where(remainder(5) != 0))
+    found = toxicity.scored(docs.withColumn("held_out", held_out), model)
+    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log probabilities of all documents under word counts and the pair model of six sevenths of them."""
     docs = table(spark, folder, "documents")
@@ -68,7 +77,7 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(table(spark, folder, "documents")).drop("places")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
                                   op8_embedding_near_dedup, op9_license_scans)}
 LICENSE_WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
 
