@@ -3,7 +3,10 @@
 import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, token_counts, toxicity, url_filters
+from . import (
+    decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, sentencepiece_codec, token_counts, toxicity,
+    url_filters,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,9 +80,18 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scanned(table(spark, folder, "documents")).drop("places")
 
 
-QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_toxicity, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup, op7_benchmark_decontamination,
-                                  op8_embedding_near_dedup, op9_license_scans)}
-LICENSE_WORD = r"[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+"
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding gives the text again."""
+    path = tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = sentencepiece_codec.decoded(sentencepiece_codec.encoded(docs, path), path)
+    return found.select("doc_id", "ids", F.size("ids").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_line_dedup, op2_toxicity, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup,
+    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece,
+)}
 
 ORACLES: dict[str, str] = {
     "op5_url_filters": f"""
