@@ -14,7 +14,7 @@ counts are exact, kept as sorted hashes.
 Both word counts and pairs grow with the corpus. A model within ``MAX_BYTES`` is one broadcast and one
 pass. A larger one is cut into S shards of words and S x S cells of pairs (left shard,
 right shard); every token falls into one cell, cells are broadcast one after another, and each
-adds its log probabilities to the rows, so results do not depend on S.
+adds its log probabilities to the rows; results differ by the errors of the filter alone.
 """
 
 from collections.abc import Iterator
@@ -28,13 +28,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from ..session import to_table
 from .words import CHAIN, mix, slices, words_of
 
-HASHES = 5
-BITS_PER_ENTRY = 8
+HASHES = 6
+BITS_PER_ENTRY = 10
 #: Most bytes of word counts and filter that are broadcast at once.
 MAX_BYTES = 256 << 20
 #: Bytes of corpus text whose words and pairs meet in one combining task.
 BUCKET_BYTES = 8 << 20
-SLICE = 8 << 20
+#: Tokens whose repeats are counted together before they leave a task.
+GATHER = 1 << 20
 CLASSES = 32
 END, START = np.uint64(0x5DEECE66D1234567), np.uint64(0x2545F4914F6CDD1D)
 CLASS_SHIFT = np.uint64(58)
@@ -69,20 +70,38 @@ def lefts_of(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     return left
 
 
-def shard_of(tokens: np.ndarray, shards: int) -> np.ndarray:
-    return (mix(tokens ^ CHAIN) % np.uint64(shards)).astype(np.int64)
+def gathered(column, values_of) -> Iterator[np.ndarray]:
+    """``values_of(tokens, first)`` of many slices of texts, joined until there are ``GATHER`` of them."""
+    parts, n = [], 0
+    for _, _, data, offsets in slices(column):
+        parts.append(values_of(*tokens_of(data, offsets)))
+        n += len(parts[-1])
+        if n >= GATHER:
+            yield np.concatenate(parts)
+            parts, n = [], 0
+    if n:
+        yield np.concatenate(parts)
+
+
+def bucket_of(tokens: np.ndarray, buckets: int) -> np.ndarray:
+    """Equal ranges of the hashes, so buckets in order hold sorted hashes."""
+    return ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
 class Words:
     """Exact counts of the words of some shards, found by the leading bits of their hashes."""
 
-    def __init__(self, parts: list[tuple[bytes, bytes]]):
-        hashes = np.concatenate([np.frombuffer(a, np.uint64) for a, _ in parts] or [np.zeros(0, np.uint64)])
-        counts = np.concatenate([np.frombuffer(b, np.uint32) for _, b in parts] or [np.zeros(0, np.uint32)])
-        order = np.argsort(hashes)
-        self.hashes = np.append(hashes[order], np.uint64(2 ** 64 - 1))
-        self.counts = np.append(counts[order], np.uint32(0))
-        bits = max(1, min(24, int(len(hashes)).bit_length() - 1))
+    def __init__(self, sizes: dict[int, int], rows):
+        begin, at = {}, 0
+        for bucket in sorted(sizes):
+            begin[bucket], at = at, at + sizes[bucket]
+        self.hashes = np.full(at + 1, 2 ** 64 - 1, np.uint64)
+        self.counts = np.zeros(at + 1, np.uint32)
+        for row in rows:
+            part = slice(begin[row["bucket"]], begin[row["bucket"]] + sizes[row["bucket"]])
+            self.hashes[part] = np.frombuffer(row["keys"], np.uint64)
+            self.counts[part] = np.frombuffer(row["counts"], np.uint32)
+        bits = max(1, min(24, len(self.hashes).bit_length() - 1))
         self.shift = np.uint64(64 - bits)
         self.start = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
 
@@ -124,14 +143,15 @@ def filter_block(keys: np.ndarray, counts: np.ndarray) -> bytes:
 class Filter:
     """The blocks of one cell."""
 
-    def __init__(self, blocks: dict[int, bytes], buckets: int):
-        order = sorted(blocks)
-        sizes = np.array([len(blocks[b]) for b in order], np.int64)
-        self.bits = np.frombuffer(b"".join(blocks[b] for b in order), np.uint8)
+    def __init__(self, size: int, rows, buckets: int):
+        self.bits = np.zeros(size, np.uint8)
         self.start, self.size = np.zeros(buckets, np.int64), np.zeros(buckets, np.uint64)
-        if order:
-            self.start[order] = np.concatenate([[0], np.cumsum(sizes)[:-1]]) * 8
-            self.size[order] = sizes * 8
+        at = 0
+        for row in rows:
+            block = np.frombuffer(row["block"], np.uint8)
+            self.bits[at:at + len(block)] = block
+            self.start[row["bucket"]], self.size[row["bucket"]] = at * 8, len(block) * 8
+            at += len(block)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """Probe (key, 1), (key, 2), ... until one is missing."""
@@ -205,9 +225,9 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
 
     def words(batches):
         for batch in batches:
-            for _, _, data, offsets in slices(batch.column(0), SLICE):
-                keys, counts = np.unique(tokens_of(data, offsets)[0], return_counts=True)
-                yield _blobs(["bucket", "keys", "counts"], (), keys, counts, shard_of(keys, buckets))
+            for tokens in gathered(batch.column(0), lambda tokens, first: tokens):
+                keys, counts = np.unique(tokens, return_counts=True)
+                yield _blobs(["bucket", "keys", "counts"], (), keys, counts, bucket_of(keys, buckets))
 
     counted = to_table(_combined(
         source.mapInArrow(words, "bucket int, keys binary, counts binary"), ["bucket"],
@@ -216,27 +236,28 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
         "bucket int, keys binary, counts binary, tokens long, ends long, words long"), "words")
     tokens, ends, vocabulary = (x or 0 for x in counted.agg(F.sum("tokens"), F.sum("ends"), F.sum("words")).first())
     shards = max(1, -(-vocabulary * 24 // max_bytes))
-    found = None
+    found, sent = None, []
     for shard in range(shards):
         held = _broadcast_words(spark, counted, shard, shard, shards)
+        sent.append(held)
 
         def pairs(batches, shard=shard, held=held):
             own = held.value
             for batch in batches:
-                for _, _, data, offsets in slices(batch.column(0), SLICE):
-                    right, first = tokens_of(data, offsets)
-                    left = lefts_of(right, first)
-                    if shards > 1:
-                        here = (shard_of(left, buckets) % shards) == shard
-                        right, left = right[here], left[here]
-                    of_left = own.of(left)
-                    of_left[left == START] = ends
-                    keys = pair_keys(left, right) | (class_of(of_left).astype(np.uint64) << CLASS_SHIFT)
-                    for other in range(shards):
-                        mine = keys[shard_of(right, buckets) % shards == other] if shards > 1 else keys
-                        mine, counts = np.unique(mine, return_counts=True)
-                        bare = mine & np.uint64((1 << 58) - 1)
-                        yield _blobs(["one", "two", "bucket", "keys", "counts"], (shard, other), mine, counts,
+                for other in range(shards):
+                    def keys_of(right, first):
+                        left = lefts_of(right, first)
+                        if shards > 1:
+                            here = (bucket_of(left, buckets) % shards == shard) & (bucket_of(right, buckets) % shards == other)
+                            right, left = right[here], left[here]
+                        of_left = own.of(left)
+                        of_left[left == START] = ends
+                        return pair_keys(left, right) | (class_of(of_left).astype(np.uint64) << CLASS_SHIFT)
+
+                    for keys in gathered(batch.column(0), keys_of):
+                        keys, counts = np.unique(keys, return_counts=True)
+                        bare = keys & np.uint64((1 << 58) - 1)
+                        yield _blobs(["one", "two", "bucket", "keys", "counts"], (shard, other), keys, counts,
                                      (bare % np.uint64(buckets)).astype(np.int64))
 
         one = source.mapInArrow(pairs, "one int, two int, bucket int, keys binary, counts binary")
@@ -249,6 +270,8 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
 
     blocks = to_table(_combined(found, ["one", "two", "bucket"], block,
                                 "one int, two int, bucket int, block binary, pairs array<long>, seen array<long>"), "blocks")
+    for held in sent:
+        held.destroy()
     sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("pairs", "seen") for i in range(CLASSES)]
     row = blocks.agg(*sums).first()
     weights = [(row[f"seen{i}"] or 0) / max(1, (row[f"seen{i}"] or 0) + (row[f"pairs{i}"] or 0)) for i in range(CLASSES)]
@@ -256,12 +279,20 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
 
 
 def _broadcast_words(spark, counted: DataFrame, one: int, two: int, shards: int):
-    rows = counted.where(F.pmod("bucket", F.lit(shards)).isin(one, two)).select("keys", "counts").toLocalIterator()
-    return spark.sparkContext.broadcast(Words([(bytes(r.keys), bytes(r.counts)) for r in rows]))
+    """The word counts of two shards; a bucket's words are sorted, and so are the buckets."""
+    rows = counted.where(F.pmod("bucket", F.lit(shards)).isin(one, two))
+    sizes = dict(rows.select("bucket", "words").collect())  # one row per bucket
+    return spark.sparkContext.broadcast(Words(sizes, rows.select("bucket", "keys", "counts").toLocalIterator()))
+
+
+def _broadcast_filter(spark, blocks: DataFrame, one: int, two: int, buckets: int):
+    rows = blocks.where((F.col("one") == one) & (F.col("two") == two))
+    size = rows.agg(F.sum(F.length("block"))).first()[0] or 0
+    return spark.sparkContext.broadcast(Filter(size, rows.select("bucket", "block").toLocalIterator(), buckets))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id", extra: dict[str, Column] | None = None) -> DataFrame:
-    """``(key, extra columns, n_tokens, n_known, base_score, score)`` for each row of ``docs``.
+    """``(key, extra columns, n_tokens, n_known, base_score, score)`` for each row of ``docs``, written once.
 
     Scores are log10 probabilities of the whole text with its end. Null texts count as empty
     (one token); keys may repeat or be null; an empty model gives unseen words only.
@@ -269,48 +300,61 @@ def scored(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id
     spark = docs.sparkSession
     extra = extra or {}
     sums = ["n_tokens", "n_known", "base_score", "score"]
-    current = docs.select(F.col(key).cast("long").alias(key), *(c.alias(n) for n, c in extra.items()),
-                          F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"),
-                          F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"),
-                          F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"))
-    schema, at = current.schema, 1 + len(extra)
+    given = docs.select(F.col(key).cast("long").alias(key), *(c.alias(n) for n, c in extra.items()),
+                        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_text"))
+    if model.shards == 1:
+        return _cell_scores(given, model, 0, 0).select(key, *extra, *sums)
+    given = to_table(given.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    cells = [_cell_scores(given.select("_row", "_text"), model, one, two) for one in range(model.shards) for two in range(model.shards)]
+    found = cells[0]
+    for cell in cells[1:]:
+        found = found.unionAll(cell)
+    found = found.groupBy("_row").agg(*(F.sum(c).alias(c) for c in sums))
+    return given.drop("_text").join(found, "_row").select(key, *extra, *sums)
+
+
+def _cell_scores(given: DataFrame, model: Model, one: int, two: int) -> DataFrame:
+    """What the tokens of one cell add to each row. Written before it is returned, so its broadcasts can go."""
+    spark = given.sparkSession
     shards, buckets, starts = model.shards, model.buckets, model.documents
     unseen = float(model.tokens + model.vocabulary + 1)
     weights = np.array(model.weights)
-    for one in range(shards):
-        for two in range(shards):
-            rows = model.blocks.where((F.col("one") == one) & (F.col("two") == two)).select("bucket", "block").toLocalIterator()
-            cell = spark.sparkContext.broadcast(Filter({r.bucket: bytes(r.block) for r in rows}, buckets))
-            words = _broadcast_words(spark, model.words, one, two, shards)
-
-            def each(column, one=one, two=two, cell=cell, words=words) -> Iterator[tuple]:
-                for _, _, data, offsets in slices(column):
-                    right, first = tokens_of(data, offsets)
-                    left = lefts_of(right, first)
-                    row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-                    if shards > 1:
-                        here = (shard_of(left, buckets) % shards == one) & (shard_of(right, buckets) % shards == two)
-                        right, left, row = right[here], left[here], row[here]
-                    known, of_left = words.value.of(right), words.value.of(left)
-                    of_left[left == START] = starts
-                    own = (known + 1.0) / unseen
-                    level = np.zeros(len(right), np.int64)
-                    seen = np.flatnonzero((known > 0) & (of_left > 0))
-                    level[seen] = cell.value.level(pair_keys(left[seen], right[seen]))
-                    weight = np.where(of_left > 0, weights[class_of(of_left)], 0.0)
-                    read = np.minimum(floors(level), of_left) / np.maximum(of_left, 1)
-                    n = len(offsets) - 1
-                    yield (np.bincount(row, minlength=n), np.bincount(row, known > 0, n),
-                           np.bincount(row, np.log10(own), n), np.bincount(row, np.log10(weight * read + (1 - weight) * own), n))
-
-            def run(batches, each=each):
-                for batch in batches:
-                    found = list(each(batch.column(at)))
-                    columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(4)]
-                    added = [before.to_numpy(zero_copy_only=False) + c for before, c in zip(batch.columns[at + 1:], columns)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*batch.columns[:at + 1], *(pa.array(a.astype(np.int64)) for a in added[:2]),
-                         *(pa.array(a.astype(np.float64)) for a in added[2:])], names=schema.names)
-
-            current = current.mapInArrow(run, schema)
-    return current.select(key, *extra, *sums)
+    cell = _broadcast_filter(spark, model.blocks, one, two, buckets)
+    words = _broadcast_words(spark, model.words, one, two, shards)
+    names = [c for c in given.columns if c != "_text"]
+    schema = T.StructType([*(given.schema[c] for c in names), T.StructField("n_tokens", T.LongType()),
+                           T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
+                           T.StructField("score", T.DoubleType())])
+
+    def each(column) -> Iterator[tuple]:
+        for _, _, data, offsets in slices(column):
+            right, first = tokens_of(data, offsets)
+            left = lefts_of(right, first)
+            row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            if shards > 1:
+                here = (bucket_of(left, buckets) % shards == one) & (bucket_of(right, buckets) % shards == two)
+                right, left, row = right[here], left[here], row[here]
+            known, of_left = words.value.of(right), words.value.of(left)
+            of_left[left == START] = starts
+            own = (known + 1.0) / unseen
+            level = np.zeros(len(right), np.int64)
+            seen = np.flatnonzero((known > 0) & (of_left > 0))
+            level[seen] = cell.value.level(pair_keys(left[seen], right[seen]))
+            weight = np.where(of_left > 0, weights[class_of(of_left)], 0.0)
+            read = np.minimum(floors(level), of_left) / np.maximum(of_left, 1)
+            n = len(offsets) - 1
+            yield (np.bincount(row, minlength=n), np.bincount(row, known > 0, n),
+                   np.bincount(row, np.log10(own), n), np.bincount(row, np.log10(weight * read + (1 - weight) * own), n))
+
+    def run(batches):
+        for batch in batches:
+            found = list(each(batch.column(len(names))))
+            columns = [np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(4)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:len(names)], *(pa.array(c.astype(np.int64)) for c in columns[:2]),
+                 *(pa.array(c.astype(np.float64)) for c in columns[2:])], names=schema.names)
+
+    done = to_table(given.select(*names, "_text").mapInArrow(run, schema), "scores")
+    cell.destroy()
+    words.destroy()
+    return done

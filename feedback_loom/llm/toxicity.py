@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .words import Words, slices, words_of
 
-SAMPLE, SAMPLE_BYTES = 3000, 1 << 16
+SAMPLE, SAMPLE_BYTES = 2000, 1 << 14
 LANDMARKS, CLEAN_LANDMARKS = 128, 32
 #: Toxic landmarks are less alike than this.
 ALIKE = 0.4
@@ -224,21 +224,30 @@ class Model:
         return np.where(np.isfinite(best) | (self.slope != 0), 1 / (1 + np.exp(-np.clip(value, -30, 30))), self.prior)
 
 
-def support_vectors(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, float]:
-    """Linear SVM with squared hinge loss: Newton steps on the rows inside the margin."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1])
+def support_vectors(x: np.ndarray, rows: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
+    """Linear SVM with squared hinge loss on some rows of ``x``, whose last column is the bias: Newton steps.
+
+    Each step solves for the rows inside the margin; rows are read a block at a time.
+    """
+    n = x.shape[1]
+    ridge = np.eye(n)
     ridge[-1, -1] = 1e-6
-    active = np.ones(len(x), bool)
+    active = np.ones(len(rows), bool)
+    w = np.zeros(n)
     for _ in range(25):
-        inside = x[active]
-        w = np.linalg.solve(inside.T @ (inside * cost[active, None]) + ridge, inside.T @ (cost[active] * y[active]))
-        now = y * (x @ w) < 1
+        left, right = ridge.copy(), np.zeros(n)
+        at = np.flatnonzero(active)
+        for low in range(0, len(at), 8192):
+            some = at[low:low + 8192]
+            block = x[rows[some]].astype(np.float64)
+            left += block.T @ (block * cost[some, None])
+            right += block.T @ (cost[some] * y[some])
+        w = np.linalg.solve(left, right)
+        now = y * (x @ w.astype(np.float32))[rows] < 1
         if (now == active).all():
             break
         active = now
-    return w[:-1], float(w[-1])
+    return w
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -283,7 +292,7 @@ def fitted(texts: list[str], labels: list[int], name: str = "") -> Model:
     """Fit on a bounded sample of texts and their labels (1: toxic)."""
     y = np.array(labels)
     rows, word_hashes, spans, piece_of, lowered, at = [], [], [], [], [], 0
-    for top, _, data, offsets in slices(pa.array(texts, pa.string()), 1 << 24):
+    for top, _, data, offsets in slices(pa.array(texts, pa.string())):
         words = words_of(data, offsets)
         rows.append(np.repeat(np.arange(len(words.counts)), words.counts) + top)
         word_hashes.append(words.hashes)
@@ -305,13 +314,23 @@ def fitted(texts: list[str], labels: list[int], name: str = "") -> Model:
     positive = np.bincount(pairs % len(keys), y[pairs // len(keys)] == 1, len(keys))
     negative = np.bincount(pairs % len(keys), y[pairs // len(keys)] == 0, len(keys))
     landmarks = Landmarks(chosen_landmarks(lexicon, positive, negative, n1, n0))
-    kernel = landmarks.kernel(data, span[first, 0], span[first, 1])
     among = landmarks.of([w[:WINDOW] for w in landmarks.words]).astype(np.float64)
     value, vector = np.linalg.eigh((among + among.T) / 2 + RIDGE * np.eye(len(among)))
     root = (vector / np.sqrt(np.maximum(value, RIDGE))) @ vector.T
     heads = np.flatnonzero(np.append(True, piece[1:] != piece[:-1]))
     of_piece = row[heads]
-    x = np.add.reduceat(kernel[word], heads, axis=0).astype(np.float64) @ root
+    sentence, n = np.cumsum(np.append(True, piece[1:] != piece[:-1])) - 1, len(heads)
+    x = np.zeros((n, len(root) + 1), np.float32)
+    x[:, -1] = 1
+    by_word = np.argsort(word, kind="stable")
+    for low in range(0, len(keys), 1 << 14):
+        some = by_word[slice(*np.searchsorted(word[by_word], (low, low + (1 << 14))))]
+        at = first[low:low + (1 << 14)]
+        kernel = landmarks.kernel(data, span[at, 0], span[at, 1])
+        for j in range(len(root)):
+            x[:, j] += np.bincount(sentence[some], kernel[word[some] - low, j], n)
+    for low in range(0, n, 8192):
+        x[low:low + 8192, :-1] = x[low:low + 8192, :-1] @ root
     odds = np.log((positive + 0.5) / (n1 + 1)) - np.log((negative + 0.5) / (n0 + 1))
     current = np.add.reduceat(np.maximum(odds, 0)[word], heads)
     clean = np.flatnonzero(y[of_piece] == 0)
@@ -322,9 +341,9 @@ def fitted(texts: list[str], labels: list[int], name: str = "") -> Model:
         used = np.concatenate([toxic, clean])
         sign = np.concatenate([np.ones(len(toxic)), -np.ones(len(clean))])
         cost = COST * np.where(sign > 0, max(1.0, len(clean) / max(1, len(toxic)) / 4), 1.0)
-        w, _ = support_vectors(x[used], sign, cost)
-        current = x @ w
-    weights = (root @ w).astype(np.float32)
+        w = support_vectors(x, used, sign, cost)
+        current = x @ w - w[-1]
+    weights = (root @ w[:-1]).astype(np.float32)
     best = np.full(len(y), -np.inf)
     np.maximum.at(best, of_piece, current)
     some = np.isfinite(best)
