@@ -47,11 +47,14 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, content_col: str = "con
                    row_id: str = "row_id", row_local_terms: int = ROW_LOCAL_TERMS) -> DataFrame:
     """Add ``score_col`` from the polarities of the distinct words of each text.
 
-    A lexicon of signs that is proven small is matched inside each row by hash
+    A term that is listed more than once counts once, with the mean of its polarities; terms
+    whose polarities cancel out are left out. A lexicon of signs that is proven small is matched inside each row by hash
     lookup: no exchange, the text is read once and passed on. A larger or weighted
     one is joined by word; only ids and partial sums are exchanged before the
     scores are joined back.
     """
+    lexicon = (lexicon.groupBy("term").agg(F.avg("polarity").alias("polarity"))
+               .filter(F.col("term").isNotNull() & (F.col("polarity") != 0)))
     head = lexicon.select("term", F.col("polarity").cast("double").alias("polarity")).limit(row_local_terms + 1).collect()
     if len(head) <= row_local_terms and all(r.polarity in (1.0, -1.0) for r in head):
         found = {

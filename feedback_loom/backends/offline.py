@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.answers import FALLBACK_LABEL
 from ..functions.tokens import words
 from ..operators.causes import CLASS_SAMPLE, CLUSTER_SAMPLE, numbered_list, sampled_texts, typical_causes, typical_sentences
-from ..operators.clusters import Clustering, group_means, nearest_centroid
+from ..operators.clusters import Clustering, group_means, nearest_centroid, nearest_in_row
 from ..operators.conclusion import conclusion_text
 from ..operators.labels import merge_groups, two_term_labels, with_fallback
 from ..operators.picks import top_terms
@@ -64,7 +64,8 @@ class OfflineBackend(Backend):
         labelled = clustering.texts.select("cluster", "features").join(
             F.broadcast(named.select("cluster", "label")), "cluster")  # at most one row per cluster
         prototypes = cut(group_means(labelled, clustering.vocabulary, "label"))
-        return LabelSet(labels, names, prototypes, "ok" if len(names) > 1 else "empty_label_set")
+        status = "hint_not_supported" if hint else "ok"
+        return LabelSet(labels, names, prototypes, status if len(names) > 1 else "empty_label_set")
 
     def _prototypes(self, clustering: Clustering, label_set: LabelSet) -> DataFrame:
         """Centroids of known labels; a label given by hand stands for its own words."""
@@ -81,16 +82,24 @@ class OfflineBackend(Backend):
         return known.unionByName(unknown.select("label_id", "term", "weight"))
 
     def classify(self, clustering, texts, label_set: LabelSet, content_col, class_col, batch_size):
-        weights = long_weights(texts, clustering.vocabulary)
+        prototypes = cut(self._prototypes(clustering, label_set))
         bound = len(label_set.names) * len(clustering.vocabulary.terms or [""])
-        nearest = nearest_centroid(weights, cut(self._prototypes(clustering, label_set)), "label_id",
-                                   max_rows=bound if bound <= BROADCAST_ROWS else None)
-        assigned = nearest.filter(F.col("similarity") >= self.min_similarity).join(
-            F.broadcast(label_set.labels), "label_id").select("row_id", F.col("label").alias("__label"))
+        if bound <= BROADCAST_ROWS:
+            # labels times vocabulary is a small matrix: every row finds its label where it is
+            named = {r.label_id: r.label for r in label_set.labels.collect()}
+            placed = nearest_in_row(texts, clustering.vocabulary, prototypes, "label_id")
+            name = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])[F.col("label_id")]
+            found = F.when(F.col("similarity") >= self.min_similarity, name)
+            rows = placed.withColumn("__label", found).drop("label_id", "similarity")
+        else:
+            nearest = nearest_centroid(long_weights(texts, clustering.vocabulary), prototypes, "label_id")
+            assigned = nearest.filter(F.col("similarity") >= self.min_similarity).join(
+                label_set.labels, "label_id").select("row_id", F.col("label").alias("__label"))
+            rows = texts.join(assigned, "row_id", "left")
         label = F.coalesce("__label", F.lit(label_set.fallback))
         if class_col in texts.columns:
             label = F.coalesce(F.col(class_col), label)
-        rows = texts.join(assigned, "row_id", "left").withColumn(class_col, label).drop("__label")
+        rows = rows.withColumn(class_col, label).drop("__label")
         none = texts.limit(0).select("row_id", F.lit("").alias("status"), F.lit("").alias("response"))
         return Answered(to_table(rows, "classified"), none)
 

@@ -6,7 +6,7 @@ query reads whole tables and its work grows with them.
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .backends import OfflineBackend, induce_lexicon, lexicon_scores
 from .backends.base import LabelSet
@@ -14,6 +14,7 @@ from .backends.calling import CallableBackend, asker
 from .functions import answers as A, columns as C
 from .functions.tokens import term_rows, with_tokens
 from .operators import batching, causes, clusters, conclusion, labels, picks, protocol, rollup, vectors
+from .operators.numbering import numbered
 from .plans import analyze
 from .session import BROADCAST_ROWS, cut, join_sized, scratch_path, to_table
 from .sources import texts as S
@@ -177,7 +178,7 @@ def preview_conclusion(spark, folder):
 def analysis_outputs(spark, folder):
     """The four results are written, read back and counted."""
     path = scratch_path(spark, "results")
-    S.save_results(analyze(wide_documents(spark, folder), OfflineBackend(lexicon(spark, folder)), max_clusters=6), path)
+    S.save_results(analyze(wide_documents(spark, folder), OfflineBackend(lexicon(spark, folder))), path)
     counted = [
         table.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("output"), "n_rows")
         for name, table in S.load_results(spark, path).items()
@@ -370,8 +371,7 @@ def elbow_pick(spark, folder):
 
 def class_order(spark, folder):
     summary = rollup.group_shares(partly_classified(spark, folder), "class")
-    place = F.row_number().over(Window.partitionBy().orderBy("class"))
-    return summary.select("class", "count", place.alias("place")).orderBy("class")
+    return numbered(summary.select("class", "count"), "class", "place").orderBy("class")
 
 
 def conclusion_rank(spark, folder):
@@ -383,9 +383,7 @@ def conclusion_rank(spark, folder):
 
 def labels_with_fallback(spark, folder):
     names = label_lists(spark, folder).select(F.explode(A.numbered_labels(F.col("answer"))).alias("label"))
-    numbered = names.groupBy("label").agg(F.lit(1).alias("one"))
-    order = F.row_number().over(Window.partitionBy("one").orderBy("label"))
-    return labels.with_fallback(numbered.select(order.alias("label_id"), "label"))
+    return labels.with_fallback(numbered(names.distinct(), "label", "label_id").select("label_id", "label"))
 
 
 def merged_results(spark, folder):
@@ -481,10 +479,18 @@ def tfidf_weights(spark, folder):
 
 def cluster_error_sweep(spark, folder):
     texts, vocabulary = weighted(spark, folder)
-    placed = clusters.lay_out(texts.select("row_id", "features"), vocabulary.n_docs)
+    placed = clusters.lay_out(texts.select("row_id", "features"))
     return clusters.sweep(placed).table(spark)
 
 
+def cluster_sweep_facts(spark, folder):
+    """What SQL can state of the sweep: the tried k, the error of k = 1, one elbow."""
+    curve = cluster_error_sweep(spark, folder)
+    return curve.agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first_k"), F.max("k").alias("last_k"),
+                     F.round(F.max(F.when(F.col("k") == 1, F.col("sse"))), 4).alias("single_sse"),
+                     F.count_if("is_elbow").alias("elbows"))
+
+
 def elbow_curve(spark, folder):
     return clusters.elbow_curve(length_curve(spark, folder)).select(
         "k", "sse", F.round("fitted", 4).alias("fitted"), F.round("residual", 4).alias("residual"), "is_elbow")
@@ -494,9 +500,10 @@ def nearest_centroid(spark, folder):
     texts, vocabulary = weighted(spark, folder)
     texts = to_table(texts.select("row_id", "source", "features"), "weighted_texts")
     means = cut(clusters.group_means(texts, vocabulary, "source"))
-    bound = means.count()
-    nearest = clusters.nearest_centroid(vectors.long_weights(texts, vocabulary), means, "source",
-                                        max_rows=bound if bound <= BROADCAST_ROWS else None)
+    if means.count() <= BROADCAST_ROWS:
+        nearest = clusters.nearest_in_row(texts.drop("source"), vocabulary, means, "source").filter("source IS NOT NULL")
+    else:
+        nearest = clusters.nearest_centroid(vectors.long_weights(texts, vocabulary), means, "source")
     return nearest.select("row_id", "source", "similarity")
 
 
@@ -526,6 +533,13 @@ def clustered_texts(spark, folder):
     return found.summary.select("cluster", "keywords", "comment_cnt", "comment_pct")
 
 
+def clustered_text_facts(spark, folder):
+    """What SQL can state of a clustering: clusters are 0..k-1, every text is in one."""
+    return clustered_texts(spark, folder).agg(
+        F.min("cluster").alias("first"), (F.max("cluster") + 1 == F.count(F.lit(1))).alias("dense"),
+        F.sum("comment_cnt").alias("texts"), F.round(F.sum("comment_pct"), 6).alias("share"))
+
+
 def class_summary(spark, folder):
     return rollup.class_summary(partly_classified(spark, folder), "class", "score").select(
         "class", "count", F.round("percentage", 6).alias("percentage"), F.round("score", 6).alias("score"), "reasons")
@@ -723,11 +737,10 @@ def answer_status(spark, folder):
     scores = score_answers(spark, folder).select(
         F.lit("score").alias("kind"), F.concat_ws("/", F.col("bucket").cast("string"), F.col("batch_no").cast("string")).alias("key"),
         A.score_list_status(F.col("response"), F.col("n")).alias("status"))
-    names = [r.source for r in documents(spark, folder).select("source").distinct().collect()]
-    allowed = F.lit(names)
-    label = label_answers(spark, folder).select(
+    allowed = documents(spark, folder).select(F.col("source").alias("item")).distinct()
+    label = protocol.label_statuses(label_answers(spark, folder), ["bucket", "batch_no"], allowed).select(
         F.lit("label").alias("kind"), F.concat_ws("/", F.col("bucket").cast("string"), F.col("batch_no").cast("string")).alias("key"),
-        A.label_list_status(F.col("response"), F.col("n"), allowed).alias("status"))
+        "status")
     groups = group_answers(spark, folder)
     issue = groups.select(F.lit("issue").alias("kind"), F.col("source").alias("key"),
                           A.issue_list_status(F.col("response")).alias("status"))
@@ -751,6 +764,18 @@ def analyze_feedback(spark, folder):
         "rank", "class", "count", "percentage", "pct", "score", "reasons")
 
 
+def analysis_facts(spark, folder):
+    """What SQL can state of an analysis: every negative text is in one class, shares add up, ranks are dense."""
+    return analyze_feedback(spark, folder).agg(
+        F.sum("count").alias("texts"), F.round(F.sum("percentage"), 6).alias("share"), F.min("rank").alias("first"),
+        (F.max("rank") == F.count(F.lit(1))).alias("dense"))
+
+
+def stored_outputs(spark, folder):
+    """The stored results that have a row per negative text."""
+    return analysis_outputs(spark, folder).filter(F.col("output") == "classified")
+
+
 QUERIES = {
     f.__name__: f for f in (
         read_texts_csv, read_stop_words, preview_texts, preview_conclusion, analysis_outputs,
@@ -766,11 +791,11 @@ QUERIES = {
         stripped_answers, split_answers, answer_counts, score_format, required_headings, section_counts,
         extracted_sections, numbered_labels, numbered_list_check, answer_routing, templated_lines, long_words,
         words_per_text, chord_distance,
-        clean_tokens, tfidf_weights, cluster_error_sweep, elbow_curve, nearest_centroid, group_keywords,
-        group_summary, clustered_texts, class_summary,
+        clean_tokens, tfidf_weights, cluster_error_sweep, cluster_sweep_facts, elbow_curve, nearest_centroid, group_keywords,
+        group_summary, clustered_texts, clustered_text_facts, class_summary,
         induced_lexicon, score_texts, negative_shares, scored_by_function, quarantined_rows, described_by_function,
         group_prompts, group_issues, label_proposals, term_overlap, merged_groups, label_reviews,
         classified_by_cosine, classified_by_function, typical_causes, explained_by_function, conclusion_lines,
-        conclusion_text, answer_status, resumed_scores, analyze_feedback,
+        conclusion_text, answer_status, resumed_scores, analyze_feedback, analysis_facts, stored_outputs,
     )
 }

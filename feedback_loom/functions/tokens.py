@@ -39,9 +39,20 @@ def segmented_words(segmenter):
     return F.pandas_udf(cut_batch, "array<string>")
 
 
+def stop_list(stop_words: list[str] | DataFrame | None) -> list[str]:
+    """Stop words as a list; a frame (``read_stop_words``) gives those of its first column.
+
+    A stop list is a few thousand words, so it is read by the driver and becomes part of the plan.
+    """
+    if isinstance(stop_words, DataFrame):
+        return sorted(r[0] for r in stop_words.select(F.lower(F.trim(F.col(stop_words.columns[0])))).distinct().collect() if r[0])
+    return list(stop_words or [])
+
+
 def with_tokens(df: DataFrame, content_col: str = "content", tokens_col: str = "tokens",
-                stop_words: list[str] | None = None, segmenter=None) -> DataFrame:
+                stop_words: list[str] | DataFrame | None = None, segmenter=None) -> DataFrame:
     """Add the cleaned words of ``content_col``; no stop word, one-character or all-digit word."""
+    stop_words = stop_list(stop_words)
     if segmenter is None:
         spelled = words(F.col(content_col))
     else:

@@ -3,9 +3,10 @@
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -16,28 +17,22 @@ from ..session import cut, to_table
 from .batching import joined_texts
 from .picks import fetch, first_ids, top_terms
 from .rollup import group_shares
-from .vectors import MAX_FEATURES, Vocabulary, fit_vocabulary, long_weights, tfidf_vectors
+from .vectors import MAX_FEATURES, Vocabulary, entries, fit_vocabulary, long_weights, tfidf_vectors
 
 MAX_CLUSTERS = 20
 SEED = 1
-ROWS_PER_PARTITION = 400_000
 
 
-def partitions_for(rows: int) -> int:
-    """Partition count that depends on the data alone, so that fits can be repeated.
-
-    Several fits run at a time, so few rows need few partitions each.
-    """
-    return max(min(8, -(-rows // 5_000)), -(-rows // ROWS_PER_PARTITION), 1)
-
-
-def lay_out(vectors: DataFrame, rows: int, row_id: str = "row_id") -> DataFrame:
+def lay_out(vectors: DataFrame, row_id: str = "row_id", partitions: int | None = None) -> DataFrame:
     """Fixed layout by key for the fits: written once, then kept in memory and on disk.
 
     KMeans depends on how rows are laid out. Hash partitions by key, sorted by
-    key, are the same whatever the layout of the input was.
+    key, are the same whatever the layout of the input was. ``partitions`` is
+    their number, by default ``spark.sql.shuffle.partitions`` of the session; with the
+    same number, fits over the same rows can be repeated.
     """
-    placed = vectors.repartition(partitions_for(rows), row_id).sortWithinPartitions(row_id)
+    partitions = partitions or int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = vectors.repartition(partitions, row_id).sortWithinPartitions(row_id)
     return cut(placed).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -53,14 +48,8 @@ def single_cluster_sse(vectors: DataFrame, features_col: str = "features") -> fl
 
 
 def distinct_vectors(vectors: DataFrame, up_to: int, features_col: str = "features") -> int:
-    """Number of different vectors, counted no further than ``up_to``.
-
-    A few rows mostly show enough of them; only otherwise are the hashes of all
-    rows compared, and nothing but hashes is moved.
-    """
-    hashes = vectors.select(F.xxhash64(vector_to_array(features_col)).alias("h"))
-    seen = hashes.limit(100 * up_to).distinct().count()
-    return min(up_to, seen if seen >= up_to else hashes.distinct().count())
+    """Number of different vectors, counted no further than ``up_to``; nothing but hashes is moved."""
+    return vectors.select(F.xxhash64(entries(features_col)).alias("h")).distinct().limit(up_to).count()
 
 
 @dataclass(frozen=True)
@@ -159,6 +148,54 @@ def nearest_centroid(weights: DataFrame, centroids: DataFrame, centroid_key: str
     return similar.groupBy(row_id).agg(best.alias("__b")).select(row_id, f"__b.{centroid_key}", "__b.similarity")
 
 
+def nearest_in_row(texts: DataFrame, vocabulary: Vocabulary, centroids: DataFrame, centroid_key: str,
+                   features_col: str = "features") -> DataFrame:
+    """All rows and columns of ``texts`` with the closest centroid and its cosine; nothing is moved.
+
+    ``centroids`` holds (key, term, weight) and is proven small (keys times vocabulary): it
+    goes to the tasks as one matrix, and each batch of sparse unit vectors is multiplied
+    with it. Ties go to the smallest key; a row without a common term gets nulls.
+    """
+    # one row per key and term, bounded by the caller
+    weights = centroids.select(centroid_key, "term", "weight").collect()
+    keys = sorted({r[0] for r in weights})
+    place = {t: i for i, t in enumerate(vocabulary.terms)}
+    matrix = np.zeros((len(place) or 1, len(keys)))
+    for key, term, weight in weights:
+        if term in place:
+            matrix[place[term], keys.index(key)] += weight
+    norms = np.sqrt(sum_of_squares(weights, keys))
+    matrix /= np.where(norms > 0, norms, 1.0)
+    held = texts.sparkSession.sparkContext.broadcast(matrix)
+
+    @F.pandas_udf("array<double>")
+    def cosines(columns: pd.DataFrame) -> pd.Series:
+        found = [v @ held.value[i] if len(i) else np.zeros(held.value.shape[1]) for i, v in zip(columns["i"], columns["v"])]
+        return pd.Series(found)
+
+    pairs = entries(features_col)
+    raw = cosines(F.struct(F.transform(pairs, lambda e: e["i"]).alias("i"), F.transform(pairs, lambda e: e["v"]).alias("v")))
+    kind = centroids.schema[centroid_key].dataType.simpleString()
+    if not keys:
+        return texts.withColumns({centroid_key: F.lit(None).cast(kind), "similarity": F.lit(None).cast("double")})
+    shared = F.transform("__c", lambda c: F.when(c > 0, F.round(c, 6)))
+    best = F.array_max("__c")
+    return (
+        texts.withColumn("__c", raw).withColumn("__c", shared).withColumn("similarity", best)
+        .withColumn(centroid_key, F.get(F.lit(keys).cast(f"array<{kind}>"),
+                                        (F.array_position("__c", F.col("similarity")) - 1).cast("int")))
+        .drop("__c")
+    )
+
+
+def sum_of_squares(weights: list, keys: list) -> np.ndarray:
+    """Squared length of each centroid over all of its terms."""
+    sums = dict.fromkeys(keys, 0.0)
+    for key, _, weight in weights:
+        sums[key] += weight * weight
+    return np.array([sums[k] for k in keys])
+
+
 def keyword_lists(means: DataFrame, key: str, n: int = 10) -> DataFrame:
     """Top terms of each group as one string."""
     listed = joined_texts(top_terms(means, key, n), [key], "term", "rn", ", ", "keywords")
@@ -212,7 +249,7 @@ class Clustering:
 def cluster_texts(texts: DataFrame, content_col: str = "content", max_clusters: int = MAX_CLUSTERS,
                   score_col: str | None = None, row_id: str = "row_id", stop_words: list[str] | None = None,
                   segmenter=None, max_features: int = MAX_FEATURES, seed: int = SEED,
-                  parallelism: int = 8) -> Clustering:
+                  parallelism: int = 8, partitions: int | None = None) -> Clustering:
     """Tokenise, weigh, sweep, pick k by elbow, assign and summarise.
 
     Whole texts are read for their words, for the annotation and for the few sample
@@ -225,7 +262,7 @@ def cluster_texts(texts: DataFrame, content_col: str = "content", max_clusters:
 
     tokenised = to_table(spelled(texts.select(row_id, content_col)).select(row_id, "tokens"), "tokens")
     vocabulary = fit_vocabulary(tokenised, max_features)
-    vectors = lay_out(tfidf_vectors(tokenised, vocabulary).select(row_id, "features"), vocabulary.n_docs, row_id)
+    vectors = lay_out(tfidf_vectors(tokenised, vocabulary).select(row_id, "features"), row_id, partitions)
     fits = sweep(vectors, max_clusters, seed, parallelism)
     curve = fits.table(spark)
     k = curve.filter("is_elbow").first()["k"]

@@ -1,11 +1,13 @@
 """Label sets: proposing from clusters, merging, reviewing."""
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from collections.abc import Iterator
 
-from ..functions import answers as A
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: A label set comes from a handful of clusters; more than this is a misuse.
-MAX_GROUPS = 200
+from ..functions import answers as A
+from ..session import cut
+from .components import components
+from .numbering import numbered
 
 
 def with_fallback(labels: DataFrame, fallback: str = A.FALLBACK_LABEL) -> DataFrame:
@@ -30,13 +32,15 @@ def label_frame(spark: SparkSession, names: list[str]) -> DataFrame:
 def term_overlap(top: DataFrame, key: str, min_jaccard: float | None = None) -> DataFrame:
     """Jaccard similarity of the top-term sets of groups that share a term.
 
-    ``top`` holds at most ten terms per group and the groups are few (checked);
-    the join is on the term, so pairs that share nothing are never formed.
+    ``top`` holds a few terms per group (ten, say); the join is on the term, so pairs that
+    share nothing are never formed. With ``min_jaccard`` only pairs that reach it are given,
+    and groups meet on their rarest terms alone: two sets that similar share one among
+    the first ``size - ceil(min_jaccard * size) + 1`` of each, in one order of all terms.
     """
-    if top.select(key).distinct().limit(MAX_GROUPS + 1).count() > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups to merge")
     sizes = top.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
     sized = top.join(sizes, key)
+    if min_jaccard:
+        return _similar_groups(sized, key, min_jaccard)
     left = sized.select(F.col(key).alias("left_group"), "term", F.col("size").alias("left_size"))
     right = sized.select(F.col(key).alias("right_group"), "term", F.col("size").alias("right_size"))
     shared = (
@@ -48,28 +52,31 @@ def term_overlap(top: DataFrame, key: str, min_jaccard: float | None = None) ->
     pairs = shared.select(
         "left_group", "right_group", "shared",
         (F.col("shared") / (F.col("left_size") + F.col("right_size") - F.col("shared"))).alias("jaccard"))
-    return pairs if min_jaccard is None else pairs.filter(F.col("jaccard") >= min_jaccard)
+    return pairs
+
+
+def _similar_groups(sized: DataFrame, key: str, min_jaccard: float) -> DataFrame:
+    held_by = sized.groupBy("term").agg(F.count(F.lit(1)).alias("__df"))
+    sets = sized.join(held_by, "term").groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("__df", "term"))).alias("__terms"))
+    sets = cut(sets.select(F.col(key).alias("group"), F.col("__terms.term").alias("terms")))
+    needed = F.size("terms") - F.ceil(F.size("terms") * min_jaccard - 1e-9).cast("int") + 1
+    heads = sets.select("group", F.explode(F.slice("terms", F.lit(1), needed)).alias("term"))
+    met = (heads.toDF("left_group", "term").join(heads.toDF("right_group", "term"), "term")
+           .filter("left_group < right_group").select("left_group", "right_group").distinct())
+    both = met.join(sets.toDF("left_group", "a"), "left_group").join(sets.toDF("right_group", "b"), "right_group")
+    shared = both.withColumn("shared", F.size(F.array_intersect("a", "b")).cast("bigint"))
+    return shared.select(
+        "left_group", "right_group", "shared",
+        (F.col("shared") / (F.size("a") + F.size("b") - F.col("shared"))).alias("jaccard")).filter(F.col("jaccard") >= min_jaccard)
 
 
 def merge_groups(top: DataFrame, key: str, min_jaccard: float = 0.5) -> DataFrame:
-    """(key, merged): every group with the smallest group it is linked to, directly or not.
-
-    Links of a label set are at most a few hundred rows, so they are followed on
-    the driver.
-    """
-    spark = top.sparkSession
-    parent = {r[0]: r[0] for r in top.select(key).distinct().limit(MAX_GROUPS + 1).collect()}
-
-    def root(group):
-        while parent[group] != group:
-            group = parent[group]
-        return group
-
-    for a, b in term_overlap(top, key, min_jaccard).select("left_group", "right_group").collect():
-        low, high = sorted((root(a), root(b)))
-        parent[high] = low
-    kind = top.schema[key].dataType.simpleString()
-    return spark.createDataFrame([(g, root(g)) for g in sorted(parent)], f"`{key}` {kind}, merged {kind}")
+    """(key, merged): every group with the smallest group it is linked to, directly or not."""
+    links = term_overlap(top, key, min_jaccard).select(F.col("left_group").alias("a"), F.col("right_group").alias("b"))
+    found = components(links).select(F.col("id").alias(key), "component")
+    groups = top.select(key).filter(F.col(key).isNotNull()).distinct()
+    return groups.join(found, key, "left").select(key, F.coalesce("component", key).alias("merged"))
 
 
 def two_term_labels(top: DataFrame, merged: DataFrame, key: str) -> DataFrame:
@@ -81,9 +88,8 @@ def two_term_labels(top: DataFrame, merged: DataFrame, key: str) -> DataFrame:
         .withColumnRenamed(key, "merged")
     )
     distinct = named.join(merged.select("merged").distinct(), "merged").groupBy("label").agg(F.min("merged").alias("first"))
-    numbered = distinct.select(
-        "label", F.row_number().over(Window.partitionBy().orderBy("first")).alias("label_id"))
-    return merged.join(named, "merged").join(numbered, "label").select(key, "label_id", "label")
+    ids = numbered(distinct, "first", "label_id").select("label", "label_id")
+    return merged.join(named, "merged").join(ids, "label").select(key, "label_id", "label")
 
 
 def review_routes(reviews: DataFrame, answer_col: str = "answer") -> DataFrame:
@@ -97,19 +103,25 @@ def review_routes(reviews: DataFrame, answer_col: str = "answer") -> DataFrame:
     })
 
 
+def valid_reviews(reviews: DataFrame) -> Iterator:
+    """The valid reviews in order of ``review_id``, read one partition at a time as far as they are used."""
+    routed = review_routes(reviews).filter(F.col("decision") != "invalid").orderBy("review_id")
+    return iter(routed.select("decision", "hint", "labels").toLocalIterator())
+
+
+def replaced_labels(spark: SparkSession, names: list[str], fallback: str = A.FALLBACK_LABEL) -> DataFrame:
+    return with_fallback(label_frame(spark, list(dict.fromkeys(names))), fallback)
+
+
 def reviewed_labels(proposed: DataFrame, reviews: DataFrame, fallback: str = A.FALLBACK_LABEL):
     """Apply the first valid review by id to the proposed labels.
 
     Returns (decision, hint, labels). Without a valid review the proposal stands
-    as ``pending``. Reviews are a few rows written by people.
+    as ``pending``. Reviews are a few rows written by people; ``plans.analyze`` reads on after a redo.
     """
-    first = (
-        review_routes(reviews).filter(F.col("decision") != "invalid").orderBy("review_id")
-        .select("decision", "hint", "labels").first()
-    )
+    first = next(valid_reviews(reviews), None)
     if first is None:
         return "pending", None, with_fallback(proposed, fallback)
     if first["decision"] == "replace":
-        replaced = label_frame(proposed.sparkSession, list(dict.fromkeys(first["labels"])))
-        return "replace", None, with_fallback(replaced, fallback)
+        return "replace", None, replaced_labels(proposed.sparkSession, first["labels"], fallback)
     return first["decision"], first["hint"], with_fallback(proposed, fallback)

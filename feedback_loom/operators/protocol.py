@@ -67,6 +67,15 @@ def checked_items(batches: DataFrame, check: Callable[[Column, Column], Column])
     )
 
 
+def label_statuses(batches: DataFrame, keys: Sequence[str], allowed: DataFrame) -> DataFrame:
+    """(keys, status) of label answers (keys, n, response) against a table ``allowed`` (item) of any size."""
+    items = batches.select(*keys, F.explode(A.split_items(F.col("response"))).alias("item"))
+    strange = items.join(allowed, "item", "left_anti").groupBy(*keys).agg(F.count(F.lit(1)).alias("__misses"))
+    status = (F.when(F.col("response").isNull(), A.MISSING).when(A.item_count(F.col("response")) != F.col("n"), A.COUNT)
+              .when(F.col("__misses") > 0, A.LABEL).otherwise(A.OK))
+    return batches.join(strange, list(keys), "left").select(*keys, status.alias("status"))
+
+
 def write_back(checked: DataFrame, row_ids_col: str = "row_ids", row_id: str = "row_id",
                value_col: str = "value") -> DataFrame:
     """The i-th item of a valid answer belongs to the i-th row of its batch."""

@@ -11,13 +11,13 @@ def group_shares(df: DataFrame, key: str, score_col: str | None = None,
     """Count, share of all rows and optional mean score per non-null group.
 
     One aggregation with map-side partial counts, so a hot group costs nothing
-    extra. The total comes from the few grouped rows, the null group included.
+    extra. The total, the null group included, is a scalar over the grouped rows, which stay spread.
     """
     measures = [F.count(F.lit(1)).alias(count_col)]
     if score_col is not None:
         measures.append(F.avg(as_double(F.col(score_col))).alias(score_out))
     grouped = df.groupBy(key).agg(*measures)
-    total = F.sum(count_col).over(Window.partitionBy())
+    total = grouped.agg(F.sum(count_col)).scalar()
     columns = [F.col(key), F.col(count_col), (F.col(count_col) / total).alias(share_col)]
     if score_col is not None:
         columns.append(F.col(score_out))

@@ -8,9 +8,8 @@ weighting and normalising move no data at all.
 from dataclasses import dataclass
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_FEATURES = 1000
 
@@ -76,12 +75,19 @@ def tfidf_vectors(tokenised: DataFrame, vocabulary: Vocabulary, tokens_col: str
     return unit.transform(weigh.transform(counts.transform(tokenised))).drop("__tf", "__tfidf")
 
 
+def entries(features_col: str = "features") -> Column:
+    """Non-zero entries of a vector as an array of (i, v); a sparse vector is never filled up."""
+    raw = F.unwrap_udt(F.col(features_col))
+    places = F.coalesce(raw["indices"], F.sequence(F.lit(0), F.size(raw["values"]) - 1))
+    pairs = F.zip_with(places, raw["values"], lambda i, v: F.struct(i.alias("i"), v.alias("v")))
+    return F.filter(pairs, lambda e: e["v"] != 0)
+
+
 def long_weights(vectors: DataFrame, vocabulary: Vocabulary, keys: tuple[str, ...] = ("row_id",),
                  features_col: str = "features") -> DataFrame:
     """Non-zero weights as rows (keys, term, weight), expanded in place without a shuffle."""
     terms = F.lit(vocabulary.terms or [""])
     return (
-        vectors.select(*keys, F.posexplode(vector_to_array(features_col)).alias("__i", "weight"))
-        .filter(F.col("weight") != 0)
-        .select(*keys, F.get(terms, F.col("__i")).alias("term"), "weight")
+        vectors.select(*keys, F.explode(entries(features_col)).alias("__e"))
+        .select(*keys, F.get(terms, F.col("__e.i")).alias("term"), F.col("__e.v").alias("weight"))
     )

@@ -1,16 +1,17 @@
 """From texts to a ranked list of quantified problems."""
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..backends.base import Backend, LabelSet
 from ..functions.columns import NEGATIVE_UP_TO, is_negative
+from ..functions.tokens import stop_list, with_tokens
 from ..operators.clusters import MAX_CLUSTERS, Clustering, cluster_texts
 from ..operators.conclusion import conclusion_lines
-from ..operators.labels import reviewed_labels
+from ..operators.labels import replaced_labels, valid_reviews
 from ..operators.rollup import class_summary
-from ..session import cut, to_table
+from ..session import cut, drop_scratch, recorded_scratch, to_table
 from ..sources.texts import default_stop_words
 
 
@@ -28,6 +29,12 @@ class Results:
     scored: DataFrame
     quarantine: DataFrame
     label_status: str
+    #: Folders of the tables that the analysis wrote below the scratch folder.
+    paths: list[str] = field(default_factory=list)
+
+    def drop_tables(self, spark: SparkSession) -> None:
+        """Delete what the analysis wrote; its frames cannot be read any more."""
+        drop_scratch(spark, self.paths)
 
     def as_list(self) -> list[DataFrame]:
         return [self.cluster_summary, self.classified, self.class_summary, self.conclusion]
@@ -38,16 +45,20 @@ def _quarantine(step: str, key: str, table: DataFrame) -> DataFrame:
 
 
 def score_and_store(df: DataFrame, backend: Backend, content_col: str, score_col: str, batch_size: int,
-                    negative_up_to: float = NEGATIVE_UP_TO):
-    """Scores of all rows, written once by part; whole texts are kept for negatives only.
+                    negative_up_to: float = NEGATIVE_UP_TO, keep_texts: bool = False):
+    """Scores of all rows, written once by part, with all their columns.
 
-    A reader of the negatives opens their folder alone.
+    A reader of the negatives opens their folder alone. Rows that have a score and are not negative
+    keep their text only with ``keep_texts``; pending rows always do, so that the stored table can be
+    resumed. A column ``part`` of an earlier run is written anew.
     """
+    df = df.drop("part")
     answered = backend.score(df, content_col, score_col, batch_size)
     negative = is_negative(F.col(score_col), negative_up_to)
     part = F.when(negative, "negative").when(F.col(score_col).isNotNull(), "other").otherwise("pending")
     others = [c for c in answered.rows.columns if c not in ("row_id", score_col)]
-    kept = [F.when(negative, F.col(c)).alias(c) for c in others]
+    wanted = F.lit(keep_texts) | negative | F.col(score_col).isNull()
+    kept = [F.when(wanted, F.col(c)).alias(c) if c == content_col else F.col(c) for c in others]
     stored = to_table(
         answered.rows.select("row_id", score_col, *kept, part.alias("part")), "scored", partition_by=("part",))
     return stored, answered.quarantine
@@ -79,33 +90,48 @@ def _empty_results(negatives: DataFrame, scored: DataFrame, quarantine: DataFram
 
 def choose_labels(backend: Backend, clustering: Clustering, summary: DataFrame,
                   reviews: DataFrame | None) -> LabelSet:
-    """Propose a label set and apply the review table; a redo asks once more with the hint."""
+    """Propose a label set and apply the review table.
+
+    Reviews are taken in order of their id. A redo proposes again with its hint and the next
+    review judges that proposal, until one accepts or replaces it or the table ends.
+    """
     proposed = backend.propose_labels(clustering, summary, None)
     if reviews is None:
         return proposed
-    decision, hint, labels = reviewed_labels(proposed.labels, reviews, proposed.fallback)
-    if decision == "redo":
-        proposed = backend.propose_labels(clustering, summary, hint)
-        proposed.status = "redone"
-        return proposed
-    if decision == "replace":
-        labels = cut(labels)
-        names = [r.label for r in labels.orderBy("label_id").collect()]
-        return LabelSet(labels, names, proposed.prototypes, "replaced", proposed.fallback)
-    proposed.status = {"accept": "accepted", "pending": "pending_review"}[decision]
+    proposed.status = "pending_review"
+    for review in valid_reviews(reviews):
+        if review["decision"] == "accept":
+            proposed.status = "accepted"
+            return proposed
+        if review["decision"] == "replace":
+            labels = cut(replaced_labels(clustering.texts.sparkSession, review["labels"], proposed.fallback))
+            names = [r.label for r in labels.orderBy("label_id").collect()]
+            return LabelSet(labels, names, proposed.prototypes, "replaced", proposed.fallback)
+        proposed = backend.propose_labels(clustering, summary, review["hint"])
+        if proposed.status != "hint_not_supported":
+            proposed.status = "redone"
     return proposed
 
 
 def analyze(df: DataFrame, backend: Backend, batch_size: int = 30, content_col: str = "content",
             score_col: str = "score", max_clusters: int = MAX_CLUSTERS, class_col: str = "class",
-            reviews: DataFrame | None = None, stop_words: list[str] | None = None, segmenter=None,
+            reviews: DataFrame | None = None, stop_words: list[str] | DataFrame | None = None, segmenter=None,
             negative_up_to: float = NEGATIVE_UP_TO, parallelism: int = 8) -> Results:
     """Score, keep negatives, cluster, label, classify, summarise and conclude.
 
     ``df`` has a unique ``row_id`` (see ``sources.texts_from``) and the text column.
     An existing ``score_col`` is resumed: only rows without a score are asked for.
     """
-    stop_words = default_stop_words() if stop_words is None else stop_words
+    stop_words = stop_list(default_stop_words() if stop_words is None else stop_words)
+    with recorded_scratch() as paths:
+        found = _analyzed(df, backend, batch_size, content_col, score_col, max_clusters, class_col, reviews, stop_words,
+                          segmenter, negative_up_to, parallelism)
+    found.paths = list(paths)
+    return found
+
+
+def _analyzed(df, backend, batch_size, content_col, score_col, max_clusters, class_col, reviews, stop_words, segmenter,
+              negative_up_to, parallelism) -> Results:
     scored, unscored = score_and_store(df, backend, content_col, score_col, batch_size, negative_up_to)
     negatives = scored.filter(F.col("part") == "negative").drop("part")
     quarantine = _quarantine("score", "row_id", unscored)
@@ -120,6 +146,9 @@ def analyze(df: DataFrame, backend: Backend, batch_size: int = 30, content_col:
 
     answered = backend.classify(clustering, clustering.texts, label_set, content_col, class_col, batch_size)
     classified = answered.rows
+    if "tokens" not in classified.columns:
+        # a model is sent keys and texts alone; words are found again
+        classified = with_tokens(classified, content_col, "tokens", stop_words, segmenter)
     explained = backend.explain(clustering, classified, class_summary(classified, class_col, score_col),
                                 content_col, class_col)
     classes = to_table(explained.rows, "class_summary")

@@ -6,6 +6,8 @@ by many fits) is written to the folder the cluster names in
 """
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,9 +55,36 @@ def use_scratch(spark: SparkSession, path: str) -> None:
         spark.sparkContext.setCheckpointDir(path)
 
 
+_recorded: ContextVar[list[str] | None] = ContextVar("recorded", default=None)
+
+
+@contextmanager
+def recorded_scratch():
+    """List the folders handed out within the block, so that they can be dropped later."""
+    paths: list[str] = []
+    token = _recorded.set(paths)
+    try:
+        yield paths
+    finally:
+        _recorded.reset(token)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{scratch_root(spark)}/feedback_loom/{uuid.uuid4().hex}/{name}"
+    folder = f"{scratch_root(spark)}/feedback_loom/{uuid.uuid4().hex}"
+    if (paths := _recorded.get()) is not None:
+        paths.append(folder)
+    return f"{folder}/{name}"
+
+
+def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that ``scratch_path`` handed out, wherever the shared folder lies."""
+    own = f"{scratch_root(spark)}/feedback_loom/"
+    for path in paths:
+        if not path.startswith(own):
+            raise ValueError(f"{path} is no folder of this library")
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def to_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

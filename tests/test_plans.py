@@ -4,10 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedback_loom import CallableBackend, FeedbackAnalysis, OfflineBackend, analyze, catalog, texts_from
+from feedback_loom.backends.base import LabelSet
 from feedback_loom.backends.lexicon import lexicon_scores
 from feedback_loom.functions import answers as A
-from feedback_loom.operators import batching, clusters, picks, protocol, vectors
-from feedback_loom.session import join_sized
+from feedback_loom.operators import batching, clusters, labels, picks, protocol, rollup, vectors
+from feedback_loom.operators.numbering import numbered
+from feedback_loom.plans.analyze import choose_labels, score_and_store
+from feedback_loom.session import join_sized, to_table
 
 
 def rows(df, *columns):
@@ -52,7 +55,7 @@ def test_small_side_is_broadcast_and_large_side_is_not(spark, skewed):
     try:
         few = skewed.limit(5).select("row_id")
         small = join_sized(skewed, few, "row_id")._jdf.queryExecution().executedPlan().toString()
-        large = join_sized(skewed, skewed.select("row_id"), "row_id", max_rows=10)._jdf.queryExecution().executedPlan().toString()
+        large = join_sized(skewed, skewed.select("row_id"), "row_id", max_bytes=10)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
@@ -74,7 +77,7 @@ def test_fits_do_not_depend_on_layout(spark, folder):
     texts, vocabulary = catalog.weighted(spark, folder)
     found = []
     for layout in (texts.coalesce(1), texts.repartition(7)):
-        placed = clusters.lay_out(layout.select("row_id", "features"), vocabulary.n_docs)
+        placed = clusters.lay_out(layout.select("row_id", "features"))
         found.append(dict(clusters.sweep(placed, 4).curve))
     assert found[0] == pytest.approx(found[1])
 
@@ -241,3 +244,102 @@ def test_no_negative_texts(spark, folder):
     assert [t.count() for t in results.as_list()] == [0, 0, 0, 0]
     assert results.scored.filter("score = 9").count() == 20
     assert {"tokens", "cluster", "class"} <= set(results.classified.columns)
+
+
+# ---- resume, reviews, large label sets ------------------------------------------------
+
+def test_stored_rows_can_be_resumed(spark):
+    texts = spark.createDataFrame([(i, None if i % 5 == 0 else f"text {i}", "en", None) for i in range(20)],
+                                  "row_id long, content string, lang string, score int")
+    bare = catalog.note_remover()
+
+    def reply(instruction, prompts):
+        return ["<sep>".join("x" if "7" in t else "2" for t in bare(p).split("<sep>")) for p in prompts]
+
+    stored, _ = score_and_store(texts, CallableBackend(reply), "content", "score", 4)
+    pending = stored.filter("part = 'pending'").collect()
+    assert {r.row_id for r in pending} == {0, 5, 7, 10, 15, 17} and all(r.lang == "en" for r in pending)
+    assert {r.row_id: r.content for r in pending if r.row_id in (7, 17)} == {7: "text 7", 17: "text 17"}
+
+    again, quarantine = score_and_store(stored, CallableBackend(lambda i, prompts: ["9" for _ in prompts]), "content", "score", 1)
+    got = {r.row_id: r.score for r in again.collect()}
+    assert got[7] == got[17] == 9 and all(got[i] == 2 for i in range(20) if i % 5 and i not in (7, 17))
+    assert {r.row_id for r in quarantine.collect()} == {0, 5, 10, 15}
+
+
+def test_other_texts_are_left_out_unless_wanted(spark):
+    texts = spark.createDataFrame([(1, "good", "u", 9), (2, "bad", "v", 1)], "row_id long, content string, extra string, score int")
+    backend = CallableBackend(lambda i, prompts: ["5" for _ in prompts])
+    rows_of = lambda **rest: {r.row_id: (r.content, r.extra) for r in score_and_store(texts, backend, "content", "score", 5, **rest)[0].collect()}
+    assert rows_of() == {1: (None, "u"), 2: ("bad", "v")}
+    assert rows_of(keep_texts=True) == {1: ("good", "u"), 2: ("bad", "v")}
+
+
+class Proposing(OfflineBackend):
+    """Proposes a label per call and keeps the hints."""
+
+    def __init__(self):
+        super().__init__(None)
+        self.hints = []
+
+    def propose_labels(self, clustering, summary, hint):
+        self.hints.append(hint)
+        spark = clustering.texts.sparkSession
+        return LabelSet(labels.label_frame(spark, [f"l{len(self.hints)}", A.FALLBACK_LABEL]), [f"l{len(self.hints)}", A.FALLBACK_LABEL])
+
+
+@pytest.mark.parametrize("answers, status, hints, names", [
+    (["n<sep>fewer", "junk", "n<sep>shorter", "1.one<sep>2.two"], "replaced", [None, "fewer", "shorter"], ["one", "two", A.FALLBACK_LABEL]),
+    (["n<sep>fewer", "y", "n<sep>late"], "accepted", [None, "fewer"], ["l2", A.FALLBACK_LABEL]),
+    (["n<sep>fewer"], "redone", [None, "fewer"], ["l2", A.FALLBACK_LABEL]),
+    (["junk"], "pending_review", [None], ["l1", A.FALLBACK_LABEL]),
+])
+def test_reviews_go_on_until_one_decides(spark, answers, status, hints, names):
+    backend = Proposing()
+    given = clusters.Clustering(spark.range(1), None, None, None, 1, None)
+    reviews = spark.createDataFrame(list(enumerate(answers)), "review_id int, answer string")
+    found = choose_labels(backend, given, None, reviews)
+    assert (found.status, backend.hints, found.names) == (status, hints, names)
+
+
+def test_many_groups_merge_without_the_driver(spark):
+    # 500 groups in chains of five: neighbours share most terms
+    top = [(g, f"t{g // 5}_{g % 5 + j}") for g in range(500) for j in range(8)]
+    merged = labels.merge_groups(spark.createDataFrame(top, "g int, term string"), "g", 0.5)
+    assert {r.g: r.merged for r in merged.collect()} == {g: g - g % 5 for g in range(500)}
+
+
+def test_similar_groups_are_those_of_all_pairs(spark):
+    top = spark.createDataFrame([(g, f"t{(g * j * 7) % 23}") for g in range(1, 60) for j in range(1, 9)], "g int, term string").distinct()
+    every = {tuple(r) for r in labels.term_overlap(top, "g").filter("jaccard >= 0.5").collect()}
+    assert every and {tuple(r) for r in labels.term_overlap(top, "g", 0.5).collect()} == every
+
+
+def test_repeated_lexicon_terms_count_once_on_both_paths(spark):
+    texts = spark.createDataFrame([(1, "good bad bad room"), (2, "fine room"), (3, "odd")], "row_id long, content string")
+    lexicon = spark.createDataFrame([("good", 1.0), ("good", 1.0), ("bad", -1.0), ("odd", 1.0), ("odd", -1.0), ("fine", 1.0)],
+                                    "term string, polarity double")
+    local = rows(lexicon_scores(texts, lexicon), "row_id", "score")
+    assert local == rows(lexicon_scores(texts, lexicon, row_local_terms=1), "row_id", "score") == [(1, 5), (2, 10), (3, 5)]
+
+
+def test_labels_are_found_in_the_row(spark, folder):
+    texts, vocabulary = catalog.weighted(spark, folder)
+    texts = to_table(texts, "weighted")
+    means = clusters.group_means(texts, vocabulary, "lang")
+    plan = clusters.nearest_in_row(texts.drop("lang"), vocabulary, means, "lang")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_shares_keep_groups_spread(spark):
+    df = spark.range(1000).select((F.col("id") % 300).alias("g"))
+    shares = rollup.group_shares(df, "g")
+    main = shares._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in main
+    assert sum(r["percentage"] for r in shares.collect()) == pytest.approx(1.0)
+
+
+def test_numbers_are_dense_and_ordered(spark):
+    names = spark.createDataFrame([(f"n{i:04d}",) for i in range(700)], "label string").repartition(9)
+    got = rows(numbered(names, "label", "id"), "label", "id")
+    assert got == [(f"n{i:04d}", i + 1) for i in range(700)]

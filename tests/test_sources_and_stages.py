@@ -1,10 +1,12 @@
 """Reading, ids, progress and the stages one by one."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from feedback_loom import OfflineBackend, catalog, plans, texts_from
+from feedback_loom import CallableBackend, OfflineBackend, analyze, catalog, plans, texts_from
 from feedback_loom.operators import rollup
-from feedback_loom.sources import read_stop_words, read_texts_csv
+from feedback_loom.functions.tokens import with_tokens
+from feedback_loom.sources import read_stop_words, read_texts_csv, split_texts_csv
 
 
 def test_csv_needs_no_split_at_commas(spark, tmp_path):
@@ -26,10 +28,10 @@ def test_generated_ids_stay_the_same(spark):
     assert len(first) == 100 and {r.row_id: r.content for r in texts.repartition(3).collect()} == first
 
 
-def test_only_narrow_scans_are_spread(spark, folder):
+def test_rows_are_spread_only_on_demand(spark, folder):
     source = spark.read.parquet(f"{folder}/documents.parquet")
     assert texts_from(source, "text", "doc_id", 8).rdd.getNumPartitions() == 8
-    plan = texts_from(source, "text", "doc_id", 1)._jdf.queryExecution().executedPlan().toString()
+    plan = texts_from(source, "text", "doc_id")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
 
 
@@ -55,3 +57,31 @@ def test_stages_one_by_one(spark, folder):
     assert classes.agg(F.sum("count")).first()[0] == negatives.count()
     text = plans.ConclusionWriter(backend).batch_run(classes).first()[0]
     assert len(text.split("\n")) >= classes.count() and text.startswith("1. ")
+
+
+def test_bad_csv_lines_are_set_apart(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('row_id,content\n1,good\nx,bad id\n2,fine\n3,too,many\n', encoding="utf-8")
+    good, bad = split_texts_csv(spark, str(tmp_path / "a.csv"), "row_id LONG, content STRING")
+    assert sorted(map(tuple, good.collect())) == [(1, "good"), (2, "fine")] and good.count() == 2
+    assert sorted(r.line for r in bad.collect()) == ["3,too,many", "x,bad id"]
+
+
+def test_stop_words_of_a_file_reach_the_tokeniser(spark, tmp_path):
+    (tmp_path / "stop.txt").write_text("The\nroom\n", encoding="utf-8")
+    texts = spark.createDataFrame([(1, "The room was bad")], "row_id long, content string")
+    words = read_stop_words(spark, str(tmp_path / "stop.txt"))
+    assert with_tokens(texts, stop_words=words).first().tokens == ["was", "bad"]
+
+
+def test_results_can_drop_their_tables(spark):
+    texts = spark.createDataFrame([(i, ("bad room " if i % 2 else "slow staff ") * (i % 3 + 1)) for i in range(12)],
+                                  "row_id long, content string")
+    def reply(instruction, prompts):
+        return ["<sep>".join("1" for _ in p.split("<sep>")) for p in prompts]
+
+    found = analyze(texts, CallableBackend(reply), max_clusters=2, stop_words=spark.createDataFrame([("slow",)], "term string"))
+    assert found.classified.count() == 12 and "slow" not in {w for r in found.classified.collect() for w in r.tokens}
+    assert found.paths
+    found.drop_tables(spark)
+    with pytest.raises(Exception):
+        found.scored.count()
