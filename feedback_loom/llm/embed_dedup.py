@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut, to_table
-from .components import components
+from ..operators.components import components
 
 TILE, LEAD, ROWS, PAIRS = 4096, 16, 512, 1 << 16
 #: Room for the rounding of single precision in the bounds.

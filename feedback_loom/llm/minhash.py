@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut, join_sized, to_table
-from .components import components
+from ..operators.components import components
 from .words import Words, mix, over_texts, shingles_of, signed
 
 SLOTS, BAND_ROWS = 160, 5

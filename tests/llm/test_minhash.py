@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Row
 
 from feedback_loom.llm import minhash, queries
-from feedback_loom.llm.components import components
+from feedback_loom.operators.components import components
 
 
 def brute_force(rows, k, percent):
