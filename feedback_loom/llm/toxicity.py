@@ -221,7 +221,7 @@ class Model:
     def score(self, words: Words) -> np.ndarray:
         best = self.decided(words)
         value = self.slope * np.where(np.isfinite(best), best, 0.0) + self.shift
-        return np.where(np.isfinite(best) | (self.slope != 0), 1 / (1 + np.exp(-np.clip(value, -30, 30))), self.prior)
+        return np.where(self.slope != 0, 1 / (1 + np.exp(-np.clip(value, -30, 30))), self.prior)
 
 
 def support_vectors(x: np.ndarray, rows: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
