@@ -4,10 +4,9 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is writ
 and read again as the next stage's documents. All but the last return the columns of ``documents``.
 """
 
-import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from feedback_loom.llm import decontaminate, line_dedup, minhash, sentencepiece_codec, toxicity
+from feedback_loom.llm import decontaminate, line_dedup, minhash, sentencepiece_codec, toxicity, vocabularies
 from feedback_loom.session import to_table
 
 
@@ -33,7 +32,7 @@ def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The piece ids of each text and their number in place of the text."""
-    found = sentencepiece_codec.encoded(docs, tokenizers.path("piece_bpe_32k.model"))
+    found = sentencepiece_codec.encoded(docs, vocabularies.path("piece_bpe_32k.model"))
     return found.withColumn("n_tokens", F.size("ids")).drop("text")
 
 

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut, join_sized, to_table
+from .columns import mapped, quoted, without
 from .words import CHAIN, Words, mix, signed, slices, words_of
 
 RARE_WORDS = 5
@@ -219,11 +220,10 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_w
     is larger; rows that share a key, or have none, are never compared with one another. Null
     and empty texts stay. Repeats inside one document stay, as do blocks under ``min_words``
     words. A block is a run of matched lines; its lines may have been matched in alignments
-    with different earlier documents. Columns of ``docs`` named like the new ones are an error.
+    with different earlier documents. Columns of ``docs`` named
+    like the new ones (or ``_places``) give way to them.
     """
-    taken = {"n_removed", "removed_spans", "_places"} & set(docs.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} exist already; rename them first")
+    docs = without(docs, "n_removed", "removed_spans", "_places")
     others = [c for c in docs.columns if c != text]
     given = join_sized(docs, repeated_lines(docs, text, key).withColumnRenamed("places", "_places"), key, "left")
     spans = T.ArrayType(T.ArrayType(T.IntegerType()))
@@ -248,11 +248,13 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_w
                 [*batch.columns[:len(others)], texts, pa.array([sum(j - i for i, j in x) for x in removed], pa.int32()),
                  pa.array(removed, pa.list_(pa.list_(pa.int32())))], names=schema.names)
 
-    cleaned = given.select(*[f"`{c}`" for c in others], F.col(text).cast("string"), "_places").mapInArrow(run, schema)
-    return cleaned.select(*[f"`{c}`" for c in docs.columns], "n_removed", "removed_spans")
+    cleaned = mapped(given.select(*[quoted(c) for c in others], F.col(text).cast("string"), "_places"), run, schema)
+    return cleaned.select(*[quoted(c) for c in docs.columns], "n_removed", "removed_spans")
 
 
 def without_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated blocks taken out; documents of which no word is left go, blank ones stay."""
-    done = deduplicated(docs, text, key, min_words)
-    return done.where((F.col("n_removed") == 0) | F.col(text).rlike(r"\S")).select(*[f"`{c}`" for c in docs.columns])
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    done = deduplicated(docs.toDF(*names.values()), names[text], names[key], min_words)
+    return done.where((F.col("n_removed") == 0) | F.col(names[text]).rlike(r"\S")).select(
+        *[F.col(n).alias(c) for c, n in names.items()])

@@ -124,7 +124,7 @@ def class_of(counts: np.ndarray) -> np.ndarray:
 
 
 def positions(keys: np.ndarray, level: int, number: int, size) -> np.ndarray:
-    spread = mix(keys + np.uint64(level * HASHES + number + 1) * CHAIN)
+    spread = mix(keys + np.array([level * HASHES + number + 1], np.uint64) * CHAIN)
     return ((spread >> np.uint64(32)) * size >> np.uint64(32)).astype(np.int64)
 
 

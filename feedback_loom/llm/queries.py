@@ -1,11 +1,10 @@
 """One query per operator, over whole tables and with production parameters."""
 
-import public_tokenizers as tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (
     decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, sentencepiece_codec, token_counts, toxicity,
-    url_filters,
+    url_filters, vocabularies,
 )
 
 
@@ -45,8 +44,8 @@ def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every line of every document, from one encoding of the whole text."""
-    return token_counts.section_tokens(table(spark, folder, "documents"), tokenizers.path("byte_bpe_50k.tiktoken"),
-                                       tokenizers.PATTERN)
+    return token_counts.section_tokens(table(spark, folder, "documents"), vocabularies.path("byte_bpe_50k.tiktoken"),
+                                       vocabularies.pattern())
 
 
 URL_RULES = """VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -82,7 +81,7 @@ def op9_license_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Piece ids of every document, and whether decoding gives the text again."""
-    path = tokenizers.path("piece_bpe_32k.model")
+    path = vocabularies.path("piece_bpe_32k.model")
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     found = sentencepiece_codec.decoded(sentencepiece_codec.encoded(docs, path), path)
     return found.select("doc_id", "ids", F.size("ids").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))

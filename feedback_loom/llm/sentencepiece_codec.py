@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import to_table
+from .columns import mapped, quoted, without
 
 MARK = "▁"
 #: Characters from which on a document is cut into chunks, and of a chunk.
@@ -227,10 +228,10 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", gi
 
     A null text gives null, an empty one no ids. ``path`` is a byte-pair model file, readable on every
     executor. Documents of ``giant`` characters or more are spread as chunks of
-    ``chunk`` characters. A column that is named like ``ids`` is an error.
+    ``chunk`` characters. Columns named like ``ids``, ``_uid`` and
+    ``_given`` give way.
     """
-    if ids in docs.columns:
-        raise ValueError(f"column {ids} exists already; rename it first")
+    docs = without(docs, ids, "_uid", "_given")
     given = docs.select("*", F.col(text).cast("string").alias("_given"))
     plain = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
@@ -244,7 +245,7 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", gi
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=plain.names)
 
     is_giant = F.coalesce(F.char_length("_given") >= giant, F.lit(False))
-    done = given.where(~is_giant).mapInArrow(small, plain)
+    done = mapped(given.where(~is_giant), small, plain)
     large = to_table(given.where(is_giant).select(F.monotonically_increasing_id().alias("_uid"), "*"), "giants")
     return done.unionByName(_encoded_giants(large, docs.columns, path, ids, chunk))
 
@@ -307,13 +308,15 @@ def _encoded_giants(large: DataFrame, columns: list[str], path: str, ids: str, c
               .mapInArrow(backtraced, "uid long, chunk int, ids array<int>"))
     whole = pieces.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("all"))
     whole = whole.select(F.col("uid").alias("_uid"), F.flatten(F.col("all.ids")).alias(ids))
-    return large.join(whole, "_uid").select(*[f"`{c}`" for c in columns], ids)
+    return large.join(whole, "_uid").select(*[quoted(c) for c in columns], ids)
 
 
 def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """All rows and columns of ``docs`` with the text of ``ids``; null ids give null. Bytes that are no UTF-8 become U+FFFD."""
-    if text in docs.columns:
-        raise ValueError(f"column {text} exists already; rename it first")
+    """All rows and columns of ``docs`` with the text of ``ids``; null ids give null.
+
+    Bytes that are no UTF-8 become U+FFFD. A column named like ``text`` gives way.
+    """
+    docs = without(docs, text)
     schema = T.StructType([*docs.schema.fields, T.StructField(text, T.StringType())])
     at = docs.columns.index(ids)
 
@@ -324,4 +327,4 @@ def decoded(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
             found = [own.decode(v.values.to_numpy().tolist()) if v.is_valid else None for v in values]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, schema)

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import mapped, unused, without
 from .words import Words, slices, words_of
 
 SAMPLE, SAMPLE_BYTES = 2000, 1 << 14
@@ -372,9 +373,11 @@ def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with ``score``; null, empty and wordless texts score as a sentence without weight."""
-    if score in docs.columns:
-        raise ValueError(f"column {score} exists already; rename it first")
+    """All rows and columns of ``docs`` with ``score``, in place of a column of that name.
+
+    Null, empty and wordless texts score as a sentence without weight.
+    """
+    docs = without(docs, score)
     held = docs.sparkSession.sparkContext.broadcast(model)
     given = docs.select("*", F.col(text).cast("string").alias("_scored"))
     schema = docs.select("*", F.lit(0.0).alias(score)).schema
@@ -386,10 +389,11 @@ def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "scor
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(np.concatenate(found) if found else np.zeros(0))], names=schema.names)
 
-    return given.mapInArrow(run, schema)
+    return mapped(given, run, schema)
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``limit``; all columns stay."""
     model = trained(docs, labels, text, key)
-    return scored(docs, model, text, "_score").where(F.col("_score") < limit).drop("_score")
+    found = scored(docs.select("*", F.lit(0).alias(free := unused(docs))), model, text, free)
+    return found.where(F.col(free) < limit).drop(free)

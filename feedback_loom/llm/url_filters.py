@@ -13,6 +13,7 @@ Only distinct keys are swept, so one host or path with very many URLs is one row
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import cut
+from .columns import without
 
 #: Fixed ending of intervals: sorts behind every key with that prefix, as no UTF-8 text holds this byte.
 BEHIND = "X'FF'"
@@ -80,11 +81,9 @@ def judged(pages: DataFrame, rules: DataFrame, url: str = "url", default: str =
     a null part or an empty host fit nothing. A URL that no rule fits, a null URL and one
     without ``://`` have a null rule and the verdict ``default``; host and path of the latter
     two are empty. Upper-case ASCII letters in the hosts of rules and URLs are lowered. Columns
-    of ``pages`` named like the new ones are an error.
+    of ``pages`` named like the new ones give way to them.
     """
-    taken = {"host", "path", "rule", "verdict"} & set(pages.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} exist already; rename them first")
+    pages = without(pages, "host", "path", "rule", "verdict")
     lowered = F.translate("host", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     rules = (rules.where("host IS NOT NULL AND host <> '' AND path IS NOT NULL AND verdict IS NOT NULL")
              .groupBy(lowered.alias("host"), "path").agg(F.max("verdict").alias("verdict"))

@@ -97,3 +97,12 @@ def test_whole_table_removes_only_lines_that_earlier_documents_hold(spark, folde
             assert sum(map(len, gone)) >= line_dedup.MIN_WORDS
         kept = len(row.text.split())
         assert kept + sum(len(x) for a, b in row.removed_spans for x in lines[row.doc_id][a:b]) == len(docs[row.doc_id].split())
+
+
+def test_clashing_names_give_way(spark):
+    docs = spark.createDataFrame([(1, PASSAGE, 7, "a", "b"), (2, PASSAGE, 8, "c", "d")],
+                                 "doc_id long, text string, N_REMOVED int, _places string, `od.d` string")
+    got = {r.doc_id: r for r in line_dedup.deduplicated(docs).collect()}
+    assert got[2].n_removed == 5 and got[2]["od.d"] == "d" and len(got[2]) == 5
+    kept = line_dedup.without_repeats(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, PASSAGE, 7, "a", "b")]

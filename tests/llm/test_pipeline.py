@@ -61,7 +61,7 @@ def test_planted_cases(spark, tmp_path):
     assert {220} <= set(seen["near-duplicates"]) and set(range(120)) <= set(seen["near-duplicates"])
     assert set(seen["near-duplicates"]) - set(seen["benchmark decontamination"]) == {210}
     last = seen["SentencePiece encoding"]
-    own = sentencepiece_codec.codec(corpus_pipeline.tokenizers.path("piece_bpe_32k.model"))
+    own = sentencepiece_codec.codec(corpus_pipeline.vocabularies.path("piece_bpe_32k.model"))
     assert all(r.ids == own.model.encode(seen["benchmark decontamination"][i].text) and r.n_tokens == len(r.ids) for i, r in last.items())
     assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} == set(last)
 

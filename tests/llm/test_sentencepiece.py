@@ -64,3 +64,9 @@ def test_whole_table_comes_back(spark, folder):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
     rows = queries.op10_sentencepiece(spark, folder).collect()
     assert len(rows) == len(texts) and all(r.round_trip and r.ids == OWN.model.encode(texts[r.doc_id]) for r in rows)
+
+
+def test_clashing_names_give_way(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 5), (2, "w " * 40_000, "y", 6)], "doc_id long, text string, IDS string, _uid int")
+    got = {r.doc_id: r for r in codec.encoded(docs, PATH).collect()}
+    assert all(r.ids == OWN.model.encode(r.text) and len(r) == 3 for r in got.values()) and len(got) == 2
