@@ -104,4 +104,30 @@ ORACLES: dict[str, str] = {
             WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY host, path)
         SELECT page_id, host, path, best.rule AS rule, coalesce(best.verdict, 'allow') AS verdict
         FROM urls LEFT JOIN best USING (host, path)""",
+    "op6_minhash_near_dedup": """
+        WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+        shingles AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 4
+                THEN [array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)]
+                WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b
+                ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT doc_id, doc_id AS other FROM documents UNION
+                SELECT doc_id, b FROM reach JOIN both_ways ON other = a)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)""",
+    "op8_embedding_near_dedup": """
+        WITH RECURSIVE vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE embedding IS NOT NULL
+                AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+                AND len([x for x in embedding if x <> 0]) > 0),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+                ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach AS (SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT vec_id, b FROM reach JOIN links ON other = a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+        LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)""",
 }
