@@ -22,12 +22,19 @@ def unused(df: DataFrame, name: str = "_value") -> str:
     return name
 
 
+def few_rows(batches, rows: int = 1024):
+    """Batches in slices of some rows: what a task holds beside its batch stays small."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def mapped(df: DataFrame, run, schema: T.StructType) -> DataFrame:
     """``mapInArrow`` for columns of any name; ``run`` sees and gives columns by place."""
     plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema.fields)])
 
     def renamed(batches):
-        for batch in run(batches):
+        for batch in run(few_rows(batches)):
             yield pa.RecordBatch.from_arrays(batch.columns, names=plain.names)
 
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(renamed, plain).toDF(*schema.names)

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
+from .columns import few_rows
 from .words import Words, chained, shingles, slices, words_of
 
 RADIUS, BLOCKS, BLOCK_BITS = 23, 4, 16
@@ -189,7 +190,7 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc
         index = spark.sparkContext.broadcast(ItemIndex([tuple(r) for r in block], k, percent))
 
         def run(batches, index=index):
-            for batch in batches:
+            for batch in few_rows(batches):
                 rows = []
                 for row, _, data, offsets in slices(batch.column(1)):
                     rows.extend((row + x[0], *x[1:]) for x in index.value.search(words_of(data, offsets)))

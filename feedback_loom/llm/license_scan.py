@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import few_rows
 from .words import NO_LETTERS, slices, word_hash, words_of
 
 FILTER_BITS = 20
@@ -186,7 +187,7 @@ def scanned(docs: DataFrame, text: str = "text", key: str = "doc_id",
               "score double, places array<struct<template: int, first_word: long, in_place: double>>")
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             columns = list(zip(*_scanned(index, batch.column(1)))) or [()] * len(names)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], names=[key, *names])

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut, join_sized, to_table
-from .columns import mapped, quoted, without
+from .columns import few_rows, mapped, quoted, without
 from .words import CHAIN, Words, mix, signed, slices, words_of
 
 RARE_WORDS = 5
@@ -66,7 +66,7 @@ def _line_arrays(column) -> Iterator[tuple[list, list]]:
 def line_hashes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(id, lines, sizes)``: the hashes and word counts of each row's lines, in order."""
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             found = list(_line_arrays(batch.column(1)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()), pa.array([x for x, _ in found], pa.list_(pa.int64())),

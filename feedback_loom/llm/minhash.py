@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut, join_sized, to_table
 from ..operators.components import components
+from .columns import few_rows
 from .words import Words, mix, over_texts, shingles_of, signed
 
 SLOTS, BAND_ROWS = 160, 5
@@ -95,7 +96,7 @@ def described(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int =
     each = _described(k, slots, rows)
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             columns = list(zip(*over_texts(batch.column(1), each))) or [()] * len(types)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, types))], names=names)
@@ -111,7 +112,7 @@ def shingle_sets(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
             yield np.unique(runs).tobytes()
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(over_texts(batch.column(1), each), pa.binary())],
                 names=["id", "elements"])

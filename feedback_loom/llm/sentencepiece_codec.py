@@ -32,7 +32,7 @@ from .columns import mapped, quoted, without
 MARK = "▁"
 #: Characters from which on a document is cut into chunks, and of a chunk.
 GIANT, CHUNK = 1 << 15, 1 << 14
-CACHE = 300_000
+CACHE = 150_000
 
 
 class Codec:

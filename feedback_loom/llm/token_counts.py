@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .columns import few_rows
+
 RULES = ("largest", "first")
 
 
@@ -114,7 +116,7 @@ def section_tokens(docs: DataFrame, path: str, pattern: str, text: str = "text",
             yield low, high, attributed(starts, ends, low, high, rule)
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             columns = list(zip(*each(batch.column(1), batch.column(2)))) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), *(pa.array(c, t) for c, t in zip(columns, out[1:]))],

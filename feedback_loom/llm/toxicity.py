@@ -36,7 +36,7 @@ ALIKE = 0.4
 DECAY, WINDOW, PIECE = 0.75, 16, 24
 ROUNDS, COST, RIDGE = 4, 1.0, 1e-3
 CACHE = 1 << 20
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 # Classes of bytes: letters, one for digits, one per low bits of a character's following bytes; others are gaps.
 CLASSES = 59
