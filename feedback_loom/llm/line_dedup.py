@@ -3,7 +3,9 @@
 A text is cut into lines: at line ends, and behind sentence ends, as a passage may be
 pasted inside a line. Lines compare by their lower-cased words. A rare line (of at
 least ``RARE_WORDS`` words) pairs a document with the first document that holds it, so
-every line gives one pair at most, however many documents share it. The pairs are
+every line gives one pair at most, however many documents share it. A shorter line does
+so together with its neighbours, by the shortest runs of lines from it on and up to it
+that have as many words, so each line of a repeated block is paired. The pairs are
 aligned with patience diff: lines that occur once on both sides and keep their order
 are anchors, anchors grow over equal neighbours, the gaps between them are aligned
 alike, and what stays unmatched is aligned again, so moved blocks are found too.
@@ -52,29 +54,53 @@ def lines_of(words: Words, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return heads, hashes, np.searchsorted(words.first, heads, "right") - 1
 
 
-def _line_arrays(column) -> Iterator[tuple[list, list]]:
-    """Hashes and word counts of each row's lines."""
+def runs_of(hashes: np.ndarray, sizes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of short lines with their neighbours, and the texts they are in, in order.
+
+    From each line under ``RARE_WORDS`` words on, and up to it, the shortest run of lines
+    of its text that has as many words.
+    """
+    short = np.flatnonzero(sizes < RARE_WORDS)
+    total = np.append(0, np.cumsum(sizes, dtype=np.int64))
+    stops = np.searchsorted(total, total[short] + RARE_WORDS)
+    starts = np.searchsorted(total, total[short + 1] - RARE_WORDS, "right") - 1
+    onward = stops <= np.searchsorted(text, text[short], "right")
+    upward = starts >= np.searchsorted(text, text[short])
+    spans = np.unique(np.concatenate([np.stack([short, stops], 1)[onward], np.stack([starts, short + 1], 1)[upward]]), axis=0)
+    first, behind = spans[:, 0], spans[:, 1]
+    runs = hashes[first]
+    for i in range(1, RARE_WORDS):
+        more = first + i < behind
+        runs[more] = mix(runs[more] * CHAIN + hashes[first[more] + i])
+    return mix(runs + (behind - first).astype(np.uint64)), text[first]
+
+
+def _line_arrays(column) -> Iterator[tuple[list, list, list]]:
+    """Hashes and word counts of each row's lines, and hashes of its short lines with their neighbours."""
     for _, _, data, offsets in slices(column):
         words = words_of(data, offsets)
         heads, hashes, text = lines_of(words, offsets)
         sizes = np.diff(np.append(heads, len(words.hashes))).astype(np.int32)
+        runs, of_runs = runs_of(hashes, sizes, text)
         hashes, edges = signed(hashes), np.searchsorted(text, np.arange(len(offsets)))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-            yield hashes[a:b], sizes[a:b]
+        runs, behind = signed(runs), np.searchsorted(of_runs, np.arange(len(offsets)))
+        for a, b, c, d in zip(edges[:-1].tolist(), edges[1:].tolist(), behind[:-1].tolist(), behind[1:].tolist()):
+            yield hashes[a:b], sizes[a:b], runs[c:d]
 
 
 def line_hashes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(id, lines, sizes)``: the hashes and word counts of each row's lines, in order."""
+    """``(id, lines, sizes, runs)``: the hashes and word counts of each row's lines, in order, and of its short lines' runs."""
     def run(batches):
         for batch in few_rows(batches):
             found = list(_line_arrays(batch.column(1)))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array([x for x, _ in found], pa.list_(pa.int64())),
-                pa.array([y for _, y in found], pa.list_(pa.int32())),
-            ], names=["id", "lines", "sizes"])
+                batch.column(0).cast(pa.int64()), pa.array([x for x, _, _ in found], pa.list_(pa.int64())),
+                pa.array([y for _, y, _ in found], pa.list_(pa.int32())),
+                pa.array([z for _, _, z in found], pa.list_(pa.int64())),
+            ], names=["id", "lines", "sizes", "runs"])
 
     return (docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long"), F.col(text).cast("string"))
-            .mapInArrow(run, "id long, lines array<long>, sizes array<int>"))
+            .mapInArrow(run, "id long, lines array<long>, sizes array<int>, runs array<long>"))
 
 
 def _ordered(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -200,8 +226,8 @@ def _without(text: bytes, places: list[int], min_words: int) -> tuple[bytes, lis
 def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, places)``: for later documents, the places of lines that an earlier one holds too, by alignment."""
     arrays = to_table(line_hashes(docs, text, key), "lines")
-    rows = arrays.select("id", F.explode(F.arrays_zip("lines", "sizes")).alias("line"))
-    rare = rows.where(F.col("line.sizes") >= RARE_WORDS).select(F.col("line.lines").alias("line"), "id")
+    alone = F.filter("lines", lambda _, i: F.get("sizes", i) >= RARE_WORDS)
+    rare = arrays.select(F.explode(F.concat(alone, "runs")).alias("line"), "id")
     firsts = rare.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     firsts = firsts.where("first < last").select("line", "first")
     pairs = cut(rare.join(firsts, "line").where("id > first").select("id", "first").distinct())

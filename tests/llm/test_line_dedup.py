@@ -1,5 +1,6 @@
 """Line dedup: alignment, deletion and edge cases."""
 
+import numpy as np
 from hypothesis import given, settings, strategies as st
 
 from feedback_loom.llm import line_dedup, queries
@@ -55,6 +56,35 @@ def test_short_shared_lines_stay(spark):
     assert all(r.text == t for (_, t), r in zip(rows, (cleaned(spark, rows)[i] for i in range(6))))
 
 
+def test_blocks_of_short_lines_are_found(spark):
+    verse = "\n".join(f"v{i}a v{i}b v{i}c" for i in range(20))
+    shouted = " ".join(f"s{i}!" for i in range(40))
+    long = words(35, "g")
+    rows = [(1, f"{words(9, 'a')}\n{verse}\n{words(9, 'b')}"), (2, shouted), (3, f"{long}\ntwo words\n{words(9, 'e')}"),
+            (4, f"{words(9, 'c')}\n{verse}\n{words(9, 'd')}"), (5, f"{words(9, 'f')} {shouted.upper()}"), (6, long),
+            (7, f"{words(9, 'h')}\n{long}\ntwo words\n{words(9, 'i')}"), (8, verse)]
+    got = cleaned(spark, rows)
+    assert all(got[i].text == dict(rows)[i] for i in (1, 2, 3))
+    assert got[4].text == f"{words(9, 'c')}\n{words(9, 'd')}" and got[4].removed_spans == [[1, 21]]
+    assert got[5].text == f"{words(9, 'f')} " and got[5].removed_spans == [[1, 41]]
+    assert got[7].text == f"{words(9, 'h')}\n{words(9, 'i')}" and got[6].text == got[8].text == ""
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 7), max_size=9), max_size=4))
+def test_runs_of_short_lines_stay_in_their_text_and_are_the_shortest(texts):
+    sizes, text = np.array([n for x in texts for n in x], int), np.repeat(np.arange(len(texts)), [len(x) for x in texts])
+    hashes = np.arange(len(sizes), dtype=np.uint64)
+    runs, of_runs = line_dedup.runs_of(hashes, sizes, text)
+    spans = set()
+    for i in np.flatnonzero(sizes < line_dedup.RARE_WORDS).tolist():
+        own = np.flatnonzero(text == text[i]).tolist()
+        spans |= {next(((i, j + 1) for j in own if j >= i and sizes[i:j + 1].sum() >= line_dedup.RARE_WORDS), None),
+                  next(((j, i + 1) for j in own[::-1] if j <= i and sizes[j:i + 1].sum() >= line_dedup.RARE_WORDS), None)}
+    spans = sorted(spans - {None})
+    assert of_runs.tolist() == [text[a] for a, _ in spans] and len(set(runs.tolist())) == len(spans)
+
+
 def test_edge_rows_keep_their_columns(spark):
     docs = spark.createDataFrame(
         [(1, None, "u", 1), (2, "", "v", 2), (3, "\n \n", "w", 3), (None, PASSAGE, "x", 4), (4, PASSAGE, "y", 5),
