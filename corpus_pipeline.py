@@ -16,7 +16,7 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_lines_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without blocks of lines that an earlier document holds; ``n_chars`` is counted anew."""
+    """Texts without blocks of lines, and passages inside lines, that an earlier document holds; ``n_chars`` is counted anew."""
     return line_dedup.without_repeats(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 

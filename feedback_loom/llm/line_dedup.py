@@ -10,6 +10,12 @@ aligned with patience diff: lines that occur once on both sides and keep their o
 are anchors, anchors grow over equal neighbours, the gaps between them are aligned
 alike, and what stays unmatched is aligned again, so moved blocks are found too.
 Runs of matched lines with at least ``min_words`` words leave the later document.
+
+Passages may also begin and end inside lines. Runs of ``min_words`` words, the smallest
+hash of each ``SPREAD`` neighbours, pair a document with the first that holds them, and
+all such runs of the later text that the earlier one holds leave it. So of each passage of
+``min_words + SPREAD - 1`` words that an earlier document holds at least one run goes, and
+no more than ``SPREAD - 1`` words stay at an end of it.
 """
 
 from bisect import bisect_left
@@ -26,6 +32,8 @@ from .words import CHAIN, Words, mix, signed, slices, words_of
 
 RARE_WORDS = 5
 MIN_WORDS = 30
+#: Neighbouring word runs of which one pairs documents: no passage of 50 words is without one.
+SPREAD = 21
 _LINE_END, _STOPS = 0x0A, np.zeros(256, bool)
 _STOPS[[ord("."), ord("!"), ord("?")]] = True
 
@@ -75,8 +83,34 @@ def runs_of(hashes: np.ndarray, sizes: np.ndarray, text: np.ndarray) -> tuple[np
     return mix(runs + (behind - first).astype(np.uint64)), text[first]
 
 
-def _line_arrays(column) -> Iterator[tuple[list, list, list]]:
-    """Hashes and word counts of each row's lines, and hashes of its short lines with their neighbours."""
+def word_runs(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each run of ``k`` hashes; one value per start."""
+    n = len(hashes) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    runs, size = hashes, 1
+    while size < k:
+        step = min(size, k - size)
+        runs, size = mix(runs[:len(runs) - step] * CHAIN + runs[step:]), size + step
+    return runs
+
+
+def _sliding(values: np.ndarray, k: int, best) -> np.ndarray:
+    """The best of each ``k`` neighbours."""
+    size = 1
+    while size < k:
+        step = min(size, k - size)
+        values, size = best(values[:len(values) - step], values[step:]), size + step
+    return values
+
+
+def picked(runs: np.ndarray) -> np.ndarray:
+    """The smallest of each ``SPREAD`` neighbours, or of all if they are fewer; sorted, without repeats."""
+    return np.unique(_sliding(runs, min(SPREAD, len(runs)), np.minimum)) if len(runs) else runs
+
+
+def _line_arrays(column, picks_of: int) -> Iterator[tuple[list, list, list, list]]:
+    """Hashes and word counts of each row's lines, of its short lines with their neighbours, and picked runs of words."""
     for _, _, data, offsets in slices(column):
         words = words_of(data, offsets)
         heads, hashes, text = lines_of(words, offsets)
@@ -84,23 +118,29 @@ def _line_arrays(column) -> Iterator[tuple[list, list, list]]:
         runs, of_runs = runs_of(hashes, sizes, text)
         hashes, edges = signed(hashes), np.searchsorted(text, np.arange(len(offsets)))
         runs, behind = signed(runs), np.searchsorted(of_runs, np.arange(len(offsets)))
-        for a, b, c, d in zip(edges[:-1].tolist(), edges[1:].tolist(), behind[:-1].tolist(), behind[1:].tolist()):
-            yield hashes[a:b], sizes[a:b], runs[c:d]
+        longer = word_runs(words.hashes, picks_of) if picks_of else words.hashes[:0]
+        for i in range(len(offsets) - 1):
+            a, b, c, d = edges[i], edges[i + 1], behind[i], behind[i + 1]
+            own = longer[words.first[i]:max(words.first[i], words.first[i + 1] - picks_of + 1)]
+            yield hashes[a:b], sizes[a:b], runs[c:d], signed(picked(own))
+
 
+def line_hashes(docs: DataFrame, text: str = "text", key: str = "doc_id", picks_of: int = 0) -> DataFrame:
+    """``(id, lines, sizes, runs, picks)``: the hashes and word counts of each row's lines, in order.
 
-def line_hashes(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(id, lines, sizes, runs)``: the hashes and word counts of each row's lines, in order, and of its short lines' runs."""
+    And the hashes of its short lines' runs, and of some runs of ``picks_of`` words (0: of none).
+    """
     def run(batches):
         for batch in few_rows(batches):
-            found = list(_line_arrays(batch.column(1)))
+            found = list(_line_arrays(batch.column(1), picks_of))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), pa.array([x for x, _, _ in found], pa.list_(pa.int64())),
-                pa.array([y for _, y, _ in found], pa.list_(pa.int32())),
-                pa.array([z for _, _, z in found], pa.list_(pa.int64())),
-            ], names=["id", "lines", "sizes", "runs"])
+                batch.column(0).cast(pa.int64()), *(
+                    pa.array([x[i] for x in found], pa.list_(kind))
+                    for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))),
+            ], names=["id", "lines", "sizes", "runs", "picks"])
 
     return (docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long"), F.col(text).cast("string"))
-            .mapInArrow(run, "id long, lines array<long>, sizes array<int>, runs array<long>"))
+            .mapInArrow(run, "id long, lines array<long>, sizes array<int>, runs array<long>, picks array<long>"))
 
 
 def _ordered(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -206,64 +246,112 @@ def _matches(batches):
         yield pa.RecordBatch.from_arrays([later, pa.array(found, pa.list_(pa.int32()))], names=["id", "places"])
 
 
-def _without(text: bytes, places: list[int], min_words: int) -> tuple[bytes, list[tuple[int, int]]]:
-    """A text without the long enough runs of matched lines, and the ranges of lines taken out."""
+def _words_in(text) -> np.ndarray:
+    data = np.frombuffer(text.as_buffer().to_pybytes() if text.is_valid else b"", np.uint8)
+    return words_of(data, np.array([0, len(data)])).hashes
+
+
+def _ranges(marked: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of marked places: first, behind the last."""
+    turns = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
+    return list(zip(np.flatnonzero(turns == 1).tolist(), np.flatnonzero(turns == -1).tolist()))
+
+
+def _common_words(batches, k: int):
+    """Ranges of words of later texts (first, behind the last, first, ...) whose runs of ``k`` words the earlier text holds."""
+    last = held = None
+    for batch in batches:
+        later, texts, earlier = (batch.column(i) for i in range(3))
+        found = []
+        for one, two in zip(texts, earlier):
+            if last is None or not last.equals(two):
+                last, held = two, word_runs(_words_in(two), k)
+            shared = _ranges(np.isin(word_runs(_words_in(one), k), held))
+            found.append([x for i, j in shared for x in (i, j + k - 1)])
+        yield pa.RecordBatch.from_arrays([later, pa.array(found, pa.list_(pa.int32()))], names=["id", "words"])
+
+
+def _without(text: bytes, places: list[int], repeated: list[int], min_words: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """A text without the long enough runs of repeated words, and the ranges of lines that lose words."""
     data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
     words = words_of(data, offsets)
     heads, _, _ = lines_of(words, offsets)
-    marks = np.zeros(len(heads) + 2, np.int8)
-    marks[np.array(places) + 1] = 1
-    turns = np.diff(marks)
-    bounds = np.append(heads, len(words.hashes))
-    cuts = np.append(words.starts[heads], len(text))
+    matched = np.zeros(len(heads), bool)
+    matched[places] = True
+    marked = np.repeat(matched, np.diff(np.append(heads, len(words.hashes))))
+    for i, j in zip(repeated[::2], repeated[1::2]):
+        marked[i:j] = True
+    spans = [(i, j) for i, j in _ranges(marked) if j - i >= min_words]
+    if not spans:
+        return text, []
+    cuts = np.append(words.starts, len(text))
     cuts[0] = 0
-    spans = [(i, j) for i, j in zip(np.flatnonzero(turns == 1).tolist(), np.flatnonzero(turns == -1).tolist())
-             if bounds[j] - bounds[i] >= min_words]
     edges = [0, *(int(cuts[x]) for span in spans for x in span), len(text)]
-    return b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])), spans
+    gone = np.zeros(len(marked), bool)
+    for i, j in spans:
+        gone[i:j] = True
+    return b"".join(text[x:y] for x, y in zip(edges[::2], edges[1::2])), _ranges(np.logical_or.reduceat(gone, heads))
 
 
-def repeated_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(key, places)``: for later documents, the places of lines that an earlier one holds too, by alignment."""
-    arrays = to_table(line_hashes(docs, text, key), "lines")
+def repeated_parts(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS,
+                   within_lines: bool = True) -> DataFrame:
+    """``(key, places, words)``: what later documents share with earlier ones.
+
+    The places of lines, by alignment, and the ranges of words whose runs of ``min_words`` words are held there.
+    """
+    within_lines &= min_words > 0
+    arrays = to_table(line_hashes(docs, text, key, min_words if within_lines else 0), "lines")
     alone = F.filter("lines", lambda _, i: F.get("sizes", i) >= RARE_WORDS)
-    rare = arrays.select(F.explode(F.concat(alone, "runs")).alias("line"), "id")
+    rare = arrays.select(F.explode(F.concat(alone, "runs")).alias("line"), "id", F.lit(False).alias("by_words"))
+    if within_lines:
+        rare = rare.union(arrays.select(F.explode("picks"), "id", F.lit(True)))
     firsts = rare.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     firsts = firsts.where("first < last").select("line", "first")
-    pairs = cut(rare.join(firsts, "line").where("id > first").select("id", "first").distinct())
+    pairs = rare.join(firsts, "line").where("id > first")
+    pairs = cut(pairs.groupBy("id", "first").agg(F.max("by_words").alias("by_words")))
     earlier = arrays.select(F.col("id").alias("first"), F.col("lines").alias("earlier"))
     both = (pairs.join(arrays.select("id", "lines"), "id").join(earlier, "first").select("id", "lines", "earlier"))
-    found = both.mapInArrow(_matches, "id long, places array<int>")
-    found = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"))
+    none = F.array().cast("array<int>")
+    found = both.mapInArrow(_matches, "id long, places array<int>").select("id", "places", none.alias("words"))
+    if within_lines:
+        texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("later"))
+        earlier = texts.toDF("first", "earlier")
+        both = pairs.where("by_words").join(texts, "id").join(earlier, "first").select("id", "later", "earlier")
+        shared = both.mapInArrow(lambda batches: _common_words(batches, min_words), "id long, words array<int>")
+        found = found.union(shared.select("id", none, "words"))
+    found = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
+                                    F.flatten(F.collect_list("words")).alias("words"))
     return to_table(found.withColumnRenamed("id", key), "repeated")
 
 
-def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_words: int = MIN_WORDS,
+                 within_lines: bool = True) -> DataFrame:
     """All rows and columns of ``docs``, ``text`` without repeated blocks, and two columns more.
 
-    ``n_removed`` counts the lines taken out, and ``removed_spans`` holds their ranges
-    ``[first, behind the last]`` of line numbers. A document is later than another if its key
+    ``n_removed`` counts the lines taken out, wholly or in part, and ``removed_spans`` holds their
+    ranges ``[first, behind the last]`` of line numbers. Without ``within_lines`` only whole lines go. A document is later than another if its key
     is larger; rows that share a key, or have none, are never compared with one another. Null
     and empty texts stay. Repeats inside one document stay, as do blocks under ``min_words``
-    words. A block is a run of matched lines; its lines may have been matched in alignments
+    words. A block is a run of matched lines and of repeated words; they may have been matched
     with different earlier documents. Columns of ``docs`` named
-    like the new ones (or ``_places``) give way to them.
+    like the new ones (or ``_places`` and ``_words``) give way to them.
     """
-    docs = without(docs, "n_removed", "removed_spans", "_places")
+    docs = without(docs, "n_removed", "removed_spans", "_places", "_words")
     others = [c for c in docs.columns if c != text]
-    given = join_sized(docs, repeated_lines(docs, text, key).withColumnRenamed("places", "_places"), key, "left")
+    parts = repeated_parts(docs, text, key, min_words, within_lines)
+    given = join_sized(docs, parts.withColumnsRenamed({"places": "_places", "words": "_words"}), key, "left")
     spans = T.ArrayType(T.ArrayType(T.IntegerType()))
     schema = T.StructType([*(docs.schema[c] for c in others), T.StructField(text, T.StringType()),
                            T.StructField("n_removed", T.IntegerType()), T.StructField("removed_spans", spans)])
 
     def run(batches):
         for batch in batches:
-            column, places = batch.column(len(others)), batch.column(len(others) + 1)
+            column, places, words = (batch.column(len(others) + i) for i in range(3))
             texts, removed = [], []
-            for i, given_places in enumerate(places.to_pylist()):
+            for i, (given_places, given_words) in enumerate(zip(places.to_pylist(), words.to_pylist())):
                 value = column[i]
-                if given_places and value.is_valid:
-                    value, found = _without(value.as_buffer().to_pybytes(), given_places, min_words)
+                if (given_places or given_words) and value.is_valid:
+                    value, found = _without(value.as_buffer().to_pybytes(), given_places, given_words, min_words)
                     texts.append(pa.scalar(value.decode(), pa.string()))
                 else:
                     found = []
@@ -274,7 +362,7 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_w
                 [*batch.columns[:len(others)], texts, pa.array([sum(j - i for i, j in x) for x in removed], pa.int32()),
                  pa.array(removed, pa.list_(pa.list_(pa.int32())))], names=schema.names)
 
-    cleaned = mapped(given.select(*[quoted(c) for c in others], F.col(text).cast("string"), "_places"), run, schema)
+    cleaned = mapped(given.select(*[quoted(c) for c in others], F.col(text).cast("string"), "_places", "_words"), run, schema)
     return cleaned.select(*[quoted(c) for c in docs.columns], "n_removed", "removed_spans")
 
 

@@ -85,6 +85,41 @@ def test_runs_of_short_lines_stay_in_their_text_and_are_the_shortest(texts):
     assert of_runs.tolist() == [text[a] for a, _ in spans] and len(set(runs.tolist())) == len(spans)
 
 
+def test_passages_that_begin_and_end_inside_lines_go(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(1, f"one two {passage} three {words(9, 'a')}"), (2, f"{words(9, 'b')} Four {passage.upper()} five six.\n{words(9, 'c')}"),
+            (3, passage), (4, words(70, "d")), (5, words(70, "d").replace("d9 ", "e ").replace("d60 ", "e ")), (6, f"x {words(12, 'p')}")]
+    got = cleaned(spark, rows)
+    assert all(got[i].text == dict(rows)[i] and got[i].n_removed == 0 for i in (1, 4, 6))
+    assert got[2].text == f"{words(9, 'b')} Four five six.\n{words(9, 'c')}" and got[2].removed_spans == [[1, 2]]
+    assert got[3].text == "" and got[3].n_removed == 1
+    assert got[5].text.split() == [*(f"d{i}" for i in range(9)), "e", "e", *(f"d{i}" for i in range(61, 69)), "d69."]
+    assert {r.doc_id for r in line_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1, 2, 4, 5, 6}
+
+
+def test_no_50_words_of_an_earlier_document_stay(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts, earlier, held = {r.doc_id: r.text.encode().lower().split() for r in docs.collect()}, set(), {}
+    for key in sorted(texts):
+        own = texts[key]
+        held[key] = {tuple(own[i:i + 50]) for i in range(len(own) - 49)} & earlier
+        earlier |= {tuple(own[i:i + 50]) for i in range(len(own) - 49)}
+    assert any(held.values())
+    for row in line_dedup.deduplicated(docs).collect():
+        kept = row.text.encode().lower().split()
+        assert not {tuple(kept[i:i + 50]) for i in range(len(kept) - 49)} & held[row.doc_id]
+        assert len(kept) == len(texts[row.doc_id]) if row.n_removed == 0 else len(kept) <= len(texts[row.doc_id]) - 30
+
+
+def test_picked_runs_leave_no_gap():
+    hashes = np.random.default_rng(0).integers(0, 2 ** 63, 400).astype(np.uint64)
+    runs = line_dedup.word_runs(hashes, 30)
+    at = np.flatnonzero(np.isin(runs, line_dedup.picked(runs)))
+    assert len(runs) == 371 and np.diff(at).max() <= line_dedup.SPREAD and at[0] < line_dedup.SPREAD
+    assert line_dedup.word_runs(hashes[7:60], 30).tolist() == runs[7:31].tolist()
+    assert len(line_dedup.picked(runs[:3])) == 1 and len(line_dedup.picked(runs[:0])) == 0
+
+
 def test_edge_rows_keep_their_columns(spark):
     docs = spark.createDataFrame(
         [(1, None, "u", 1), (2, "", "v", 2), (3, "\n \n", "w", 3), (None, PASSAGE, "x", 4), (4, PASSAGE, "y", 5),
