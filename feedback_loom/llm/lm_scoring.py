@@ -12,11 +12,12 @@ weight of all left words of that class together, tokens / (tokens + different pa
 counts are exact, kept as sorted hashes.
 
 Both word counts and pairs grow with the corpus. A model within ``MAX_BYTES`` is one broadcast and one
-pass. A larger one is cut into S shards of words and S x S cells of pairs (left shard,
+pass; filter blocks are written first and their bytes summed. A larger one is cut into S shards of words and S x S cells of pairs (left shard,
 right shard); every token falls into one cell, cells are broadcast one after another, and each
 adds its log probabilities to the rows; results differ by the errors of the filter alone.
 """
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,8 @@ HASHES = 6
 BITS_PER_ENTRY = 10
 #: Most bytes of word counts and filter that are broadcast at once.
 MAX_BYTES = 256 << 20
+#: Most bytes of a word's hash, count and share of the index.
+WORD_BYTES = 16
 #: Bytes of corpus text whose words and pairs meet in one combining task.
 BUCKET_BYTES = 8 << 20
 #: Tokens whose repeats are counted together before they leave a task.
@@ -235,11 +238,39 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
                               "ends": int(counts[keys == END].sum()), "words": len(keys)},
         "bucket int, keys binary, counts binary, tokens long, ends long, words long"), "words")
     tokens, ends, vocabulary = (x or 0 for x in counted.agg(F.sum("tokens"), F.sum("ends"), F.sum("words")).first())
-    shards = max(1, -(-vocabulary * 24 // max_bytes))
-    found, sent = None, []
+    shards = max(1, -(-vocabulary * 2 * WORD_BYTES // max_bytes))
+    while True:
+        blocks = _pair_blocks(spark, source, counted, ends, shards, buckets)
+        most = _most_bytes(counted, blocks, shards, buckets)
+        if most <= max_bytes or shards >= buckets:
+            break
+        # a cell's words shrink with the shards, its filter with their square
+        shards = min(buckets, max(shards + 1, math.ceil(shards * (most / max_bytes) ** 0.5)))
+    sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("pairs", "seen") for i in range(CLASSES)]
+    row = blocks.agg(*sums).first()
+    weights = [(row[f"seen{i}"] or 0) / max(1, (row[f"seen{i}"] or 0) + (row[f"pairs{i}"] or 0)) for i in range(CLASSES)]
+    return Model(counted, blocks, tokens, vocabulary, ends, shards, buckets, weights)
+
+
+def _most_bytes(counted: DataFrame, blocks: DataFrame, shards: int, buckets: int) -> int:
+    """Bytes of the largest cell as it is broadcast: its filter and the words of its shards."""
+    words = counted.groupBy(F.pmod("bucket", F.lit(shards)).alias("one")).agg((F.sum("words") * WORD_BYTES).alias("first"))
+    cells = blocks.groupBy("one", "two").agg(F.sum(F.length("block")).alias("filter"))
+    cells = cells.join(words, "one").join(words.toDF("two", "second"), "two")
+    second = F.when(F.col("one") == F.col("two"), 0).otherwise(F.col("second"))
+    return (cells.agg(F.max(F.col("filter") + F.col("first") + second)).first()[0] or 0) + 16 * buckets
+
+
+def _pair_blocks(spark, source: DataFrame, counted: DataFrame, ends: int, shards: int, buckets: int) -> DataFrame:
+    """The filter blocks of all cells, written; the words of one shard are broadcast at a time."""
+    def block(keys, counts):
+        bare, kinds = keys & np.uint64((1 << 58) - 1), (keys >> CLASS_SHIFT).astype(np.int64)
+        return {"block": filter_block(bare, counts), "pairs": np.bincount(kinds, minlength=CLASSES).tolist(),
+                "seen": np.bincount(kinds, counts, CLASSES).astype(np.int64).tolist()}
+
+    found = None
     for shard in range(shards):
         held = _broadcast_words(spark, counted, shard, shard, shards)
-        sent.append(held)
 
         def pairs(batches, shard=shard, held=held):
             own = held.value
@@ -261,21 +292,11 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
                                      (bare % np.uint64(buckets)).astype(np.int64))
 
         one = source.mapInArrow(pairs, "one int, two int, bucket int, keys binary, counts binary")
-        found = one if found is None else found.unionAll(one)
-
-    def block(keys, counts):
-        bare, kinds = keys & np.uint64((1 << 58) - 1), (keys >> CLASS_SHIFT).astype(np.int64)
-        return {"block": filter_block(bare, counts), "pairs": np.bincount(kinds, minlength=CLASSES).tolist(),
-                "seen": np.bincount(kinds, counts, CLASSES).astype(np.int64).tolist()}
-
-    blocks = to_table(_combined(found, ["one", "two", "bucket"], block,
-                                "one int, two int, bucket int, block binary, pairs array<long>, seen array<long>"), "blocks")
-    for held in sent:
+        one = to_table(_combined(one, ["one", "two", "bucket"], block,
+                                 "one int, two int, bucket int, block binary, pairs array<long>, seen array<long>"), "blocks")
         held.destroy()
-    sums = [F.sum(F.col(c)[i]).alias(f"{c}{i}") for c in ("pairs", "seen") for i in range(CLASSES)]
-    row = blocks.agg(*sums).first()
-    weights = [(row[f"seen{i}"] or 0) / max(1, (row[f"seen{i}"] or 0) + (row[f"pairs{i}"] or 0)) for i in range(CLASSES)]
-    return Model(counted, blocks, tokens, vocabulary, ends, shards, buckets, weights)
+        found = one if found is None else found.unionAll(one)
+    return found
 
 
 def _broadcast_words(spark, counted: DataFrame, one: int, two: int, shards: int):

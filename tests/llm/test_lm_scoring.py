@@ -71,6 +71,26 @@ def test_shards_and_edge_rows(spark):
     assert lm_scoring.scored(docs.limit(0), one).collect() == []
 
 
+def test_filters_are_in_the_bound_too(spark):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 60, 200)) for _ in range(60)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    docs = spark.createDataFrame(list(enumerate(texts[:5])), "doc_id long, text string")
+    one, many = lm_scoring.trained(train), lm_scoring.trained(train, max_bytes=4000)
+    assert one.shards == 1 and many.shards > 1
+    for i in range(many.shards):
+        for j in range(many.shards):
+            words = lm_scoring._broadcast_words(spark, many.words, i, j, many.shards)
+            cell = lm_scoring._broadcast_filter(spark, many.blocks, i, j, many.buckets)
+            parts = [words.value.hashes[1:], words.value.counts[1:], words.value.start, cell.value.bits, cell.value.start, cell.value.size]
+            assert sum(x.nbytes for x in parts) <= 4000
+            words.destroy()
+            cell.destroy()
+    found = [{r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in lm_scoring.scored(docs, m).collect()} for m in (one, many)]
+    for key, (n, known, base, score) in found[0].items():
+        assert found[1][key][:2] == (n, known) and found[1][key][2] == pytest.approx(base) and abs(found[1][key][3] - score) < 0.02 * n
+
+
 def test_levels_and_filter():
     assert lm_scoring.levels(np.array([1, 2, 3, 4, 5, 8, 9])).tolist() == [1, 2, 3, 3, 4, 4, 5]
     assert lm_scoring.floors(np.arange(6)).tolist() == [0, 1, 2, 3, 5, 9]
