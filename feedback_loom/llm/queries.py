@@ -3,8 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (
-    decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, sentencepiece_codec, token_counts, toxicity,
-    url_filters, vocabularies,
+    decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, periodic_runs, sentencepiece_codec,
+    token_counts, toxicity, url_filters, vocabularies,
 )
 
 
@@ -87,9 +87,21 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "ids", F.size("ids").alias("n_tokens"), (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, some of them planted by rule, and digests of all runs and of the collapsed text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = periodic_runs.with_runs(periodic_runs.with_planted_repeats(docs))
+    best = F.col("best")
+    return found.withColumn("best", periodic_runs.strongest(F.col("runs"))).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic_runs.listing(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_toxicity, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup,
-    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece,
+    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece, op11_periodic_runs,
 )}
 
 ORACLES: dict[str, str] = {

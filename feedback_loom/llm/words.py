@@ -83,8 +83,8 @@ class Words:
         return np.diff(self.first)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS) -> Words:
-    lowered = LOWER[data]
+def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS, lower: bool = True) -> Words:
+    lowered = LOWER[data] if lower else data
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
