@@ -3,8 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (
-    decontaminate, embed_dedup, license_scan, line_dedup, lm_scoring, minhash, periodic_runs, sentencepiece_codec,
-    token_counts, toxicity, url_filters, vocabularies,
+    decontaminate, embed_dedup, lexical_search, license_scan, line_dedup, lm_scoring, minhash, periodic_runs,
+    sentencepiece_codec, token_counts, toxicity, url_filters, vocabularies,
 )
 
 
@@ -99,9 +99,14 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_toxicity, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup,
-    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece, op11_periodic_runs,
+    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece, op11_periodic_runs, op12_ranked_search,
 )}
 
 ORACLES: dict[str, str] = {
@@ -142,4 +147,22 @@ ORACLES: dict[str, str] = {
         SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
         FROM (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
         LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a) USING (vec_id)""",
+    "op12_ranked_search": """
+        WITH terms AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents),
+        lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+        wanted AS (SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest(regexp_extract_all(translate(text,
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY ALL),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+                FROM counts, totals GROUP BY term, docs),
+        scores AS (SELECT item_id, doc_id, sum(q * w * ((1000000000 * tf)
+                    // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))))::BIGINT AS score
+                FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+                GROUP BY item_id, doc_id)
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scores WHERE score > 0
+        QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 20""",
 }
