@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (
-    decontaminate, embed_dedup, lexical_search, license_scan, line_dedup, lm_scoring, minhash, periodic_runs,
+    decontaminate, embed_dedup, lexical_search, license_scan, line_dedup, lm_scoring, minhash, packing, periodic_runs,
     sentencepiece_codec, token_counts, toxicity, url_filters, vocabularies,
 )
 
@@ -104,9 +104,15 @@ def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token pieces, packed into sequences of at most 4096 tokens."""
+    found = packing.packed(table(spark, folder, "documents"), vocabularies.path("word_bpe_49k.json"))
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_toxicity, op3_lm_scoring, op4_token_counts, op5_url_filters, op6_minhash_near_dedup,
-    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece, op11_periodic_runs, op12_ranked_search,
+    op7_benchmark_decontamination, op8_embedding_near_dedup, op9_license_scans, op10_sentencepiece, op11_periodic_runs, op12_ranked_search, op13_best_fit_packing,
 )}
 
 ORACLES: dict[str, str] = {

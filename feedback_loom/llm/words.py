@@ -83,7 +83,9 @@ class Words:
         return np.diff(self.first)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS, lower: bool = True) -> Words:
+def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLANKS, lower: bool = True,
+             breaks: np.ndarray | None = None) -> Words:
+    """The words of some texts; a word also begins at each place that ``breaks`` marks."""
     lowered = LOWER[data] if lower else data
     n = len(data)
     if not n:
@@ -94,6 +96,8 @@ def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = BLA
     opens[1:] &= ~inside[:-1]
     edges = offsets[(offsets > 0) & (offsets < n)]
     opens[edges] = inside[edges]
+    if breaks is not None:
+        opens |= breaks & inside
     starts = np.flatnonzero(opens)
     if not len(starts):
         return Words(np.zeros(0, np.uint64), starts, starts, np.zeros(len(offsets), np.int64), lowered)
