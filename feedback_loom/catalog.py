@@ -4,6 +4,7 @@ Answers of a model are derived from the tables themselves (``*_answers``), so ea
 query reads whole tables and its work grows with them.
 """
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -638,6 +639,52 @@ def quarantined_rows(spark, folder):
     return answered.quarantine.select("row_id", "status", "response")
 
 
+def _stopping(limit: int):
+    """``length_scorer`` that has no line for prompts of few texts, as if it broke down after the rounds of many."""
+    reply, bare = length_scorer(), note_remover()
+
+    def stopping(instruction, prompts):
+        if any(bare(p) != p and bare(p).count("<sep>") < limit for p in prompts):
+            raise ConnectionError("no line")
+        return reply(instruction, prompts)
+
+    return stopping
+
+
+def _crashed_and_resumed(spark, folder):
+    """(rows, ledger) of a run that broke down in its later rounds and was taken up again under its name."""
+    texts = documents(spark, folder).select("row_id", "content")
+    name = f"query-{uuid.uuid4().hex}"
+    try:
+        CallableBackend(_stopping(7), run=name).score(texts, "content", "score", 30)
+    except RuntimeError:  # what the run is about
+        pass
+    backend = CallableBackend(length_scorer(), run=name)
+    return backend.score(texts, "content", "score", 30).rows, backend.ledger(spark)
+
+
+def resumed_run(spark, folder):
+    """Scores of a run that was cut off and resumed; ``asked_again`` counts its prompts with more than one stored answer."""
+    rows, ledger = _crashed_and_resumed(spark, folder)
+    again = ledger.answers().groupBy("key").count().agg(F.count_if(F.col("count") > 1)).scalar()
+    return rows.select("row_id", "score", again.alias("asked_again"))
+
+
+def run_rounds(spark, folder):
+    """What the manifest of a resumed run says of its first round, which was complete before the run broke down."""
+    _, ledger = _crashed_and_resumed(spark, folder)
+    return ledger.manifest().where("round = 0").select("step", "round", "prompts", "passes")
+
+
+def equal_texts(spark, folder):
+    """Every text with the smallest key that holds it, which is asked for all its copies, and their number."""
+    rows = documents(spark, folder).where(F.col("content").rlike(r"\S")).select(
+        "row_id", "content", F.unhex(F.md5("content")).alias("__text"))
+    texts = protocol.distinct_texts(rows, "content", "row_id").select(
+        "__text", "__copies", F.col("row_id").alias("asked_row"), F.col("__copies").alias("copies"))
+    return protocol.spread(rows, to_table(texts, "distinct_texts"), rows.count()).select("row_id", "asked_row", "copies")
+
+
 def described_by_function(spark, folder):
     texts = documents(spark, folder)
     bodies = causes.sample_bodies(texts, "lang", causes.CLUSTER_SAMPLE)
@@ -793,7 +840,8 @@ QUERIES = {
         words_per_text, chord_distance,
         clean_tokens, tfidf_weights, cluster_error_sweep, cluster_sweep_facts, elbow_curve, nearest_centroid, group_keywords,
         group_summary, clustered_texts, clustered_text_facts, class_summary,
-        induced_lexicon, score_texts, negative_shares, scored_by_function, quarantined_rows, described_by_function,
+        induced_lexicon, score_texts, negative_shares, scored_by_function, quarantined_rows, resumed_run,
+        run_rounds, equal_texts, described_by_function,
         group_prompts, group_issues, label_proposals, term_overlap, merged_groups, label_reviews,
         classified_by_cosine, classified_by_function, typical_causes, explained_by_function, conclusion_lines,
         conclusion_text, answer_status, resumed_scores, analyze_feedback, analysis_facts, stored_outputs,

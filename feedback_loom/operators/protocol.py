@@ -1,7 +1,9 @@
 """Asking a model in batches: prompt, answer, check, retry, write back.
 
-Answers are written to the shared folder right after each call, so later actions
-and lost executors never cause the calls of a finished round to be made again.
+Answers go to the files of a run (``ledger``), so neither later actions nor a lost
+executor or driver cause a finished round to be asked again. Equal texts are asked
+once: rows are grouped by a 128-bit hash of their text before batching, and the
+answers spread to all rows of a text afterwards.
 """
 
 from collections.abc import Callable, Sequence
@@ -11,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import answers as A
-from ..session import to_table
 from .batching import DEFAULT_BATCH_SIZE, assign_batches, bucket_count
+from .ledger import PROMPTS_PER_TASK, RunLedger
 
 # What a repeated prompt says about the fault of the answer before.
 NOTES = {
@@ -28,6 +30,9 @@ NOTES = {
 
 Ask = Callable[[Column], Column]
 
+#: Rows of one text from which on its answer is spread by broadcast; larger where that would be over 1,000 texts.
+HOT_TEXT = 10_000
+
 
 @dataclass(frozen=True)
 class ItemTask:
@@ -86,9 +91,10 @@ def write_back(checked: DataFrame, row_ids_col: str = "row_ids", row_id: str = "
     )
 
 
-def call_tasks(spark: SparkSession) -> int:
-    """Tasks of a calling stage: enough to keep every core waiting for an answer."""
-    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def call_tasks(spark: SparkSession, prompts: int = 0) -> int:
+    """Tasks of a calling stage: enough to keep every core waiting for an answer, and few prompts in each."""
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")),
+               -(-prompts // PROMPTS_PER_TASK))
 
 
 def _batched_rows(pending: DataFrame, row_id: str, content_col: str, batch_size: int, rows: int) -> DataFrame:
@@ -98,7 +104,7 @@ def _batched_rows(pending: DataFrame, row_id: str, content_col: str, batch_size:
     bucket has a fixed number of partitions. With fewer buckets than tasks (little
     text, then) the finished batches are spread instead.
     """
-    tasks = call_tasks(pending.sparkSession)
+    tasks = call_tasks(pending.sparkSession, rows // batch_size)
     enough = bucket_count(rows, batch_size) >= tasks
 
     def by_key(a: Column, b: Column) -> Column:
@@ -122,40 +128,59 @@ def _batched_rows(pending: DataFrame, row_id: str, content_col: str, batch_size:
     return batches if enough else batches.repartition(tasks)
 
 
+def distinct_texts(rows: DataFrame, content_col: str, row_id: str) -> DataFrame:
+    """``rows`` (with ``__text``, the hash of the text) as one row per text: smallest id, text and number of copies."""
+    return rows.groupBy("__text").agg(F.min(row_id).alias(row_id), F.first(content_col).alias(content_col),
+                                      F.count(F.lit(1)).alias("__copies"))
+
+
+def spread(rows: DataFrame, answers: DataFrame, n_rows: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined with the answer to their text by ``__text``.
+
+    Texts with very many copies are no hot keys of the join: their answers, of ``max(HOT_TEXT, n_rows / 1000)``
+    copies each and so 1,000 at most, are broadcast, and the others joined by shuffle.
+    """
+    hot = answers.where(F.col("__copies") > max(HOT_TEXT, n_rows // 1000))
+    if hot.isEmpty():
+        return rows.join(answers, "__text", how)
+    of_hot = rows.join(F.broadcast(hot), "__text")
+    others = rows.join(F.broadcast(hot.select("__text")), "__text", "left_anti")
+    return of_hot.unionByName(others.join(answers.join(F.broadcast(hot.select("__text")), "__text", "left_anti"), "__text", how))
+
+
 def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTask, ask: Ask,
-                  batch_size: int = DEFAULT_BATCH_SIZE, row_id: str = "row_id"):
+                  batch_size: int = DEFAULT_BATCH_SIZE, row_id: str = "row_id", instruction: str = "",
+                  ledger: RunLedger | None = None, step: str = "items"):
     """Fill ``result_col`` where it is NULL; returns (all rows, quarantine).
 
-    Batches whose answer fails the check are asked again at half the size with a
-    note on the fault, down to single texts. What fails even alone keeps NULL and
-    is listed in the quarantine with its raw answer, as are null and blank texts.
-    Rows travel with their batch, so answers are written back without a join.
+    Every text is asked once, whatever its copies. Batches whose answer fails the check
+    are asked again at half the size with a note on the fault, down to single texts. What
+    fails even alone keeps NULL, in all its copies, and is listed in the quarantine with
+    its raw answer, as are null and blank texts. Rounds are those of ``ledger``, or of a run without a name.
     """
+    ledger = ledger or RunLedger(df.sparkSession)
     columns = [c for c in df.columns if c != result_col]
     has_result = result_col in df.columns
     todo = df.filter(F.col(result_col).isNull()) if has_result else df
     usable = F.coalesce(F.col(content_col).rlike(r"\S"), F.lit(False))
     blank = todo.filter(~usable)
-
-    done = [df.filter(F.col(result_col).isNotNull())] if has_result else []
-    typed = [F.col(c) for c in columns]
-    pending = todo.filter(usable).select(
-        row_id,
-        F.struct(*typed).alias("payload"),
-        F.lit(None).cast("string").alias("note"),
-    )
-    failed = None
-    rows = todo.count()  # reads no text
+    given = todo.filter(usable).select(*columns, F.unhex(F.md5(content_col)).alias("__text"))
+    narrow = given.select("__text", row_id, content_col)
+
+    texts = distinct_texts(narrow, content_col, row_id)
+    pending = texts.select(row_id, F.struct(row_id, content_col, "__text", "__copies").alias("payload"),
+                           F.lit(None).cast("string").alias("note"))
+    n_rows, rows, digest = narrow.agg(F.count(F.lit(1)), F.count_distinct("__text"),
+                                      F.bit_xor(F.xxhash64("__text", row_id))).first()
+    fingerprint = f"{batch_size} {n_rows} {rows} {digest}"
+    found, failed = [], None
     for turn, size in enumerate(halving_sizes(batch_size)):
         batches = _batched_rows(pending, row_id, content_col, size, rows)
-        asked = batches.select("n", "payloads", ask(F.col("prompt")).alias("response"))
         # the check is written with the answer, so later reads filter on a stored column
-        checked = to_table(checked_items(asked, task.check), f"answers_{turn}")
-        done.append(
-            checked.filter(F.col("status") == A.OK)
-            .select("items", F.posexplode("payloads").alias("pos", "payload"))
-            .select("payload.*", F.get("items", F.col("pos")).cast(task.value_type).alias(result_col))
-        )
+        checked = ledger.asked(step, turn, batches, instruction, ask, lambda answered: checked_items(answered, task.check),
+                               "" if turn else fingerprint, call_tasks(df.sparkSession, rows // size))
+        found.append(checked.filter(F.col("status") == A.OK).select("items", F.posexplode("payloads").alias("pos", "payload"))
+                     .select("payload.__text", "payload.__copies", F.get("items", F.col("pos")).cast(task.value_type).alias(result_col)))
         invalid = checked.filter(F.col("status") != A.OK)
         failed = invalid.select("status", "response", F.explode("payloads").alias("payload"))
         rows = invalid.agg(F.sum("n")).first()[0]
@@ -166,24 +191,30 @@ def annotate_rows(df: DataFrame, result_col: str, content_col: str, task: ItemTa
             "payload",
             note_for(F.col("status"), task.notes).alias("note"),
         )
-    empty = F.lit(None).cast(task.value_type).alias(result_col)
-    quarantine = failed.select("payload.*", "status", "response").unionByName(
-        blank.select(*columns, F.lit("blank_text").alias("status"), F.lit(None).cast("string").alias("response")))
-    done.append(quarantine.select(*columns, empty))
+    failed = failed.select("payload.__text", "payload.__copies", "status", "response")
+    answers = reduce(DataFrame.unionByName, found)
     wanted = [F.col(c) for c in columns] + [F.col(result_col).cast(task.value_type).alias(result_col)]
-    return reduce(DataFrame.unionByName, [part.select(*wanted) for part in done]), quarantine
+    done = spread(given, answers, n_rows, "left").select(*wanted)
+    empty = blank.select(*columns, F.lit(None).cast(task.value_type).alias(result_col))
+    parts = [df.filter(F.col(result_col).isNotNull()).select(*wanted)] if has_result else []
+    quarantine = spread(given, failed, n_rows).select(*columns, "status", "response").unionByName(
+        blank.select(*columns, F.lit("blank_text").alias("status"), F.lit(None).cast("string").alias("response")))
+    return reduce(DataFrame.unionByName, [*parts, done, empty]), quarantine
 
 
-def annotate_groups(groups: DataFrame, key: str, task: GroupTask, ask: Ask, max_attempts: int = 4):
+def annotate_groups(groups: DataFrame, key: str, task: GroupTask, ask: Ask, max_attempts: int = 4, instruction: str = "",
+                    ledger: RunLedger | None = None, step: str = "groups"):
     """Ask once per group (key, body); returns (key + parsed columns, quarantine).
 
     Groups are clusters or classes with a capped sample of texts each.
     """
+    ledger = ledger or RunLedger(groups.sparkSession)
     pending = groups.select(key, "body", F.lit(None).cast("string").alias("note"))
     done, failed = [], None
     for attempt in range(max_attempts):
-        asked = pending.select(key, "body", ask(F.concat_ws("\n\n", "note", "body")).alias("response"))
-        checked = to_table(asked.withColumn("status", task.check(F.col("response"))), f"group_answers_{attempt}")
+        batches = pending.select(key, "body", F.concat_ws("\n\n", "note", "body").alias("prompt"))
+        checked = ledger.asked(step, attempt, batches, instruction, ask,
+                               lambda answered: answered.withColumn("status", task.check(F.col("response"))))
         done.append(checked.filter(F.col("status") == A.OK).select(
             key, *[parse(F.col("response")).alias(name) for name, parse in task.parse.items()]))
         failed = checked.filter(F.col("status") != A.OK)

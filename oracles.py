@@ -300,6 +300,15 @@ QUERIES = {
     "scored_by_function": """SELECT doc_id AS row_id,
         CASE WHEN length(text) % 13 <> 0 THEN (length(text) % 11)::INTEGER END AS score FROM documents""",
     "quarantined_rows": "SELECT doc_id AS row_id, 'format' AS status, 'n/a' AS response FROM documents WHERE length(text) % 13 = 0",
+    "resumed_run": """SELECT doc_id AS row_id, CASE WHEN length(text) % 13 <> 0 THEN (length(text) % 11)::INTEGER END AS score,
+        0::BIGINT AS asked_again FROM documents""",
+    "run_rounds": """WITH texts AS (SELECT min(doc_id) AS id FROM documents WHERE regexp_matches(text, '\\S') GROUP BY text),
+        buckets AS (SELECT ('0x' || substr(md5(id::VARCHAR), 1, 8))::BIGINT
+            % (SELECT greatest(1, (count(*) + 2999) // 3000) FROM texts) AS bucket FROM texts)
+        SELECT 'score' AS step, 0 AS round, sum((n + 29) // 30)::BIGINT AS prompts, 1 AS passes
+        FROM (SELECT count(*) AS n FROM buckets GROUP BY bucket)""",
+    "equal_texts": """SELECT doc_id AS row_id, min(doc_id) OVER copies AS asked_row, count(*) OVER copies AS copies
+        FROM documents WHERE regexp_matches(text, '\\S') WINDOW copies AS (PARTITION BY text)""",
     "described_by_function": """SELECT lang, '1.chars ' || length(body) || ',2.lines' AS issues,
         '1.length,2.' || (length(body) - length(replace(body, chr(10), '')) + 1) AS reasons FROM bodies""",
     "group_prompts": "SELECT * FROM bodies",

@@ -4,14 +4,17 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as contract
+import oracles
+from feedback_loom import catalog
 
-ORACLES = contract.oracle_sql()
+ORACLES = oracles.oracle_sql()
 KMEANS = ["analysis_outputs", "cluster_error_sweep", "clustered_texts", "analyze_feedback"]
 
 
 def test_every_query_has_sql_or_needs_a_fit():
-    assert set(contract.queries()) - set(ORACLES) == set(KMEANS)
-    assert set(ORACLES) <= set(contract.queries())
+    assert set(catalog.QUERIES) - set(ORACLES) == set(KMEANS)
+    assert set(ORACLES) <= set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
