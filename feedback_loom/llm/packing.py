@@ -60,15 +60,31 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        marks = [(t.content, n) for n, t in self.tokenizer.get_added_tokens_decoder().items()
+                 if t.special and not t.normalized and t.content.startswith("<|")]
+        self.mark = marks[0] if marks else None
         self.known = np.zeros(0, np.uint64)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one after another, and how many each has.
+
+        Many words are one call, with a special token between them, which nothing reaches over and which marks the places.
+        """
+        if self.mark is None or any("<|" in w for w in words):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([i for f in found for i in f], np.uint32), np.array([len(f) for f in found], np.int64)
+        name, number = self.mark
+        ids = np.array(self.tokenizer.encode_batch_fast([name.join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        marks = np.flatnonzero(ids == number)
+        return np.delete(ids, marks), np.diff(np.concatenate([[-1], marks, [len(ids)]])) - 1
+
     def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids, sizes = zip(*(self._encoded(words[i:i + 512]) for i in range(0, len(words), 512)))
+        size = np.concatenate(sizes)
         start = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.uint32, int(size.sum()))])
+        self.ids = np.concatenate([self.ids, *ids])
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known)
         self.known = known[order]
@@ -328,16 +344,20 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(*table.T, base)
 
 
-def numbered(parts: DataFrame) -> DataFrame:
-    """``parts`` (a written table with a unique ``row``) with ``rank``: from 0 on within each length."""
-    buckets = min(BUCKETS, max(1, -(-parts.count() // BUCKET_ROWS)))
-    parts = parts.withColumn("bucket", F.pmod(F.xxhash64("row"), F.lit(buckets)))
+def numbered(parts: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """``parts`` (a written table with a unique ``row``) with ``rank``: from 0 on within each length.
+
+    A length gets buckets by its count, so there are few more buckets than lengths, and than rows by ``BUCKET_ROWS``.
+    """
+    sizes = [(n, min(BUCKETS, -(-many // BUCKET_ROWS))) for n, many in counts.items()]
+    sizes = parts.sparkSession.createDataFrame(sizes, "length long, buckets long")  # one row per length, of ``capacity`` at most
+    parts = parts.join(F.broadcast(sizes), "length").withColumn("bucket", F.pmod(F.xxhash64("row"), "buckets"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
-    sizes = parts.groupBy("length", "bucket").agg(F.count("*").alias("n"))
-    sizes = to_table(sizes.select("length", "bucket", F.coalesce(before, F.lit(0)).alias("before")), "bucket_sizes")
+    full = parts.groupBy("length", "bucket").agg(F.count("*").alias("n"))
+    full = to_table(full.select("length", "bucket", F.coalesce(before, F.lit(0)).alias("before")), "bucket_sizes")
     own = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("row")) - 1
-    found = join_sized(parts.withColumn("own", own), sizes, ["length", "bucket"])
-    return found.withColumn("rank", F.col("before") + F.col("own")).drop("bucket", "own", "before")
+    found = join_sized(parts.withColumn("own", own), full, ["length", "bucket"])
+    return found.withColumn("rank", F.col("before") + F.col("own")).drop("bucket", "buckets", "own", "before")
 
 
 def packed(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id", capacity: int = CAPACITY, end: int = END,
@@ -354,7 +374,7 @@ def packed(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(plan(counts, capacity))
     columns = [c for c in parts.columns if c != "row"]
     at = columns.index("length")
-    found = numbered(parts).select(*columns, "rank")
+    found = numbered(parts, counts).select(*columns, "rank")
     names = [*columns, "sequence_id", "offset"]
 
     def run(batches):
