@@ -26,8 +26,10 @@ from .words import Words, mix, over_texts, shingles_of, signed
 SLOTS, BAND_ROWS = 160, 5
 #: Standard errors by which an estimate may fall short of the threshold.
 ERRORS = 4.5
-#: Members of a bucket that are compared at once.
-BLOCK = 1024
+#: Shingles of the members of a bucket that are compared at once (a larger set is a block of its own).
+BLOCK_SHINGLES = 1 << 17
+#: Rounds in which each document is compared with one other, and pairs of one document that go to one task.
+ROUNDS, PAIRS = 2, 1000
 FRACTION = np.float64(2.0 ** -53)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,72 +122,97 @@ def shingle_sets(docs: DataFrame, text: str, key: str, k: int) -> DataFrame:
     return docs.select(F.col(key).cast("long"), F.col(text).cast("string")).mapInArrow(run, "id long, elements binary")
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    x, y = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(x) < percent * len(y) or not len(x):
+        return False
+    place = np.searchsorted(y, x)
+    place[place == len(y)] = 0
+    common = int((y[place] == x).sum())
+    return common > 0 and 100 * common >= percent * (len(x) + len(y) - common)
+
+
 def _similar(percent: int):
-    """Keep the pairs whose sets have 100 * intersection >= percent * union."""
+    """Keep the pairs whose sets are similar."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for one, two in zip(batch.column(2), batch.column(3)):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
-                x, y = (x, y) if len(x) <= len(y) else (y, x)
-                place = np.searchsorted(y, x)
-                place[place == len(y)] = 0
-                common = int((y[place] == x).sum()) if len(y) else 0
-                keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
+            keep = [similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair), percent)
+                    for pair in zip(batch.column(2), batch.column(3))]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str, key: str, k: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar on full sets; only texts of paired documents are read again."""
-    ids = cut(pairs.select(F.col("a").alias(key)).union(pairs.select("b")).distinct())
-    sets = to_table(shingle_sets(join_sized(docs, ids, key, "left_semi"), text, key, k), "shingle_sets")
-    both = (pairs.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
-            .select("a", "b", "of_a", "of_b"))
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` that are similar on full sets ``(id, elements)``; an ``a`` with very many partners is dealt to many tasks."""
+    hot = cut(pairs.groupBy("a").count().where(F.col("count") > PAIRS).select(
+        "a", F.ceil(F.col("count") / PAIRS).cast("int").alias("parts")))
+    parts = F.coalesce("parts", F.lit(1))
+    pairs = join_sized(pairs, hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
+    one = join_sized(sets.toDF("a", "of_a"), hot, "a", "left").select(
+        "a", "of_a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    both = pairs.join(sets.toDF("b", "of_b"), "b").join(one, ["a", "part"]).select("a", "b", "of_a", "of_b")
     return both.mapInArrow(_similar(percent), "a long, b long").distinct()
 
 
-def _estimated(least: float):
-    """Keep the pairs whose signatures agree in enough slots."""
-    def run(batches):
-        for batch in batches:
-            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-                        for i in (2, 3)) if batch.num_rows else (np.zeros((0, 1)),) * 2
-            yield batch.select([0, 1]).filter(pa.array((one == two).mean(axis=1) >= least))
-    return run
-
-
-def _block(members: list[dict]) -> tuple:
-    return (np.array([m["id"] for m in members], np.int64), np.array([m["component"] for m in members], np.int64),
-            np.array([m["size"] for m in members], np.int64),
-            np.frombuffer(b"".join(m["signature"] for m in members), np.uint8).reshape(len(members), -1),
-            np.array([m["bands"] for m in members], np.int64))
+class _Block:
+    def __init__(self, members: list[dict]):
+        self.ids = np.array([m["id"] for m in members], np.int64)
+        self.components = [m["component"] for m in members]
+        self.sets = [np.frombuffer(m["elements"], np.uint64) for m in members]
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        self.signatures = np.frombuffer(b"".join(m["signature"] for m in members), np.uint8).reshape(len(members), -1)
+        self.bands = np.array([m["bands"] for m in members], np.int64)
 
 
 def _between(least: float, percent: int):
-    """Pairs of two blocks of a bucket that lie in different components and may be similar.
+    """Links of two blocks of a bucket, confirmed on full sets: a forest that joins the components as all links would.
 
-    A pair that shares several buckets is left to the first of them, so it comes once.
+    A pair that shares several buckets is left to the first of them, so it is compared once.
     """
     def run(batches):
-        for batch in batches:
-            found_a, found_b = [], []
-            for row in range(batch.num_rows):
-                bucket, one, two = (batch.column(i)[row].as_py() for i in range(3))
-                a, b = _block(one), _block(two)
-                for i in range(len(a[0])):
-                    size = a[2][i]
-                    at = np.flatnonzero((a[1][i] != b[1]) & (a[0][i] < b[0])
-                                        & (100 * np.minimum(size, b[2]) >= percent * np.maximum(size, b[2])))
-                    at = at[(b[3][at] == a[3][i]).mean(axis=1) >= least]
-                    shared = b[4][at] == a[4][i]
-                    at = at[a[4][i][shared.argmax(axis=1)] == bucket] if len(at) else at
-                    found_a.extend([int(a[0][i])] * len(at))
-                    found_b.extend(b[0][at].tolist())
-            yield pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], names=["a", "b"])
+        for batch in few_rows(batches, 1):
+            found = []
+            for bucket, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sides = [_Block(b["members"]) for b in blocks]
+                one, two = sides[0], sides[-1]
+                parent: dict[int, int] = {}
+
+                def root(x: int) -> int:
+                    while parent.setdefault(x, x) != x:
+                        parent[x] = x = parent[parent[x]]
+                    return x
+
+                for i, size in enumerate(one.sizes.tolist()):
+                    at = np.flatnonzero((100 * np.minimum(size, two.sizes) >= percent * np.maximum(size, two.sizes))
+                                        & ((one.ids[i] < two.ids) | (one is not two)))
+                    at = at[(two.signatures[at] == one.signatures[i]).mean(axis=1) >= least]
+                    shared = two.bands[at] == one.bands[i]
+                    at = at[one.bands[i][shared.argmax(axis=1)] == bucket] if len(at) else at
+                    for j in at.tolist():
+                        x, y = root(one.components[i]), root(two.components[j])
+                        if x != y and similar(one.sets[i], two.sets[j], percent):
+                            parent[max(x, y)] = min(x, y)
+                            found.append((int(one.ids[i]), int(two.ids[j])))
+            a, b = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return run
 
 
+def _blocks(placed: DataFrame, details: DataFrame) -> DataFrame:
+    """``(bucket, blocks)``: every pair of blocks of each bucket of ``placed (bucket, id, component)``, spread by the pair."""
+    sizes = placed.join(details.select("id", "size"), "id").groupBy("bucket").agg(F.sum("size").alias("shingles"))
+    blocks = join_sized(placed, cut(sizes), "bucket").join(details, "id").withColumn(
+        "n_blocks", F.ceil(F.col("shingles") / BLOCK_SHINGLES).cast("int")).withColumn(
+        "block", F.pmod(F.xxhash64("id"), "n_blocks").cast("int"))
+    blocks = to_table(blocks.groupBy("bucket", "block", "n_blocks").agg(F.collect_list(
+        F.struct("id", "component", "signature", "bands", "elements")).alias("members")), "blocks")
+    other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
+    return blocks.select("bucket", "block", "members", other).groupBy(
+        "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).agg(
+        F.collect_list(F.struct("block", "members")).alias("blocks")).select("bucket", "blocks")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80,
                     slots: int = SLOTS, rows: int = BAND_ROWS) -> DataFrame:
     """``(key, n_shingles, component_id, kept)`` for each row of ``docs``.
@@ -196,46 +223,59 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     is kept. Rows that share a key share a component. Other columns are ignored, and an
     empty table gives an empty result.
 
-    Equal sets are grouped by their hash and go on as one row each. Within a bucket of a
-    band, all members are compared with the bucket's smallest. Buckets whose members then lie in
-    more than one component are cut into blocks, and the blocks are compared with one another,
-    members of one component excepted. So no bucket is capped or collected, no
-    bucket hands out all its pairs, and no link between components is lost.
+    Equal sets are grouped by their size and a 128-bit hash over all elements and go on as one row each. In each of ``ROUNDS``
+    rounds every member is compared, on full sets, with one other: the smallest member of one of its band buckets, if that
+    one is not in its component already. Buckets whose members then lie in more than one component are cut into blocks
+    bounded by their shingles, and the blocks compared with one another inside tasks that hold both blocks' full sets; only
+    links that join components leave a task. So no bucket is capped or collected, the rows made grow with the members, and no
+    link between components is lost.
     """
-    similar = percent / 100
-    least = similar - ERRORS * (similar * (1 - similar) / slots) ** 0.5
+    least = percent / 100 - ERRORS * (percent / 100 * (1 - percent / 100) / slots) ** 0.5
     rows_of = to_table(described(docs, text, key, k, slots, rows), "signatures")
     known = rows_of.where(F.col(key).isNotNull() & (F.col("n_shingles") > 0))
-    groups = known.groupBy("set_a", "set_b").agg(F.min(key).alias("id"), F.max(key).alias("last"))
-    groups = cut(groups.where("id < last").select("set_a", "set_b", "id"))
-    equal = cut(join_sized(known.select(key, "set_a", "set_b"), groups, ["set_a", "set_b"])
+    same = ["set_a", "set_b", "n_shingles"]
+    groups = known.groupBy(*same).agg(F.min(key).alias("id"), F.max(key).alias("last"))
+    groups = cut(groups.where("id < last").select(*same, "id"))
+    equal = cut(join_sized(known.select(key, *same), groups, same)
                 .where(F.col("id") != F.col(key)).select(F.col("id").alias("a"), F.col(key).alias("b")).distinct())
     first = join_sized(known, equal.select(F.col("b").alias(key)), key, "left_anti").select(
         F.col(key).alias("id"), F.col("n_shingles").alias("size"), "bands", "signature")
     members = first.select("id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("id").alias("a"), F.max("id").alias("last"))
     shared = cut(shared.where("a < last").select("bucket", "a"))
-    placed = cut(join_sized(members, shared, "bucket").select("bucket", "a", "id"))
-    pairs = placed.where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    signs = first.select("id", "signature")
-    pairs = cut(pairs.join(signs.toDF("a", "of_a"), "a").join(signs.toDF("b", "of_b"), "b")
-                .select("a", "b", "of_a", "of_b").mapInArrow(_estimated(least), "a long, b long"))
-    links = cut(equal.union(verified(pairs, docs, text, key, k, percent)))
-    found = components(links)
-
-    own = F.coalesce("component", "id").alias("component")
-    placed = placed.join(found, "id", "left").select("bucket", "id", own)
+    placed = to_table(join_sized(members, shared, "bucket").select("bucket", "a", "id"), "buckets")
+    ids = cut(placed.select(F.col("id").alias(key)).distinct())
+    sets = to_table(shingle_sets(join_sized(docs, ids, key, "left_semi"), text, key, k), "shingle_sets")
+
+    links, tried = equal, placed.select("a", F.col("id").alias("b")).limit(0)
+    found = None
+    for number in range(ROUNDS):
+        pairs = placed.where("a <> id")
+        if found is not None:
+            of_a = found.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+            pairs = join_sized(join_sized(pairs, found, "id", "left"), of_a, "a", "left").where(
+                F.coalesce("component", "id") != F.coalesce("of_a", "a"))
+        pick = F.max("a") if number else F.min("a")
+        pairs = cut(pairs.groupBy(F.col("id").alias("b")).agg(pick.alias("a")).select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            break
+        more = cut(verified(pairs, sets, percent))
+        tried = tried.union(pairs)
+        if number and more.isEmpty():
+            break
+        links = links.union(more)
+        found = components(links)
+    found = components(links) if found is None else found
+
+    placed = placed.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.where("low < high").select("bucket"), "bucket", "left_semi")
-    placed = placed.join(first, "id").withColumn(
-        "block", F.floor(F.row_number().over(Window.partitionBy("bucket").orderBy("id")) / BLOCK))
-    blocks = to_table(placed.groupBy("bucket", "block").agg(
-        F.collect_list(F.struct("id", "component", "size", "signature", "bands")).alias("members")), "blocks")
-    both = (blocks.toDF("bucket", "one", "a").join(blocks.toDF("bucket", "two", "b"), "bucket").where("one <= two")
-            .select("bucket", "a", "b"))
-    more = cut(verified(cut(both.mapInArrow(_between(least, percent), "a long, b long")), docs, text, key, k, percent))
-    if not more.isEmpty():
-        found = components(links.union(more))
+    mixed = cut(mixed.where("low < high").select("bucket"))
+    placed = cut(join_sized(placed, mixed, "bucket", "left_semi"))
+    if not placed.isEmpty():
+        details = first.join(sets, "id").join(placed.select("id").distinct(), "id", "left_semi")
+        more = cut(_blocks(placed, details).mapInArrow(_between(least, percent), "a long, b long").distinct())
+        if not more.isEmpty():
+            found = components(links.union(more))
     judged = rows_of.select(key, "n_shingles").join(found.withColumnRenamed("id", key), key, "left")
     component = F.coalesce("component", key)
     return judged.select(key, "n_shingles", component.alias("component_id"),

@@ -55,13 +55,37 @@ def test_components_equal_brute_force(spark, k):
 
 
 def test_blocks_of_a_bucket_find_links_between_components(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 3)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(minhash, "PAIRS", 4)
     rows = list(enumerate([*family(5, 30, 9), *family(6, 12, 9)]))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, k=4).collect()}
     assert got == brute_force(rows, 4, 80)
 
 
+def test_rows_grow_with_the_members_of_a_loose_group(spark, monkeypatch):
+    """Copies of one text that are just too unlike: many share buckets, none a link; candidates must not be pairs of all."""
+    rng, counted = random.Random(4), {}
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    plain = minhash.verified
+
+    def counting(pairs, sets, percent):
+        counted[n] = counted.get(n, 0) + pairs.count()
+        return plain(pairs, sets, percent)
+
+    monkeypatch.setattr(minhash, "verified", counting)
+    for n in (150, 300):
+        rows = []
+        for i in range(n):
+            words = list(base)
+            for place in rng.sample(range(300), 9):
+                words[place] = f"x{rng.randrange(10 ** 9)}"
+            rows.append((i, " ".join(words)))
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.doc_id: r.component_id for r in got} == {i: c for i, (_, c) in brute_force(rows, 5, 80).items()}
+        assert counted[n] <= 2 * n
+
+
 def test_whole_table_equals_brute_force(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op6_minhash_near_dedup(spark, folder).collect()}
