@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import cut, join_sized, to_table
 from ..operators.components import components
-from .columns import few_rows
+from .columns import few_rows, join_dealt
 from .words import Words, mix, over_texts, shingles_of, signed
 
 SLOTS, BAND_ROWS = 160, 5
@@ -28,8 +28,8 @@ SLOTS, BAND_ROWS = 160, 5
 ERRORS = 4.5
 #: Shingles of the members of a bucket that are compared at once (a larger set is a block of its own).
 BLOCK_SHINGLES = 1 << 17
-#: Rounds in which each document is compared with one other, and pairs of one document that go to one task.
-ROUNDS, PAIRS = 2, 1000
+#: Rounds in which each document is compared with one other.
+ROUNDS = 2
 FRACTION = np.float64(2.0 ** -53)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -144,14 +144,9 @@ def _similar(percent: int):
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are similar on full sets ``(id, elements)``; an ``a`` with very many partners is dealt to many tasks."""
-    hot = cut(pairs.groupBy("a").count().where(F.col("count") > PAIRS).select(
-        "a", F.ceil(F.col("count") / PAIRS).cast("int").alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    pairs = join_sized(pairs, hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), parts).cast("int").alias("part"))
-    one = join_sized(sets.toDF("a", "of_a"), hot, "a", "left").select(
-        "a", "of_a", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
-    both = pairs.join(sets.toDF("b", "of_b"), "b").join(one, ["a", "part"]).select("a", "b", "of_a", "of_b")
+    """The pairs ``(a, b)`` that are similar on full sets ``(id, elements)``; only sets of paired documents are moved."""
+    one, two = (join_sized(sets.toDF(c, f"of_{c}"), cut(pairs.select(c).distinct()), c, "left_semi") for c in ("a", "b"))
+    both = join_dealt(pairs.join(two, "b"), one, "a", "b").select("a", "b", "of_a", "of_b")
     return both.mapInArrow(_similar(percent), "a long, b long").distinct()
 
 
@@ -207,10 +202,12 @@ def _blocks(placed: DataFrame, details: DataFrame) -> DataFrame:
         "block", F.pmod(F.xxhash64("id"), "n_blocks").cast("int"))
     blocks = to_table(blocks.groupBy("bucket", "block", "n_blocks").agg(F.collect_list(
         F.struct("id", "component", "signature", "bands", "elements")).alias("members")), "blocks")
+    whole = blocks.where("n_blocks = 1").select("bucket", F.array(F.struct("block", "members")).alias("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)).alias("other")
-    return blocks.select("bucket", "block", "members", other).groupBy(
+    cut_up = blocks.where("n_blocks > 1").select("bucket", "block", "members", other).groupBy(
         "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")).agg(
         F.collect_list(F.struct("block", "members")).alias("blocks")).select("bucket", "blocks")
+    return whole.unionByName(cut_up)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k: int = 5, percent: int = 80,
@@ -272,7 +269,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", k:
     mixed = cut(mixed.where("low < high").select("bucket"))
     placed = cut(join_sized(placed, mixed, "bucket", "left_semi"))
     if not placed.isEmpty():
-        details = first.join(sets, "id").join(placed.select("id").distinct(), "id", "left_semi")
+        ids = cut(placed.select("id").distinct())
+        details = join_sized(first, ids, "id", "left_semi").join(join_sized(sets, ids, "id", "left_semi"), "id")
         more = cut(_blocks(placed, details).mapInArrow(_between(least, percent), "a long, b long").distinct())
         if not more.isEmpty():
             found = components(links.union(more))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Row
 
-from feedback_loom.llm import minhash, queries
+from feedback_loom.llm import columns, minhash, queries
 from feedback_loom.operators.components import components
 
 
@@ -56,7 +56,7 @@ def test_components_equal_brute_force(spark, k):
 
 def test_blocks_of_a_bucket_find_links_between_components(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 400)
-    monkeypatch.setattr(minhash, "PAIRS", 4)
+    monkeypatch.setattr(columns, "DEALT", 4)
     rows = list(enumerate([*family(5, 30, 9), *family(6, 12, 9)]))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, k=4).collect()}
