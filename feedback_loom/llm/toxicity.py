@@ -19,6 +19,7 @@ Fitting takes a bounded sample: ``SAMPLE`` labelled rows at most, half of each l
 are enough, in order of a hash of the key, none with more than ``SAMPLE_BYTES`` bytes. Scoring reads every row and every whole text.
 """
 
+import pickle
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -352,24 +353,32 @@ def fitted(texts: list[str], labels: list[int], name: str = "") -> Model:
     return Model(landmarks, weights, max(slope, 1e-6), shift, n1 / (n1 + n0), name)
 
 
-def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, size: int = SAMPLE) -> tuple[list[str], list[int]]:
-    """The bounded training sample: texts and labels."""
+def sample(docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, size: int = SAMPLE) -> DataFrame:
+    """The bounded training sample ``(_text, _label)``."""
     known = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1)).groupBy(key).agg(F.max(label).alias("_label"))
     parts = [known.where(F.col("_label") == v).orderBy(F.xxhash64(key), key).limit(size // 2) for v in (0, 1)]
     ids = parts[0].unionAll(parts[1])
-    rows = (docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
+    return (docs.select(F.col(key), F.col(text).cast("string").alias("_text"))
             .where(F.octet_length("_text") <= SAMPLE_BYTES).join(F.broadcast(ids), key)
-            .orderBy(key, "_text").select("_text", "_label").limit(2 * size).collect())
-    return [r["_text"] for r in rows], [r["_label"] for r in rows]
+            .orderBy(key, "_text").select("_text", F.col("_label").cast("int")).limit(2 * size))
 
 
 def trained(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic",
             size: int = SAMPLE) -> Model:
     """Fit on labelled rows; several labels of a key count as the largest, labels other than 0 and 1 are left out.
 
-    Without rows of both labels every text scores 1 if only toxic ones are known, else 0.
+    Without rows of both labels every text scores 1 if only toxic ones are known, else 0. The sample is bounded, so one
+    task of an executor fits it, and the driver sees the model alone.
     """
-    return fitted(*sample(docs, labels, text, key, label, size))
+    def run(batches):
+        texts, given = [], []
+        for batch in batches:
+            texts.extend(batch.column(0).to_pylist())
+            given.extend(batch.column(1).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fitted(texts, given))], pa.binary())], names=["model"])
+
+    found = sample(docs, labels, text, key, label, size).coalesce(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else fitted([], [])
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", score: str = "score") -> DataFrame:
