@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..session import cut, join_sized, to_table
-from .columns import few_rows, mapped, quoted, without
+from .columns import few_rows, join_dealt, mapped, quoted, without
 from .words import CHAIN, Words, mix, signed, slices, words_of
 
 RARE_WORDS = 5
 MIN_WORDS = 30
+#: Passes of the alignment in which order counts, and documents from which on a line is joined by broadcast.
+PASSES, HOT_LINE = 16, 1000
 #: Neighbouring word runs of which one pairs documents: no passage of 50 words is without one.
 SPREAD = 21
 _LINE_END, _STOPS = 0x0A, np.zeros(256, bool)
@@ -217,17 +219,24 @@ def _counted(lines: list[int], places: list[int]) -> dict[tuple[int, int], int]:
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Matched positions of two lists of lines; moved blocks are found in further passes."""
+    """Matched positions of two lists of lines; moved blocks are found in further passes.
+
+    Lines in reverse would need a pass each; what is left after ``PASSES`` passes is in no common order any more, and the k-th
+    of a line takes the k-th there, as the passes would in the end.
+    """
     shared = set(a) & set(b)
     left = [i for i, x in enumerate(a) if x in shared]
     right = [i for i, x in enumerate(b) if x in shared]
     found: list[tuple[int, int]] = []
+    turns = 0
     while left and right:
-        step = _aligned(a, b, left, right)
+        turns += 1
+        step = _aligned(a, b, left, right) if turns <= PASSES else None
         if not step:
             # no line occurs once on both sides any more: the k-th of a line takes the k-th there
             there = _counted(b, right)
-            step = _ordered([(i, there[x]) for x, i in _counted(a, left).items() if x in there])
+            step = [(i, there[x]) for x, i in _counted(a, left).items() if x in there]
+            step = _ordered(step) if turns <= PASSES else step
         if not step:
             break
         found.extend(step)
@@ -302,21 +311,26 @@ def repeated_parts(docs: DataFrame, text: str = "text", key: str = "doc_id", min
     within_lines &= min_words > 0
     arrays = to_table(line_hashes(docs, text, key, min_words if within_lines else 0), "lines")
     alone = F.filter("lines", lambda _, i: F.get("sizes", i) >= RARE_WORDS)
-    rare = arrays.select(F.explode(F.concat(alone, "runs")).alias("line"), "id", F.lit(False).alias("by_words"))
+    # a line counts once for a document, however often it stands there
+    rare = arrays.select(F.explode(F.array_distinct(F.concat(alone, "runs"))).alias("line"), "id", F.lit(False).alias("by_words"))
     if within_lines:
-        rare = rare.union(arrays.select(F.explode("picks"), "id", F.lit(True)))
-    firsts = rare.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    firsts = firsts.where("first < last").select("line", "first")
-    pairs = rare.join(firsts, "line").where("id > first")
+        rare = rare.union(arrays.select(F.explode(F.array_distinct("picks")), "id", F.lit(True)))
+    firsts = rare.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
+    firsts = cut(firsts.where("first < last").select("line", "first", "n"))
+    # lines of very many documents are few: there are less than rows / HOT_LINE of them, and they are joined by broadcast
+    hot = cut(firsts.where(F.col("n") > HOT_LINE).select("line", "first"))
+    others = join_sized(rare, hot.select("line"), "line", "left_anti").join(
+        firsts.where(F.col("n") <= HOT_LINE).select("line", "first"), "line")
+    pairs = join_sized(rare, hot, "line").unionByName(others).where("id > first")
     pairs = cut(pairs.groupBy("id", "first").agg(F.max("by_words").alias("by_words")))
     earlier = arrays.select(F.col("id").alias("first"), F.col("lines").alias("earlier"))
-    both = (pairs.join(arrays.select("id", "lines"), "id").join(earlier, "first").select("id", "lines", "earlier"))
+    both = join_dealt(pairs.join(arrays.select("id", "lines"), "id"), earlier, "first", "id").select("id", "lines", "earlier")
     none = F.array().cast("array<int>")
     found = both.mapInArrow(_matches, "id long, places array<int>").select("id", "places", none.alias("words"))
     if within_lines:
         texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("later"))
         earlier = texts.toDF("first", "earlier")
-        both = pairs.where("by_words").join(texts, "id").join(earlier, "first").select("id", "later", "earlier")
+        both = join_dealt(pairs.where("by_words").join(texts, "id"), earlier, "first", "id").select("id", "later", "earlier")
         shared = both.mapInArrow(lambda batches: _common_words(batches, min_words), "id long, words array<int>")
         found = found.union(shared.select("id", none, "words"))
     found = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),

@@ -18,8 +18,8 @@ def remainder(n: int) -> Column:
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents without the blocks of whole lines that an earlier document holds."""
-    done = line_dedup.deduplicated(table(spark, folder, "documents"), within_lines=False)
+    """Documents without the blocks of lines, and the passages inside lines, that an earlier document holds."""
+    done = line_dedup.deduplicated(table(spark, folder, "documents"))
     return done.select("doc_id", "text", "n_removed", "removed_spans")
 
 

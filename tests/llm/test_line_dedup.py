@@ -3,7 +3,7 @@
 import numpy as np
 from hypothesis import given, settings, strategies as st
 
-from feedback_loom.llm import line_dedup, queries
+from feedback_loom.llm import columns, line_dedup, queries
 
 PASSAGE = "\n".join(" ".join(f"p{i}{j}" for j in range(12)) + "." for i in range(5))
 
@@ -147,21 +147,54 @@ def naive(rows):
     return {key: lines(text) for key, text in rows}
 
 
-def test_whole_table_removes_only_lines_that_earlier_documents_hold(spark, folder):
+def is_subsequence(few, many):
+    rest = iter(many)
+    return all(x in rest for x in few)
+
+
+def test_whole_table_against_all_pairs(spark, folder):
+    """What goes was held by earlier documents, as lines or runs of words; no run of 50 words that one holds stays whole."""
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
-    lines = naive(docs.items())
-    seen = {}
+    lines, seen, runs = naive(docs.items()), {}, {n: {} for n in (30, 50)}
+    words = {key: [w for line in lines[key] for w in line] for key in lines}
     for key in sorted(lines):
         for line in lines[key]:
             seen.setdefault(line, key)
+        for n, held in runs.items():
+            for i in range(len(words[key]) - n + 1):
+                held.setdefault(tuple(words[key][i:i + n]), key)
+    removed = 0
     for row in queries.op1_line_dedup(spark, folder).collect():
-        assert (row.n_removed == 0) == (row.text == docs[row.doc_id])
-        for a, b in row.removed_spans:
-            gone = lines[row.doc_id][a:b]
-            assert all(seen[line] < row.doc_id for line in gone)
-            assert sum(map(len, gone)) >= line_dedup.MIN_WORDS
-        kept = len(row.text.split())
-        assert kept + sum(len(x) for a, b in row.removed_spans for x in lines[row.doc_id][a:b]) == len(docs[row.doc_id].split())
+        key, own = row.doc_id, words[row.doc_id]
+        assert (row.n_removed == 0) == (row.text == docs[key])
+        may_go = [seen[line] < key for line in lines[key] for _ in line]
+        for i in range(len(own) - 29):
+            if runs[30][tuple(own[i:i + 30])] < key:
+                may_go[i:i + 30] = [True] * 30
+        kept = (row.text or "").encode().lower().split()
+        assert is_subsequence(kept, own) and is_subsequence([w for w, gone in zip(own, may_go) if not gone], kept)
+        removed += len(own) - len(kept)
+        text = b" " + b" ".join(kept) + b" "
+        for i in range(len(own) - 49):
+            run = tuple(own[i:i + 50])
+            assert runs[50][run] == key or b" " + b" ".join(run) + b" " not in text, (key, i)
+    assert removed > 0
+
+
+def test_reversed_lines_are_aligned_in_time():
+    n = 100_000
+    found = line_dedup.patience(list(range(n)), list(range(n))[::-1])
+    assert len(found) == n and all(i + j == n - 1 for i, j in found)
+
+
+def test_common_lines_and_first_documents_are_dealt(spark, monkeypatch):
+    rows = [(i, f"{PASSAGE}\nown words of document number {i} stand here and nowhere else at all") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plain = {tuple(r) for r in line_dedup.deduplicated(docs).select("doc_id", "text", "n_removed").collect()}
+    monkeypatch.setattr(line_dedup, "HOT_LINE", 5)
+    monkeypatch.setattr(columns, "DEALT", 7)
+    assert {tuple(r) for r in line_dedup.deduplicated(docs).select("doc_id", "text", "n_removed").collect()} == plain
+    assert sum(n > 0 for _, _, n in plain) == 59
 
 
 def test_clashing_names_give_way(spark):
