@@ -12,17 +12,23 @@ The number of tile pairs grows with the square of the table unless the first axi
 them: that is the price of an exact join by this method.
 """
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut, to_table
+from ..session import to_table
 from ..operators.components import components
+from .columns import few_rows, join_dealt
 
-TILE, LEAD, ROWS, PAIRS = 4096, 16, 512, 1 << 16
+#: Most rows of a tile; wide vectors get fewer, so that a tile's values keep to ``TILE_BYTES``.
+TILE, TILE_BYTES = 4096, 8 << 20
+LEAD, ROWS, PAIRS = 16, 512, 1 << 16
 #: Room for the rounding of single precision in the bounds.
 SLACK = 1e-4
 
@@ -102,27 +108,66 @@ def compared(a: Tile, b: Tile, threshold: float, same: bool):
     return ids[at], counts[at], ids[order][labels[rank[at]]]
 
 
-def _packed(batches, width: int, axes_of):
-    """Tiles of the rows of one partition, in its order."""
-    task, number, axes = TaskContext.get().partitionId(), 0, axes_of.value
+def _keyed(batches):
+    """Id, vector as bytes and their digest of each row; digest and vector are null where a vector links with nothing."""
     for batch in batches:
-        for top in range(0, batch.num_rows, TILE):
-            part = batch.slice(top, TILE)
-            lists = part.column(2)
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int32)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            values = np.zeros((len(sizes), width))
-            values[np.arange(width) < sizes[:, None]] = flat
-            lead = unit(values) @ axes[:, 0]
-            ids = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            copies = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.RecordBatch.from_pydict({
-                "tile": [(task << 32) + number], "low": [float(lead.min())], "high": [float(lead.max())],
-                "ids": [ids.tobytes()], "copies": [copies.tobytes()], "sizes": [sizes.tobytes()],
-                "vectors": [values.tobytes()]}, schema=pa.schema([
-                    ("tile", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()),
-                    ("copies", pa.binary()), ("sizes", pa.binary()), ("vectors", pa.binary())]))
-            number += 1
+        lists = batch.column(1)
+        sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+        flat = lists.flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # one zero only
+        row_of = np.repeat(np.arange(len(sizes)), sizes)
+        broken = np.bincount(row_of, ~np.isfinite(flat), len(sizes)) > 0
+        sound = (np.bincount(row_of, flat != 0, len(sizes)) > 0) & ~broken & batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+        edges = np.concatenate([[0], np.cumsum(sizes)])
+        vectors = [flat[a:b].tobytes() if ok else None for a, b, ok in zip(edges[:-1], edges[1:], sound)]
+        digests = [None if v is None else hashlib.sha256(v).digest() for v in vectors]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vectors, pa.binary()), pa.array(digests, pa.binary())],
+                                         names=["id", "vector", "digest"])
+
+
+def _padded(column, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors from their bytes, filled up with zeros, and their sizes."""
+    sizes = (pc.binary_length(column).to_numpy(zero_copy_only=False) // 8).astype(np.int32)
+    values = np.zeros((len(sizes), width))
+    values[np.arange(width) < sizes[:, None]] = np.frombuffer(b"".join(column.to_pylist()), np.float64)
+    return values, sizes
+
+
+def _units(batches, width: int):
+    for batch in few_rows(batches):
+        values, _ = _padded(batch.column(0), width)
+        offsets = pa.array(np.arange(0, values.size + 1, width, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(unit(values).ravel()))], names=["unit"])
+
+
+def _led(batches, width: int, axes_of):
+    """Rows with their coordinate on the first axis."""
+    for batch in few_rows(batches):
+        lead = unit(_padded(batch.column(2), width)[0]) @ axes_of.value[:, 0]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lead)], names=["id", "copies", "vector", "lead"])
+
+
+def _packed(batches, width: int, rows: int):
+    """Tiles of ``rows`` rows of one partition, in its order, whatever the batches."""
+    task, number, waiting = TaskContext.get().partitionId(), 0, []
+
+    def packed(part: pa.Table, number: int) -> pa.RecordBatch:
+        values, sizes = _padded(part.column(2).combine_chunks(), width)
+        ids, copies, lead = (part.column(i).to_numpy() for i in (0, 1, 3))
+        return pa.RecordBatch.from_pydict({
+            "tile": [(task << 32) + number], "low": [float(lead.min())], "high": [float(lead.max())],
+            "ids": [ids.tobytes()], "copies": [copies.tobytes()], "sizes": [sizes.tobytes()],
+            "vectors": [values.tobytes()]}, schema=pa.schema([
+                ("tile", pa.int64()), ("low", pa.float64()), ("high", pa.float64()), ("ids", pa.binary()),
+                ("copies", pa.binary()), ("sizes", pa.binary()), ("vectors", pa.binary())]))
+
+    for batch in few_rows(batches):
+        waiting.append(batch)
+        while sum(b.num_rows for b in waiting) >= rows:
+            table = pa.Table.from_batches(waiting)
+            yield packed(table.slice(0, rows), number)
+            waiting, number = table.slice(rows).to_batches(), number + 1
+    if any(b.num_rows for b in waiting):
+        yield packed(pa.Table.from_batches(waiting), number)
 
 
 def near_vectors(vectors: DataFrame, value: str = "embedding", key: str = "vec_id", threshold: float = 0.95) -> DataFrame:
@@ -135,31 +180,26 @@ def near_vectors(vectors: DataFrame, value: str = "embedding", key: str = "vec_i
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(value).cast("array<double>").alias("vector"))
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    sound = (F.col("id").isNotNull() & F.col("vector").isNotNull() & (F.size("vector") > 0) & finite
-             & F.exists("vector", lambda x: x != 0))
-    groups = to_table(rows.where(sound).groupBy("vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "vectors")
-    head = groups.agg(F.max(F.size("vector")), F.count("*")).first()
-    width, n = head[0] or 0, head[1]
-    found = links = None
+    keyed = rows.mapInArrow(_keyed, "id long, vector binary, digest binary")
+    sound = keyed.where("digest IS NOT NULL")
+    # copies combine before they are moved; from here on a vector is known by its digest
+    groups = to_table(sound.groupBy("digest").agg(
+        F.min("id").alias("id"), F.count("*").alias("copies"), F.any_value("vector").alias("vector")), "vectors")
+    head = groups.agg(F.max(F.octet_length("vector")), F.count("*")).first()
+    width, n = (head[0] or 0) // 8, head[1]
     if n:
-        scale = F.array_max(F.transform("vector", F.abs))
-        scaled = F.transform("vector", lambda x: x / F.col("scale"))
-        norm = F.sqrt(F.aggregate("scaled", F.lit(0.0), lambda s, x: s + x * x))
-        padded = F.concat(F.transform("scaled", lambda x: x / F.col("norm")),
-                          F.array_repeat(F.lit(0.0), F.lit(width) - F.size("vector")))
-        prepared = (groups.withColumn("scale", scale).withColumn("scaled", scaled).withColumn("norm", norm)
-                    .withColumn("features", array_to_vector(padded)))
         axes = np.eye(width)
         if n > 1 and width > 1:
-            axes = PCA(k=width, inputCol="features").fit(prepared.select("features")).pc.toArray()
+            units = groups.select("vector").mapInArrow(lambda batches: _units(batches, width), "unit array<double>")
+            features = to_table(units, "units").select(array_to_vector("unit").alias("features"))
+            axes = PCA(k=width, inputCol="features").fit(features).pc.toArray()
         axes_of = spark.sparkContext.broadcast(axes)
-        first = F.aggregate(F.zip_with(padded, F.lit(axes[:, 0].tolist()), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-        tiles_wanted = -(-n // TILE)
-        placed = (prepared.withColumn("lead", first).select("id", "copies", "vector", "lead")
-                  .repartitionByRange(tiles_wanted, "lead").sortWithinPartitions("lead", "id").select("id", "copies", "vector"))
+        tile_rows = max(1, min(TILE, TILE_BYTES // (8 * width)))
+        placed = (groups.select("id", "copies", "vector")
+                  .mapInArrow(lambda batches: _led(batches, width, axes_of), "id long, copies long, vector binary, lead double")
+                  .repartitionByRange(-(-n // tile_rows), "lead").sortWithinPartitions("lead", "id"))
         schema = "tile long, low double, high double, ids binary, copies binary, sizes binary, vectors binary"
-        tiles = to_table(placed.mapInArrow(lambda batches: _packed(batches, width, axes_of), schema), "tiles")
+        tiles = to_table(placed.mapInArrow(lambda batches: _packed(batches, width, tile_rows), schema), "tiles")
         # one small row per tile: which tiles are near enough on the first axis, as |x - y|^2 = 2 - 2 cos
         ranges = sorted((r.low, r.high, r.tile) for r in tiles.select("tile", "low", "high").collect())
         reach = np.sqrt(2 - 2 * threshold) + SLACK
@@ -184,12 +224,12 @@ def near_vectors(vectors: DataFrame, value: str = "embedding", key: str = "vec_i
         found = to_table(both.select("two", "one", "a", "b").mapInArrow(run, "id long, n long, low long"), "linked")
         links = components(found.select(F.col("id").alias("a"), F.col("low").alias("b")))
         found = found.groupBy("id").agg(F.sum("n").alias("n"))
-        groups = (groups.join(found, "id", "left").join(links, "id", "left")
-                  .select("vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        groups = (groups.select("digest", "id", "copies").join(found, "id", "left").join(links, "id", "left")
+                  .select("digest", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
                           F.coalesce("component", "id").alias("component_id")))
     else:
-        groups = groups.select("vector", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    sound_rows = rows.where(sound).join(groups, "vector").select("id", "n_links", "component_id")
-    other = rows.where(~F.coalesce(sound, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
-    return sound_rows.unionByName(other).select(
+        groups = groups.select("digest", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    linked = join_dealt(sound.select("id", "digest"), groups, "digest", "id").select("id", "n_links", "component_id")
+    other = keyed.where("digest IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    return linked.unionByName(other).select(
         F.col("id").alias(key), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
