@@ -1,11 +1,13 @@
 """License scan with a positional index of rare words.
 
-Templates are short texts with a mandatory key phrase each. The index holds, for every
-template, the words of its key phrase with the highest inverse document frequency in the
-scanned table, with their positions. A file's rare licence words are looked up; postings that agree on
-the relative position of all of a phrase's rare words propose a place, where the whole key
-phrase must then stand word by word. The rest of the template is compared around verified
-places; its share of words found in place is the score.
+Templates are short texts with a mandatory key phrase each. The index holds postings: for
+a word, the templates in whose key phrase it is the rarest or the second rarest by document frequency
+in the scanned table, and its position there. As a phrase stands only where all of its words do,
+a file's licence words of highest inverse document frequency meet every phrase that the file holds.
+They are looked up wherever they stand; postings of the same template that agree on the relative
+position propose a place, where the whole key phrase must then stand word by word. The rest of the
+template is compared around verified places; its share of words found in place is the score.
+Work follows the hits of the postings, not the number of templates.
 
 Words are runs of ASCII digits and letters (lower-cased) and non-ASCII characters.
 """
@@ -64,7 +66,7 @@ TEMPLATES = (
 
 
 class PositionalIndex:
-    """Words of all templates as small numbers, and the rare words of each key phrase."""
+    """Words of all templates as small numbers, and postings of the rare words of key phrases."""
 
     def __init__(self, templates: tuple[Template, ...], frequency: dict[str, int] | None = None):
         self.templates = templates
@@ -77,18 +79,28 @@ class PositionalIndex:
         self.filter[self.hashes >> np.uint64(64 - FILTER_BITS)] = True
         number = {w: i for i, w in enumerate(words)}
         frequency = frequency or {}
-        self.texts, self.phrases, self.rare = [], [], []
-        for t in templates:
-            text, phrase = t.text.split(), t.phrase.split()
+        self.texts, phrases = [], [t.phrase.split() for t in templates]
+        self.sizes = np.array([len(p) for p in phrases], np.int64)
+        self.phrases = np.full((len(templates), max(self.sizes, default=0)), -1, np.int32)
+        found: list[list[tuple[int, int, int]]] = [[] for _ in range(RARE)]
+        for t, (template, phrase) in enumerate(zip(templates, phrases)):
+            text = template.text.split()
             at = next(i for i in range(len(text)) if text[i:i + len(phrase)] == phrase)
-            rare = sorted(range(len(phrase)), key=lambda i: (frequency.get(phrase[i], 0), i))[:RARE]
-            self.texts.append((np.array([number[w] for w in text], np.int16), at))
-            self.phrases.append(np.array([number[w] for w in phrase], np.int16))
-            self.rare.append(rare)
+            self.texts.append((np.array([number[w] for w in text], np.int32), at))
+            self.phrases[t, :len(phrase)] = [number[w] for w in phrase]
+            rare = sorted(range(len(phrase)), key=lambda i: (frequency.get(phrase[i], 0), i))
+            for rank in range(RARE):
+                # a phrase of one word has it at every rank
+                i = rare[min(rank, len(rare) - 1)]
+                found[rank].append((number[phrase[i]], t, i))
+        self.postings = []
+        for rows in found:
+            word, template, position = np.array(sorted(rows), np.int64).reshape(-1, 3).T
+            self.postings.append((np.searchsorted(word, np.arange(len(words) + 1)), template, position))
 
     def numbered(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word, -1 for words of no template."""
-        found = np.full(len(hashes), -1, np.int16)
+        found = np.full(len(hashes), -1, np.int32)
         at = np.flatnonzero(self.filter[hashes >> np.uint64(64 - FILTER_BITS)])
         place = np.searchsorted(self.hashes, hashes[at])
         place[place == len(self.hashes)] = 0
@@ -96,16 +108,31 @@ class PositionalIndex:
         found[at[same]] = self.order[place[same]]
         return found
 
-    def places(self, numbers: np.ndarray, t: int, text_of: np.ndarray) -> np.ndarray:
-        """Where the key phrase of template ``t`` begins."""
-        phrase, rare = self.phrases[t], self.rare[t]
-        n = len(phrase)
-        starts = np.flatnonzero(numbers == phrase[rare[0]]) - rare[0]
-        starts = starts[(starts >= 0) & (starts + n <= len(numbers))]
-        starts = starts[text_of[starts] == text_of[starts + n - 1]] if len(starts) else starts
-        for i in [*rare[1:], *range(n)]:
-            starts = starts[numbers[starts + i] == phrase[i]]
-        return starts
+    def looked_up(self, numbers: np.ndarray, at: np.ndarray, rank: int) -> np.ndarray:
+        """What the words at some places propose: template times number of words, plus begin of the key phrase."""
+        edges, template, position = self.postings[rank]
+        first, hits = edges[numbers[at]], edges[numbers[at] + 1] - edges[numbers[at]]
+        entry = np.repeat(first - np.cumsum(hits) + hits, hits) + np.arange(hits.sum())
+        start = np.repeat(at, hits) - position[entry]
+        inside = (start >= 0) & (start + self.sizes[template[entry]] <= len(numbers))
+        return template[entry][inside] * len(numbers) + start[inside]
+
+    def places(self, numbers: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Templates in order and where their key phrases begin."""
+        at = np.flatnonzero(numbers >= 0)
+        if not len(at):
+            return at, at
+        both = self.looked_up(numbers, at, 0)
+        for rank in range(1, RARE):
+            both = np.intersect1d(both, self.looked_up(numbers, at, rank))
+        template, start = np.divmod(both, len(numbers))
+        whole = text_of[start] == text_of[start + self.sizes[template] - 1]
+        template, start = template[whole], start[whole]
+        for i in range(self.phrases.shape[1]):
+            over = i >= self.sizes[template]
+            same = over | (numbers[np.where(over, 0, start + i)] == self.phrases[template, i])
+            template, start = template[same], start[same]
+        return template, start
 
     def coverage(self, numbers: np.ndarray, t: int, starts: np.ndarray, text_of: np.ndarray) -> np.ndarray:
         """Share of the template's words that stand in place around each key phrase."""
@@ -149,10 +176,9 @@ def _scanned(index: PositionalIndex, column) -> Iterator[tuple]:
         count = np.zeros(n, np.int64)
         first, last = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
         spans: list[list] = [[] for _ in range(n)]
-        for t, template in enumerate(index.templates):
-            starts = index.places(numbers, t, text_of)
-            if not len(starts):
-                continue
+        hit, begins = index.places(numbers, text_of)
+        for t in np.unique(hit).tolist():
+            template, starts = index.templates[t], begins[hit == t]
             rows, share = text_of[starts], index.coverage(numbers, t, starts, text_of)
             np.maximum.at(score, rows, share)
             for row, start, part in zip(rows.tolist(), (starts - words.first[rows]).tolist(), share.tolist()):

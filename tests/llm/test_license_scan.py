@@ -1,7 +1,10 @@
 """Licence scans against a plain search."""
 
+import random
 import re
 
+import numpy as np
+
 from feedback_loom.llm import license_scan, queries
 
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -43,3 +46,29 @@ def test_phrases_templates_and_edges(spark):
 def test_phrases_do_not_cross_texts(spark):
     docs = spark.createDataFrame([(1, "the mit"), (2, "license of")], "doc_id long, text string").coalesce(1)
     assert [r.n_base for r in license_scan.scanned(docs).collect()] == [0, 0]
+
+
+def test_many_templates_equal_plain_search(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    phrases = sorted({" ".join(rng.choices(words, k=rng.randint(1, 4))) for _ in range(750)})
+    templates = tuple(license_scan.Template(f"t{i:03}", p, f"lead {p} tail", True) for i, p in enumerate(phrases))
+    assert len(templates) >= 500
+    texts = [" ".join(rng.choices(words + ["other"], k=rng.randint(0, 300))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    for r in license_scan.scanned(docs, templates=templates).collect():
+        text = texts[r.doc_id].split()
+        wanted = {(t, i) for t, p in enumerate(phrases) for i in range(len(text)) if text[i:i + len(p.split())] == p.split()}
+        assert {(x.template, x.first_word) for x in r.places} == wanted and r.n_base == len(wanted) == len(r.places)
+
+
+def test_lookups_follow_hits_not_templates():
+    """A common word of all key phrases has no postings as long as rarer words stand beside it."""
+    templates = tuple(license_scan.Template(f"t{i}", f"common a{i} b{i}", f"common a{i} b{i}") for i in range(500))
+    index = license_scan.PositionalIndex(templates, {"common": 1000} | {f"{x}{i}": 1 for x in "ab" for i in range(500)})
+    number = {w: i for i, w in enumerate(index.words)}
+    numbers = np.array([number[w] for w in ["common"] * 1000 + ["common", "a7", "b7"]])
+    at = np.arange(len(numbers))
+    assert [len(index.looked_up(numbers, at, rank)) for rank in range(license_scan.RARE)] == [1, 1]
+    template, start = index.places(numbers, np.zeros(len(numbers), np.int64))
+    assert template.tolist() == [7] and start.tolist() == [1000]
