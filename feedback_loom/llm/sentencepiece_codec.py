@@ -6,8 +6,8 @@ being the piece that covers a position, with weight 0 between stable neighbours
 minus infinity otherwise. A chunk of a giant document turns into a matrix: rows are the
 pieces that may cover its left boundary, columns those that may cover its right one, and an entry is the
 weight of the best path between them. Matrices combine associatively in the max-plus
-algebra; products from the left and from the right give the piece at every boundary, and
-then every chunk is traced on its own, between its two boundary pieces.
+algebra, so products of neighbours are taken in a tree over many tasks; the piece at every boundary
+is handed down that tree, and then every chunk is traced on its own, between its two boundary pieces.
 
 Pieces with the blank mark inside, or with characters that only occur as single pieces, do
 not exist in the usual vocabularies; where that holds, no piece crosses such a place, paths
@@ -32,6 +32,8 @@ from .columns import mapped, quoted, without
 MARK = "▁"
 #: Characters from which on a document is cut into chunks, and of a chunk.
 GIANT, CHUNK = 1 << 15, 1 << 14
+#: Neighbouring matrices that one task combines.
+FAN = 64
 CACHE = 150_000
 
 
@@ -202,33 +204,86 @@ def chunk_matrix(own: Codec, text: str, left: int, right: int) -> np.ndarray:
     return to_first[:, None] + from_last[None]
 
 
-def boundary_pieces(matrices: list[np.ndarray]) -> list[int]:
-    """The state at each boundary behind the first, on the best path over all matrices."""
-    behind = [np.zeros(matrices[-1].shape[1])]
+def combined(matrices: list[np.ndarray]) -> np.ndarray:
+    """Product of neighbouring matrices, taken by halves."""
+    if len(matrices) == 1:
+        return matrices[0]
+    middle = len(matrices) // 2
+    return product(combined(matrices[:middle]), combined(matrices[middle:]))
+
+
+def boundary_pieces(matrices: list[np.ndarray], enter: int | None = None, leave: int | None = None) -> list[int]:
+    """The state behind each matrix on the best path over all of them, from one state and to one state where they are given."""
+    def only(state: int | None, n: int) -> np.ndarray:
+        return np.zeros(n) if state is None else np.where(np.arange(n) == state, 0.0, -np.inf)
+
+    behind = [only(leave, matrices[-1].shape[1])]
     for matrix in reversed(matrices[1:]):
         behind.append((matrix + behind[-1]).max(axis=1))
-    behind.reverse()
-    ahead, found = np.zeros((1, matrices[0].shape[0])), []
-    for matrix, rest in zip(matrices, behind):
-        ahead = product(ahead, matrix)
-        found.append(int((ahead[0] + rest).argmax()))
-        one = np.full(ahead.shape, -np.inf)
-        one[0, found[-1]] = 0.0
-        ahead = one
+    ahead, found = only(enter, matrices[0].shape[0]), []
+    for matrix, rest in zip(matrices, reversed(behind)):
+        arrived = (ahead[:, None] + matrix).max(axis=0)
+        found.append(int((arrived + rest).argmax()))
+        ahead = only(found[-1], len(rest))
     return found
 
 
+def _matrices(rows: list[dict]) -> list[np.ndarray]:
+    return [np.array(r["weights"]).reshape(r["n"], -1) for r in rows]
+
+
+def _boundary_states(leaves: DataFrame, fan: int) -> DataFrame:
+    """``(uid, chunk, enter, leave)``: the states on both sides of each chunk.
+
+    ``fan`` neighbouring matrices are combined in a task, their products by further rounds, until
+    one group per document is left; states are then handed down the same tree. So no task ever holds more than
+    ``fan`` matrices, however long a document is.
+    """
+    node, states = "uid long, chunk int, n int, weights array<double>", "uid long, chunk int, enter int, leave int"
+    node_schema, state_schema = (to_arrow_schema(T.StructType.fromDDL(s)) for s in (node, states))
+
+    def up(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+        whole = combined(_matrices(rows))
+        return pa.Table.from_pylist([{"uid": rows[0]["uid"], "chunk": rows[0]["above"], "n": len(whole),
+                                      "weights": whole.ravel().tolist()}], schema=node_schema)
+
+    def down(table: pa.Table) -> pa.Table:
+        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+        found = boundary_pieces(_matrices(rows), rows[0]["enter"], rows[0]["leave"])
+        enters = [rows[0]["enter"] or 0, *found[:-1]]  # a document begins in its only first state
+        return pa.Table.from_pylist([{"uid": r["uid"], "chunk": r["chunk"], "enter": e, "leave": l}
+                                     for r, e, l in zip(rows, enters, found)], schema=state_schema)
+
+    def under(level: DataFrame) -> DataFrame:
+        return level.select("uid", "chunk", "n", "weights", F.floor(F.col("chunk") / fan).cast("int").alias("above"))
+
+    levels = [leaves.select("uid", "chunk", "n", "weights")]
+    while not levels[-1].where(F.col("chunk") >= fan).isEmpty():
+        levels.append(to_table(under(levels[-1]).groupBy("uid", "above").applyInArrow(up, node), "products"))
+    given = None
+    for level in reversed(levels):
+        rows = under(level)
+        if given is None:
+            rows = rows.withColumn("enter", F.lit(None).cast("int")).withColumn("leave", F.lit(None).cast("int"))
+        else:
+            rows = rows.join(given.withColumnRenamed("chunk", "above"), ["uid", "above"])
+        given = to_table(rows.groupBy("uid", "above").applyInArrow(down, states), "states")
+    return given
+
+
 def _id_lists(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32)))
 
 
-def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
+def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", giant: int = GIANT, chunk: int = CHUNK,
+            fan: int = FAN) -> DataFrame:
     """All rows and columns of ``docs`` with the piece ids of the whole text.
 
     A null text gives null, an empty one no ids. ``path`` is a byte-pair model file, readable on every
     executor. Documents of ``giant`` characters or more are spread as chunks of
-    ``chunk`` characters. Columns named like ``ids``, ``_uid`` and
+    ``chunk`` characters, whose matrices are combined ``fan`` at a time. Columns named like ``ids``, ``_uid`` and
     ``_given`` give way.
     """
     docs = without(docs, ids, "_uid", "_given")
@@ -247,10 +302,10 @@ def encoded(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", gi
     is_giant = F.coalesce(F.char_length("_given") >= giant, F.lit(False))
     done = mapped(given.where(~is_giant), small, plain)
     large = to_table(given.where(is_giant).select(F.monotonically_increasing_id().alias("_uid"), "*"), "giants")
-    return done.unionByName(_encoded_giants(large, docs.columns, path, ids, chunk))
+    return done.unionByName(_encoded_giants(large, docs.columns, path, ids, chunk, fan))
 
 
-def _encoded_giants(large: DataFrame, columns: list[str], path: str, ids: str, chunk: int) -> DataFrame:
+def _encoded_giants(large: DataFrame, columns: list[str], path: str, ids: str, chunk: int, fan: int) -> DataFrame:
     def cut_up(batches):
         own = codec(path)
         for batch in batches:
@@ -283,19 +338,10 @@ def _encoded_giants(large: DataFrame, columns: list[str], path: str, ids: str, c
     schema = "uid long, chunk int, n int, weights array<double>, starts array<int>, ends array<int>"
     spread = chunks.select("uid", "chunk", "left", "right", "part").mapInArrow(matrices, schema)
 
-    def traced(table: pa.Table) -> pa.Table:
-        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
-        found = boundary_pieces([np.array(r["weights"]).reshape(r["n"], -1) for r in rows])
-        begin, out = 0, []
-        for row, state in zip(rows, found):
-            end = row["ends"][state]
-            out.append({"uid": row["uid"], "chunk": row["chunk"], "begin": begin, "stop": end})
-            # the next chunk begins where this one's last piece ends, counted from its own left
-            begin = end - chunk
-        return pa.Table.from_pylist(out, schema=trace_schema)
-
-    trace_schema = to_arrow_schema(T.StructType.fromDDL("uid long, chunk int, begin int, stop int"))
-    traces = to_table(spread.groupBy("uid").applyInArrow(traced, "uid long, chunk int, begin int, stop int"), "traces")
+    leaves = to_table(spread, "matrices")
+    # a chunk's own pieces begin where the piece over its left boundary ends and stop where the one over its right boundary does
+    traces = (leaves.join(_boundary_states(leaves, fan), ["uid", "chunk"])
+              .select("uid", "chunk", F.col("starts")[F.col("enter")].alias("begin"), F.col("ends")[F.col("leave")].alias("stop")))
 
     def backtraced(batches):
         own = codec(path)

@@ -49,11 +49,24 @@ def test_products_are_associative():
     assert (left == right).all()
 
 
-@pytest.mark.parametrize("giant, chunk", [(1 << 15, 1 << 14), (300, 64)])
-def test_tables_with_giant_documents(spark, giant, chunk):
+def test_states_between_two_states_follow_the_whole_path():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sizes = [1, *rng.integers(2, 6, 11).tolist()]
+    matrices = [-rng.random((m, n)) for m, n in zip(sizes, sizes[1:])]
+    whole = codec.boundary_pieces(matrices)
+    halves = [codec.combined(matrices[:5]), codec.combined(matrices[5:])]
+    enter, leave = codec.boundary_pieces(halves)
+    assert (enter, leave) == (whole[4], whole[-1])
+    assert codec.boundary_pieces(matrices[:5], 0, enter) + codec.boundary_pieces(matrices[5:], enter, leave) == whole
+
+
+@pytest.mark.parametrize("giant, chunk, fan", [(1 << 15, 1 << 14, 64), (300, 64, 5)])
+def test_tables_with_giant_documents(spark, giant, chunk, fan):
     texts = ["", None, " ", "a  b\n", "word " * 30_000, "=" * 40_000, "nospaceshere" * 4_000, "é☃ " * 12_000 + "\n\n", "plain text", "plain text"]
     docs = spark.createDataFrame([(i if i % 4 else None, t, "c") for i, t in enumerate(texts)], "doc_id long, text string, chunk string")
-    got = codec.decoded(codec.encoded(docs, PATH, giant=giant, chunk=chunk), PATH).collect()
+    got = codec.decoded(codec.encoded(docs, PATH, giant=giant, chunk=chunk, fan=fan), PATH).collect()
     assert sorted((str(r.doc_id), str(r.text), str(r.ids)) for r in got) == sorted(
         (str(i if i % 4 else None), str(t), str(None if t is None else OWN.model.encode(t))) for i, t in enumerate(texts))
     assert all(r.decoded == r.text for r in got)
