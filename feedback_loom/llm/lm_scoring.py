@@ -34,7 +34,7 @@ BITS_PER_ENTRY = 10
 #: Most bytes of word counts and filter that are broadcast at once.
 MAX_BYTES = 256 << 20
 #: Most bytes of a word's hash, count and share of the index.
-WORD_BYTES = 16
+WORD_BYTES = 24
 #: Bytes of corpus text whose words and pairs meet in one combining task.
 BUCKET_BYTES = 8 << 20
 #: Tokens whose repeats are counted together before they leave a task.
@@ -99,11 +99,11 @@ class Words:
         for bucket in sorted(sizes):
             begin[bucket], at = at, at + sizes[bucket]
         self.hashes = np.full(at + 1, 2 ** 64 - 1, np.uint64)
-        self.counts = np.zeros(at + 1, np.uint32)
+        self.counts = np.zeros(at + 1, np.int64)
         for row in rows:
             part = slice(begin[row["bucket"]], begin[row["bucket"]] + sizes[row["bucket"]])
             self.hashes[part] = np.frombuffer(row["keys"], np.uint64)
-            self.counts[part] = np.frombuffer(row["counts"], np.uint32)
+            self.counts[part] = np.frombuffer(row["counts"], np.int64)
         bits = max(1, min(24, len(self.hashes).bit_length() - 1))
         self.shift = np.uint64(64 - bits)
         self.start = np.searchsorted(self.hashes, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
@@ -187,7 +187,7 @@ class Model:
 
 
 def _blobs(names: list[str], columns: tuple, keys: np.ndarray, counts: np.ndarray, bucket: np.ndarray):
-    """Sorted keys and counts as one row of bytes per bucket."""
+    """Sorted keys and counts as one row of bytes per bucket; counts of one slice of texts fit 32 bits, sums are 64 bits wide."""
     order = np.argsort(bucket, kind="stable")
     keys, counts, bucket = keys[order], counts[order].astype(np.uint32), bucket[order]
     edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
@@ -234,7 +234,7 @@ def trained(texts: DataFrame, text: str = "text", max_bytes: int = MAX_BYTES) ->
 
     counted = to_table(_combined(
         source.mapInArrow(words, "bucket int, keys binary, counts binary"), ["bucket"],
-        lambda keys, counts: {"keys": keys.tobytes(), "counts": counts.astype(np.uint32).tobytes(), "tokens": int(counts.sum()),
+        lambda keys, counts: {"keys": keys.tobytes(), "counts": counts.astype(np.int64).tobytes(), "tokens": int(counts.sum()),
                               "ends": int(counts[keys == END].sum()), "words": len(keys)},
         "bucket int, keys binary, counts binary, tokens long, ends long, words long"), "words")
     tokens, ends, vocabulary = (x or 0 for x in counted.agg(F.sum("tokens"), F.sum("ends"), F.sum("words")).first())
