@@ -14,7 +14,7 @@ from .backends.base import LabelSet
 from .backends.calling import CallableBackend, asker
 from .functions import answers as A, columns as C
 from .functions.tokens import term_rows, with_tokens
-from .operators import batching, causes, clusters, conclusion, labels, picks, protocol, rollup, vectors
+from .operators import batching, causes, clusters, conclusion, labels, picks, protocol, rollup, state, vectors
 from .operators.numbering import numbered
 from .plans import analyze
 from .session import BROADCAST_ROWS, cut, join_sized, scratch_path, to_table
@@ -313,6 +313,32 @@ def term_counts(spark, folder):
     return vectors.term_counts(tokenised(spark, folder))
 
 
+def halves(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return rows.filter("row_id % 2 = 0"), rows.filter("row_id % 2 <> 0")
+
+
+def state_table(spark: SparkSession, parts) -> state.StateTable:
+    """The states of two batches, the first of which is run twice, folded after the second."""
+    kept = state.StateTable(spark, scratch_path(spark, "state"))
+    first, second = parts
+    for number, part in ((0, first), (0, first), (1, second)):
+        kept.add(part, number)
+    kept.fold()
+    return kept
+
+
+def kept_class_summary(spark, folder):
+    """Counts, shares and means from states of two halves of the rows."""
+    parts = [state.group_state(half, "class", "score") for half in halves(partly_classified(spark, folder))]
+    return state.shares(state_table(spark, parts).read(), "class").select(
+        "class", "count", F.round("percentage", 6).alias("percentage"), F.round("score", 6).alias("score"))
+
+
+def kept_term_counts(spark, folder):
+    parts = [state.term_state(half) for half in halves(tokenised(spark, folder))]
+    return state_table(spark, parts).read()
+
+
 def single_cluster_error(spark, folder):
     texts, _ = weighted(spark, folder)
     sse = clusters.single_cluster_sse(texts.select("features"))
@@ -831,6 +857,7 @@ QUERIES = {
         write_back_items, write_back_groups, count_with_mean, all_clusters, stop_word_exclusion, label_membership,
         texts_per_group,
         class_counts, class_shares, class_mean_score, cluster_shares, joined_batch_texts, pending_counts, term_counts,
+        kept_class_summary, kept_term_counts,
         single_cluster_error, distinct_labels,
         first_texts_per_group, sampled_texts_per_group, top_terms_per_group, batch_numbers,
         vocabulary_cap, elbow_pick, class_order, conclusion_rank,

@@ -1,8 +1,9 @@
 """Counts, shares and means per group; pending counts."""
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.columns import as_double, is_pending
+from .numbering import numbered
 
 
 def group_shares(df: DataFrame, key: str, score_col: str | None = None,
@@ -41,9 +42,9 @@ def pending_counts(df: DataFrame, result_col: str) -> DataFrame:
 
 
 def ranked_by_share(summary: DataFrame, class_col: str = "class", share_col: str = "percentage") -> DataFrame:
-    """Add ``rank``: largest share first, ties by class. Input is one row per class."""
-    order = Window.partitionBy().orderBy(F.desc(share_col), F.col(class_col))
-    return summary.withColumn("rank", F.row_number().over(order))
+    """Add ``rank``: largest share first, ties by class. Input is one row per class; no task holds all of them."""
+    order = F.struct((-F.col(share_col)).alias("share"), F.col(class_col).alias("class"))
+    return numbered(summary.withColumn("__order", order), "__order", "rank").drop("__order")
 
 
 def resume(df: DataFrame, stored: DataFrame, row_id: str = "row_id") -> DataFrame:

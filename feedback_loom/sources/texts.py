@@ -1,5 +1,7 @@
 """Reading texts and stop words; previewing, writing and reading back results."""
 
+import uuid
+
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -8,6 +10,8 @@ from ..session import to_table
 DEFAULT_LANGUAGES = ("english", "french", "german", "spanish")
 BAD_LINE = "__bad_line"
 RESULT_TABLES = ("cluster_summary", "classified", "class_summary", "conclusion")
+#: File that names the complete attempt of ``save_results``.
+MARKER = "COMMITTED"
 
 
 def read_texts_csv(spark: SparkSession, path: str, schema: T.StructType | str = "content STRING",
@@ -97,10 +101,51 @@ def preview_conclusion(conclusion: DataFrame, n: int = 3) -> DataFrame:
 
 
 def save_results(results, path: str) -> None:
-    """Write the four result tables as Parquet below ``path``."""
-    for name in RESULT_TABLES:
-        getattr(results, name).write.mode("errorifexists").parquet(f"{path}/{name}")
+    """Write the four result tables as Parquet below ``path``, all or none.
+
+    The tables go to a folder of this attempt; a marker written last names it. Readers follow the marker, so
+    they never see some of the tables, or those of two attempts. A failed attempt is removed. The marker is
+    made only where there is none: a second writer, at the same time too, ends with an error.
+    """
+    spark = results.classified.sparkSession
+    if _committed(spark, path) is not None:
+        raise FileExistsError(f"{path} already holds results")
+    attempt = f"attempt-{uuid.uuid4().hex}"
+    try:
+        for name in RESULT_TABLES:
+            getattr(results, name).write.mode("errorifexists").parquet(f"{path}/{attempt}/{name}")
+        _commit(spark, path, attempt)
+    except BaseException:
+        files, place = _files(spark, f"{path}/{attempt}")
+        files.delete(place, True)
+        raise
 
 
 def load_results(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in RESULT_TABLES}
+    """The tables of a complete ``save_results``; an error if none was completed."""
+    attempt = _committed(spark, path)
+    if attempt is None:
+        raise FileNotFoundError(f"{path} holds no complete results")
+    return {name: spark.read.parquet(f"{path}/{attempt}/{name}") for name in RESULT_TABLES}
+
+
+def _files(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _commit(spark: SparkSession, path: str, attempt: str) -> None:
+    """Write the marker, unless there is one."""
+    files, place = _files(spark, f"{path}/{MARKER}")
+    out = files.create(place, False)
+    out.write(bytearray(f"{attempt}\n".encode()))
+    out.close()
+
+
+def _committed(spark: SparkSession, path: str) -> str | None:
+    files, place = _files(spark, f"{path}/{MARKER}")
+    if not files.exists(place):
+        return None
+    # a folder of its own per attempt, 40 characters; a marker that was cut off while written is shorter
+    found = [r.value for r in spark.read.text(f"{path}/{MARKER}").collect()]
+    return found[0] if found and len(found[0]) == len("attempt-") + 32 else None

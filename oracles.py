@@ -226,6 +226,8 @@ QUERIES = {
     "pending_counts": """SELECT count(*) AS total, count(*) FILTER (score IS NULL) AS pending,
         count(*) FILTER (score IS NOT NULL) AS done FROM partly""",
     "term_counts": "SELECT * FROM counts",
+    "kept_class_summary": """SELECT class, count, round(percentage, 6) AS percentage, round(score, 6) AS score FROM class_shares""",
+    "kept_term_counts": "SELECT * FROM counts",
     "single_cluster_error": """SELECT n, round((SELECT sum(weight * weight) FROM weights)
         - (SELECT sum(s * s) FROM (SELECT sum(weight) AS s FROM weights GROUP BY term)) / n, 4) AS sse FROM total""",
     "cluster_sweep_facts": """SELECT 20::BIGINT AS n, 1 AS first_k, 20 AS last_k, round((SELECT sum(weight * weight) FROM weights)
