@@ -9,6 +9,7 @@ from ..functions.tokens import words
 from ..operators.causes import CLASS_SAMPLE, CLUSTER_SAMPLE, numbered_list, sampled_texts, typical_causes, typical_sentences
 from ..operators.clusters import Clustering, group_means, nearest_centroid, nearest_in_row
 from ..operators.conclusion import conclusion_text
+from ..operators.hints import merge_as_wished, sides, wished
 from ..operators.labels import merge_groups, two_term_labels, with_fallback
 from ..operators.picks import top_terms
 from ..operators.protocol import fill_groups
@@ -58,15 +59,28 @@ class OfflineBackend(Backend):
         top = cut(top_terms(clustering.means, "cluster", 10))
         merged = merge_groups(top, "cluster", self.min_jaccard)
         named = cut(two_term_labels(top, merged, "cluster"))
+        status = "ok"
+        if hint:
+            named, status = self._as_wished(top, named, hint)
         proposed = named.select("label_id", "label").distinct()
         labels = cut(with_fallback(proposed))
         names = [r.label for r in labels.orderBy("label_id").collect()]
         labelled = clustering.texts.select("cluster", "features").join(
             F.broadcast(named.select("cluster", "label")), "cluster")  # at most one row per cluster
         prototypes = cut(group_means(labelled, clustering.vocabulary, "label"))
-        status = "hint_not_supported" if hint else "ok"
         return LabelSet(labels, names, prototypes, status if len(names) > 1 else "empty_label_set")
 
+    def _as_wished(self, top: DataFrame, named: DataFrame, hint: str) -> tuple[DataFrame, str]:
+        """(labels of the clusters, status) as a hint asks; a hint without a wish that can be met changes nothing."""
+        wishes = cut(wished(top.sparkSession.createDataFrame([(hint,)], "hint string")))
+        ends = cut(sides(wishes, top, named, "cluster"))
+        if ends.isEmpty():
+            return named, "hint_not_supported"
+        merged, contradicted = merge_as_wished(top, "cluster", ends, self.min_jaccard)
+        unmet = not wishes.join(ends.select("no").distinct(), "no", "left_anti").isEmpty()
+        status = "hint_contradicts_itself" if contradicted else "hint_partly_supported" if unmet else "ok"
+        return cut(two_term_labels(top, merged, "cluster", apart=True)), status
+
     def _prototypes(self, clustering: Clustering, label_set: LabelSet) -> DataFrame:
         """Centroids of known labels; a label given by hand stands for its own words."""
         own = (

@@ -14,7 +14,7 @@ from .backends.base import LabelSet
 from .backends.calling import CallableBackend, asker
 from .functions import answers as A, columns as C
 from .functions.tokens import term_rows, with_tokens
-from .operators import batching, causes, clusters, conclusion, labels, picks, protocol, rollup, state, vectors
+from .operators import batching, causes, clusters, conclusion, hints, labels, picks, protocol, rollup, state, vectors
 from .operators.numbering import numbered
 from .plans import analyze
 from .session import BROADCAST_ROWS, cut, join_sized, scratch_path, to_table
@@ -757,6 +757,32 @@ def label_reviews(spark, folder):
     return routed.select("review_id", "decision", "hint", F.array_join("labels", "|").alias("labels"))
 
 
+def hinted_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """Redo reviews whose hints name sources and languages, with and without wishes that can be read."""
+    kind = F.col("row_id") % 4
+    hint = (
+        F.when(kind == 0, F.concat(F.lit("please Merge "), "source", F.lit(" and "), "lang"))
+        .when(kind == 1, F.concat(F.lit("split "), "lang", F.lit(" from "), "source", F.lit("; merge x_1 with "), "source"))
+        .when(kind == 2, F.concat(F.lit("merge "), "lang")).otherwise(F.concat(F.lit("submerge "), "lang", F.lit(" and "), "source")))
+    return documents(spark, folder).select(F.col("row_id").alias("review_id"), F.concat(F.lit("n<sep>"), hint).alias("answer"))
+
+
+def hint_wishes(spark, folder):
+    """What the hints of redo reviews ask for."""
+    routed = labels.review_routes(hinted_reviews(spark, folder))
+    return hints.wished(routed.select("review_id", "hint"))
+
+
+def wished_groups(spark, folder):
+    """Sources merged by overlap of their terms and by a hint that names the best terms of the first two sources."""
+    texts, vocabulary = weighted(spark, folder)
+    top = cut(picks.top_terms(clusters.group_means(texts, vocabulary, "source"), "source", 10))
+    best = top.filter("rn = 1").orderBy("source").limit(2)
+    hint = best.agg(F.concat(F.lit("merge "), F.min_by("term", "source"), F.lit(" and "), F.max_by("term", "source")).alias("hint"))
+    ends = cut(hints.sides(hints.wished(hint), top, top.limit(0).select("source", F.lit("").alias("label")), "source"))
+    return hints.merge_as_wished(top, "source", ends, 0.5)[0]
+
+
 def classified_by_cosine(spark, folder):
     texts, vocabulary = weighted(spark, folder)
     texts = to_table(texts, "weighted_texts")
@@ -870,6 +896,7 @@ QUERIES = {
         induced_lexicon, score_texts, negative_shares, scored_by_function, quarantined_rows, resumed_run,
         run_rounds, equal_texts, described_by_function,
         group_prompts, group_issues, label_proposals, term_overlap, merged_groups, label_reviews,
+        hint_wishes, wished_groups,
         classified_by_cosine, classified_by_function, typical_causes, explained_by_function, conclusion_lines,
         conclusion_text, answer_status, resumed_scores, analyze_feedback, analysis_facts, stored_outputs,
     )

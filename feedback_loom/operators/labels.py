@@ -2,7 +2,7 @@
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import answers as A
 from ..session import cut
@@ -79,15 +79,23 @@ def merge_groups(top: DataFrame, key: str, min_jaccard: float = 0.5) -> DataFram
     return groups.join(found, key, "left").select(key, F.coalesce("component", key).alias("merged"))
 
 
-def two_term_labels(top: DataFrame, merged: DataFrame, key: str) -> DataFrame:
-    """(key, label_id, label): each merged group is named by the two best terms of its first group."""
+def two_term_labels(top: DataFrame, merged: DataFrame, key: str, apart: bool = False) -> DataFrame:
+    """(key, label_id, label): each merged group is named by the two best terms of its first group.
+
+    Merged groups of one name share its label; with ``apart`` they do not, and the second is named ``a_b_2``.
+    """
     named = (
         top.filter(F.col("rn") <= 2)
         .groupBy(key)
         .agg(F.expr("listagg(term, '_') WITHIN GROUP (ORDER BY rn)").alias("label"))
         .withColumnRenamed(key, "merged")
+        .join(merged.select("merged").distinct(), "merged")
     )
-    distinct = named.join(merged.select("merged").distinct(), "merged").groupBy("label").agg(F.min("merged").alias("first"))
+    if apart:
+        place = F.row_number().over(Window.partitionBy("label").orderBy("merged"))
+        named = named.withColumn("place", place).select(
+            "merged", F.when(F.col("place") == 1, F.col("label")).otherwise(F.concat_ws("_", "label", "place")).alias("label"))
+    distinct = named.groupBy("label").agg(F.min("merged").alias("first"))
     ids = numbered(distinct, "first", "label_id").select("label", "label_id")
     return merged.join(named, "merged").join(ids, "label").select(key, "label_id", "label")
 

@@ -93,8 +93,16 @@ def choose_labels(backend: Backend, clustering: Clustering, summary: DataFrame,
     """Propose a label set and apply the review table.
 
     Reviews are taken in order of their id. A redo proposes again with its hint and the next
-    review judges that proposal, until one accepts or replaces it or the table ends.
+    review judges that proposal, until one accepts or replaces it or the table ends. Clusters that
+    no proposed label was made from are named in the status.
     """
+    chosen = _chosen_labels(backend, clustering, summary, reviews)
+    if chosen.left_out:
+        chosen.status += f"; without clusters {', '.join(map(str, chosen.left_out))}"
+    return chosen
+
+
+def _chosen_labels(backend: Backend, clustering: Clustering, summary: DataFrame, reviews: DataFrame | None) -> LabelSet:
     proposed = backend.propose_labels(clustering, summary, None)
     if reviews is None:
         return proposed
@@ -108,7 +116,7 @@ def choose_labels(backend: Backend, clustering: Clustering, summary: DataFrame,
             names = [r.label for r in labels.orderBy("label_id").collect()]
             return LabelSet(labels, names, proposed.prototypes, "replaced", proposed.fallback)
         proposed = backend.propose_labels(clustering, summary, review["hint"])
-        if proposed.status != "hint_not_supported":
+        if not proposed.status.startswith("hint_"):
             proposed.status = "redone"
     return proposed
 

@@ -335,6 +335,25 @@ QUERIES = {
     "label_reviews": """SELECT review_id, decision, CASE WHEN starts_with(answer, 'n<sep>') THEN string_split(answer, '<sep>')[-1] END AS hint,
         CASE WHEN decision = 'replace' THEN array_to_string(regexp_extract_all(
             replace(answer, '<sep>', ','), '(?s)[0-9]+.([\\p{L}\\p{N}_]+)', 1), '|') END AS labels FROM routed""",
+    "hint_wishes": """WITH hinted AS (
+            SELECT doc_id AS review_id, lower(CASE doc_id % 4 WHEN 0 THEN 'please Merge ' || source || ' and ' || lang
+                WHEN 1 THEN 'split ' || lang || ' from ' || source || '; merge x_1 with ' || source WHEN 2 THEN 'merge ' || lang
+                ELSE 'submerge ' || lang || ' and ' || source END) AS hint,
+                '(?:^|[^\\p{L}\\p{N}_])(merge|split)\\s+([\\p{L}\\p{N}_]+)\\s+(?:and|with|from)\\s+([\\p{L}\\p{N}_]+)' AS wish
+            FROM documents),
+        found AS (SELECT review_id, regexp_extract_all(hint, wish, 1) AS kinds, regexp_extract_all(hint, wish, 2) AS lefts,
+            regexp_extract_all(hint, wish, 3) AS rights FROM hinted)
+        SELECT review_id, (generate_subscripts(kinds, 1) - 1)::INTEGER AS no, unnest(kinds) AS kind, unnest(lefts) AS left_name,
+            unnest(rights) AS right_name FROM found""",
+    "wished_groups": """WITH RECURSIVE firsts AS (SELECT term FROM top_by_source WHERE rn = 1 ORDER BY source LIMIT 2),
+        wished AS (SELECT DISTINCT source FROM top_by_source WHERE term IN (SELECT lower(term) FROM firsts)),
+        links AS (SELECT left_group AS a, right_group AS b FROM overlap WHERE jaccard >= 0.5
+            UNION SELECT right_group, left_group FROM overlap WHERE jaccard >= 0.5
+            UNION SELECT source, (SELECT min(source) FROM wished) FROM wished
+            UNION SELECT (SELECT min(source) FROM wished), source FROM wished),
+        reach(source, other) AS (SELECT DISTINCT source, source FROM top_by_source
+            UNION SELECT source, b FROM reach JOIN links ON other = a)
+        SELECT source, min(other) AS merged FROM reach GROUP BY source""",
     "classified_by_cosine": f"""WITH best AS (SELECT * FROM (
             SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, lang) AS rn FROM (
                 SELECT doc_id, lang, round(sum(weight * c), 6) AS similarity FROM weights JOIN unit_lang USING (term)
