@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.tokens import sql_list, term_rows, with_tokens
-from ..session import join_sized, to_table
+from ..session import BROADCAST_BYTES, combined_in_blocks, join_sized, to_table
 
 #: Lexicons up to this size are matched inside the row; larger ones are joined.
 ROW_LOCAL_TERMS = 50_000
@@ -44,14 +44,15 @@ def balance_score(total, weight):
 
 
 def lexicon_scores(texts: DataFrame, lexicon: DataFrame, content_col: str = "content", score_col: str = "score",
-                   row_id: str = "row_id", row_local_terms: int = ROW_LOCAL_TERMS) -> DataFrame:
+                   row_id: str = "row_id", row_local_terms: int = ROW_LOCAL_TERMS,
+                   max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``score_col`` from the polarities of the distinct words of each text.
 
     A term that is listed more than once counts once, with the mean of its polarities; terms
     whose polarities cancel out are left out. A lexicon of signs that is proven small is matched inside each row by hash
     lookup: no exchange, the text is read once and passed on. A larger or weighted
-    one is joined by word; only ids and partial sums are exchanged before the
-    scores are joined back.
+    one is joined by word, in blocks of at most ``max_bytes`` that are broadcast one after the other, so a word of every
+    text is no hot key; only ids and partial sums are exchanged before the scores are joined back.
     """
     lexicon = (lexicon.groupBy("term").agg(F.avg("polarity").alias("polarity"))
                .filter(F.col("term").isNotNull() & (F.col("polarity") != 0)))
@@ -72,11 +73,12 @@ def lexicon_scores(texts: DataFrame, lexicon: DataFrame, content_col: str = "con
             .drop("__tokens", "__p", "__n")
         )
     hits = term_rows(with_tokens(texts.select(row_id, content_col), content_col), row_id, distinct=True)
-    sums = (
-        join_sized(hits, to_table(lexicon, "lexicon"), on="term")
-        .groupBy(row_id)
-        .agg(F.sum("polarity").alias("__p"), F.sum(F.abs("polarity")).alias("__w"))
-    )
+
+    def polarities(joined: DataFrame) -> DataFrame:
+        return joined.groupBy(row_id).agg(F.sum("polarity").alias("__p"), F.sum(F.abs("polarity")).alias("__w"))
+
+    parts = combined_in_blocks(hits, to_table(lexicon, "lexicon"), "term", polarities, max_bytes)
+    sums = parts.groupBy(row_id).agg(F.sum("__p").alias("__p"), F.sum("__w").alias("__w"))
     return (
         texts.join(sums, row_id, "left")
         .withColumn(score_col, balance_score(F.coalesce("__p", F.lit(0.0)), F.coalesce("__w", F.lit(0.0))))

@@ -13,7 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.columns import line_through
 from ..functions.tokens import with_tokens
-from ..session import cut, to_table
+from ..session import BROADCAST_BYTES, combined_in_blocks, cut, to_table
 from .batching import joined_texts
 from .picks import fetch, first_ids, top_terms
 from .rollup import group_shares
@@ -127,23 +127,28 @@ def group_means(vectors: DataFrame, vocabulary: Vocabulary, key: str, features_c
 
 
 def nearest_centroid(weights: DataFrame, centroids: DataFrame, centroid_key: str,
-                     row_id: str = "row_id", max_rows: int | None = None) -> DataFrame:
+                     row_id: str = "row_id", max_rows: int | None = None,
+                     max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(row, closest centroid, cosine) for unit vectors given as rows.
 
     ``centroids`` holds (key, term, weight). ``max_rows`` is its proven bound: with
-    it the table is broadcast, without it the join is by term. Ties go to the
-    smallest key. Rows that share no term with any centroid do not appear.
+    it the table is broadcast; without it blocks of terms of at most ``max_bytes`` are, one after the other,
+    and no row is moved by its term. Ties go to the smallest key. Rows that share no term with any centroid do not appear.
     """
     unit = centroids.groupBy(centroid_key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("__norm"))
     scaled = centroids.join(F.broadcast(unit) if max_rows else unit, centroid_key).select(
         centroid_key, "term", (F.col("weight") / F.col("__norm")).alias("__c"))
+
+    def products(joined: DataFrame) -> DataFrame:
+        return joined.groupBy(row_id, centroid_key).agg(F.sum(F.col("weight") * F.col("__c")).alias("__p"))
+
     if max_rows:
-        scaled = F.broadcast(scaled)
-    similar = (
-        weights.join(scaled, "term")
-        .groupBy(row_id, centroid_key)
-        .agg(F.round(F.sum(F.col("weight") * F.col("__c")), 6).alias("similarity"))
-    )
+        dots = products(weights.join(F.broadcast(scaled), "term"))
+    else:
+        # sums over blocks of terms add up to those over all terms
+        partial = combined_in_blocks(weights, to_table(scaled, "centroids"), "term", products, max_bytes)
+        dots = partial.groupBy(row_id, centroid_key).agg(F.sum("__p").alias("__p"))
+    similar = dots.select(row_id, centroid_key, F.round("__p", 6).alias("similarity"))
     best = F.min_by(F.struct(centroid_key, "similarity"), F.struct(-F.col("similarity"), F.col(centroid_key)))
     return similar.groupBy(row_id).agg(best.alias("__b")).select(row_id, f"__b.{centroid_key}", "__b.similarity")
 

@@ -6,10 +6,12 @@ by many fits) is written to the folder the cluster names in
 """
 
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Most bytes (rows written as JSON) a side may have before it is joined by shuffle instead of broadcast.
 BROADCAST_BYTES = 32 << 20
@@ -108,6 +110,39 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _bytes() -> Column:
+    return F.octet_length(F.to_json(F.struct("*")))
+
+
+def combined_in_blocks(left: DataFrame, right: DataFrame, on: str, combine: Callable[[DataFrame], DataFrame],
+                       max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``combine(left joined with right on a column)``, where ``combine`` gives partial results that the caller adds up.
+
+    A small ``right`` (written or cached) is broadcast. A larger one is cut into blocks by a hash of ``on`` that are broadcast one
+    after the other, each round's partial results written before the next. ``left`` is written once, split in the same
+    way without an exchange, so a round reads its own rows only, and a value that very many rows have is no hot key.
+    A block that is still too large, as one value has very many rows on the right, is sent in several rounds.
+    """
+    spark = left.sparkSession
+    size = right.select(_bytes().alias("n")).agg(F.sum("n")).first()[0] or 0
+    if size <= max_bytes:
+        return combine(left.join(F.broadcast(right), on))
+    # half full on average, as hashed blocks are not equally large
+    block = F.pmod(F.xxhash64(on), F.lit(-(-2 * size // max_bytes))).cast("int")
+    rows = right.withColumns({"__bytes": _bytes(), "__block": block, "__cut": F.xxhash64(*right.columns)})
+    rounds = rows.groupBy("__block").agg(F.sum("__bytes").alias("n")).collect()  # one row per block
+    rows = to_table(rows.drop("__bytes"), "blocks", ("__block",))
+    split = to_table(left.withColumn("__block", block), "split", ("__block",))
+    parts = []
+    for found in rounds:
+        sent = 1 if found["n"] <= max_bytes else -(-2 * found["n"] // max_bytes)
+        mine = split.filter(F.col("__block") == found["__block"]).drop("__block")
+        for turn in range(sent):
+            piece = rows.filter((F.col("__block") == found["__block"]) & (F.pmod("__cut", F.lit(sent)) == turn))
+            parts.append(to_table(combine(mine.join(F.broadcast(piece.drop("__block", "__cut")), on)), "partial"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def join_sized(left: DataFrame, right: DataFrame, on, how: str = "inner",
                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join a written or cached ``right``; broadcast only if its rows are proven small.
@@ -115,7 +150,7 @@ def join_sized(left: DataFrame, right: DataFrame, on, how: str = "inner",
     ``right`` should be cheap to scan, as its bytes are summed first. A larger
     side is joined by shuffle under the adaptive skew rules.
     """
-    size = right.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).agg(F.sum("n")).first()[0] or 0
+    size = right.select(_bytes().alias("n")).agg(F.sum("n")).first()[0] or 0
     if size <= max_bytes:
         right = F.broadcast(right)
     return left.join(right, on=on, how=how)
