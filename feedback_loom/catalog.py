@@ -30,9 +30,9 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def wide_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The documents for word work, spread over the cores if they come in fewer splits."""
-    return S.texts_from(spark.read.parquet(f"{folder}/documents.parquet"), "text", "doc_id",
-                        spark.sparkContext.defaultParallelism)
+    """The documents for word work, spread by key over the cores, and over more tasks the more text there is."""
+    read = spark.read.parquet(f"{folder}/documents.parquet")
+    return S.texts_from(read, "text", "doc_id", S.text_tasks(read, "text"))
 
 
 def polarity_labels(spark: SparkSession, folder: str) -> DataFrame:

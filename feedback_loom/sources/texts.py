@@ -12,6 +12,8 @@ BAD_LINE = "__bad_line"
 RESULT_TABLES = ("cluster_summary", "classified", "class_summary", "conclusion")
 #: File that names the complete attempt of ``save_results``.
 MARKER = "COMMITTED"
+#: Bytes of text that a task of word work is given.
+TEXT_BYTES = 16 << 20
 
 
 def read_texts_csv(spark: SparkSession, path: str, schema: T.StructType | str = "content STRING",
@@ -67,6 +69,15 @@ def texts_from(df: DataFrame, content_col: str = "content", key: str | None = No
     return to_table(numbered, "texts")
 
 
+def text_tasks(df: DataFrame, content_col: str = "content") -> int:
+    """Tasks for word work: one per core, or as many more as keep ``TEXT_BYTES`` to each.
+
+    What a task holds of its texts' words (counts per text, say) thus stays the same however many texts there are.
+    """
+    size = df.agg(F.sum(F.octet_length(content_col))).first()[0] or 0
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-size // TEXT_BYTES))
+
+
 def split_usable(df: DataFrame, content_col: str = "content") -> tuple[DataFrame, DataFrame]:
     """(rows with text, rows whose text is null or blank)."""
     usable = F.coalesce(F.col(content_col).rlike(r"\S"), F.lit(False))

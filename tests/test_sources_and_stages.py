@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from feedback_loom import CallableBackend, OfflineBackend, analyze, catalog, plans, texts_from
 from feedback_loom.operators import rollup
 from feedback_loom.functions.tokens import with_tokens
-from feedback_loom.sources import read_stop_words, read_texts_csv, split_texts_csv
+from feedback_loom.sources import read_stop_words, read_texts_csv, split_texts_csv, texts as text_sources
 
 
 def test_csv_needs_no_split_at_commas(spark, tmp_path):
@@ -35,6 +35,17 @@ def test_rows_are_spread_only_on_demand(spark, folder):
     assert "Exchange" not in plan
 
 
+def test_word_work_gets_more_tasks_the_more_text_there_is(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    rows = [(i, "Wort " * 200) for i in range(100)] + [(None, None), (7, "Wort")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog.wide_documents(spark, str(tmp_path)).rdd.getNumPartitions() == cores
+    monkeypatch.setattr(text_sources, "TEXT_BYTES", 1000)
+    assert catalog.wide_documents(spark, str(tmp_path)).rdd.getNumPartitions() == max(cores, 101)
+    counts = {r.row_id: r.n for r in catalog.words_per_text(spark, str(tmp_path)).collect()}
+    assert counts == {i: 200 + (i == 7) for i in range(100)}
+
+
 def test_progress_is_seen_while_another_action_runs(spark):
     df = spark.createDataFrame([(1, 5), (2, None), (3, None)], "row_id int, score int")
     watched, seen = rollup.observed_progress(df, "score")
