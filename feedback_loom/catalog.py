@@ -505,8 +505,9 @@ def tfidf_weights(spark, folder):
 
 
 def cluster_error_sweep(spark, folder):
-    texts, vocabulary = weighted(spark, folder)
-    placed = clusters.lay_out(texts.select("row_id", "features"))
+    # texts are read and cut into words once, as in clusters.cluster_texts
+    tokens = to_table(tokenised(spark, folder).select("row_id", "tokens"), "tokens")
+    placed = clusters.lay_out(vectors.tfidf_vectors(tokens, vectors.fit_vocabulary(tokens)).select("row_id", "features"))
     return clusters.sweep(placed).table(spark)
 
 

@@ -21,6 +21,8 @@ from .vectors import MAX_FEATURES, Vocabulary, entries, fit_vocabulary, long_wei
 
 MAX_CLUSTERS = 20
 SEED = 1
+#: Tasks of a core, over all fits that run at a time, from which on no more fits are begun.
+TASKS_PER_CORE = 8
 
 
 def lay_out(vectors: DataFrame, row_id: str = "row_id", partitions: int | None = None) -> DataFrame:
@@ -38,13 +40,19 @@ def lay_out(vectors: DataFrame, row_id: str = "row_id", partitions: int | None =
 
 def single_cluster_sse(vectors: DataFrame, features_col: str = "features") -> float:
     """Squared error around the mean, in closed form and one pass."""
+    return _single_cluster(vectors, features_col)[0]
+
+
+def _single_cluster(vectors: DataFrame, features_col: str) -> tuple[float, bool]:
+    """Squared error around the mean, and whether half of all numbers or more are not zero, in one pass."""
     stats = vectors.select(
-        Summarizer.metrics("mean", "normL2", "count").summary(F.col(features_col)).alias("s")
+        Summarizer.metrics("mean", "normL2", "count", "numNonZeros").summary(F.col(features_col)).alias("s")
     ).first()["s"]
     if not stats["count"]:
-        return 0.0
-    mean, norm = stats["mean"].toArray(), stats["normL2"].toArray()
-    return float(max(0.0, (norm @ norm) - stats["count"] * (mean @ mean)))
+        return 0.0, True
+    mean, norm, filled = (stats[c].toArray() for c in ("mean", "normL2", "numNonZeros"))
+    dense = filled.sum() >= len(filled) * stats["count"] * 0.5
+    return float(max(0.0, (norm @ norm) - stats["count"] * (mean @ mean))), bool(dense)
 
 
 def distinct_vectors(vectors: DataFrame, up_to: int, features_col: str = "features") -> int:
@@ -63,22 +71,33 @@ class Sweep:
         return elbow_curve(spark.createDataFrame(self.curve, "k int, sse double"))
 
 
+def fits_at_once(vectors: DataFrame, parallelism: int) -> int:
+    """Fits that share the cores: as many as give each core some tasks, and two of many partitions, as each fit keeps all vectors."""
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(parallelism, max(2, TASKS_PER_CORE * cores // max(1, vectors.rdd.getNumPartitions()))))
+
+
 def sweep(vectors: DataFrame, max_clusters: int = MAX_CLUSTERS, seed: int = SEED,
           parallelism: int = 8, features_col: str = "features") -> Sweep:
-    """Fit k = 1..max_clusters on laid-out vectors; a few fits run at a time.
+    """Fit k = 1..max_clusters on laid-out vectors; a few fits run at a time, at most ``parallelism``.
 
     k never exceeds the number of different vectors.
     """
     top = max(1, distinct_vectors(vectors, max_clusters, features_col))
-    base = KMeans(seed=seed, featuresCol=features_col, predictionCol="cluster")
+    single, dense = _single_cluster(vectors, features_col)
+    # the solver that KMeans would choose by a pass of its own in every fit
+    base = KMeans(seed=seed, featuresCol=features_col, predictionCol="cluster", solver="block" if dense else "row")
+    # the column alone is a frame that is not persisted itself, so a fit keeps its rows as vectors for its some 30 passes;
+    # of the persisted frame, every pass would decode all rows anew
+    rows = vectors.select(features_col)
 
     def fit(k: int) -> tuple[int, KMeansModel]:
-        return k, base.copy({base.k: k}).fit(vectors)
+        return k, base.copy({base.k: k}).fit(rows)
 
-    with ThreadPool(max(1, parallelism)) as pool:
+    with ThreadPool(fits_at_once(vectors, parallelism)) as pool:
         run = inheritable_thread_target(vectors.sparkSession)(fit)
         models = dict(pool.map(run, range(top, 1, -1), chunksize=1))
-    curve = [(1, single_cluster_sse(vectors, features_col))]
+    curve = [(1, single)]
     curve += [(k, float(models[k].summary.trainingCost)) for k in sorted(models)]
     return Sweep(curve, models)
 

@@ -1,6 +1,8 @@
 """Independence of layout, skew, repeated fits, retry rounds and the whole analysis."""
 
 import pytest
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from feedback_loom import CallableBackend, FeedbackAnalysis, OfflineBackend, analyze, catalog, texts_from
@@ -82,6 +84,28 @@ def test_fits_do_not_depend_on_layout(spark, folder):
     assert found[0] == pytest.approx(found[1])
 
 
+def test_fits_keep_vectors_and_few_run_at_a_time(spark, monkeypatch):
+    rows = [(i, Vectors.sparse(9, [i % 8, 8], [1.0, 0.1 + i % 7])) for i in range(60)]
+    placed = clusters.lay_out(spark.createDataFrame(rows, ["row_id", "features"]), partitions=5)
+    fitted, fit = [], clusters.KMeans.fit
+    monkeypatch.setattr(clusters.KMeans, "fit", lambda self, df: fitted.append((df.storageLevel, self.getSolver())) or fit(self, df))
+    found = clusters.sweep(placed, 4)
+    # a frame that is persisted itself is decoded anew in each pass
+    assert {(level.useMemory, solver) for level, solver in fitted} == {(False, "row")} and len(fitted) == 3
+    for k, sse in found.curve[1:]:
+        alone = KMeans(k=k, seed=clusters.SEED).fit(placed)
+        assert sse == pytest.approx(alone.summary.trainingCost)
+    assert clusters.fits_at_once(placed, 8) >= clusters.fits_at_once(placed.repartition(500), 8) == 2
+    assert clusters.fits_at_once(placed, 1) == 1
+
+
+def test_words_of_the_sweep_are_cut_once(spark, folder, monkeypatch):
+    written, to_table = [], catalog.to_table
+    monkeypatch.setattr(catalog, "to_table", lambda df, name, *more: written.append(name) or to_table(df, name, *more))
+    catalog.cluster_error_sweep(spark, folder)
+    assert written == ["tokens"]
+
+
 def test_k_is_capped_by_distinct_texts(spark):
     df = spark.createDataFrame([(i, "bad room" if i % 2 else "slow staff") for i in range(12)], "row_id long, content string")
     found = clusters.cluster_texts(df, max_clusters=20)
