@@ -1,11 +1,13 @@
 """Independence of layout, skew, repeated fits, retry rounds and the whole analysis."""
 
+import pyarrow as pa
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from feedback_loom import CallableBackend, FeedbackAnalysis, OfflineBackend, analyze, catalog, texts_from
+from feedback_loom.backends import calling
 from feedback_loom.backends.base import LabelSet
 from feedback_loom.backends.lexicon import lexicon_scores
 from feedback_loom.functions import answers as A
@@ -124,6 +126,33 @@ def test_text_without_vocabulary_gets_zero_vector(spark):
 
 # ---- retry rounds ------------------------------------------------------------------
 
+def test_a_call_holds_few_bytes_of_its_batch(spark, monkeypatch):
+    monkeypatch.setattr(calling, "CALL_BYTES", 10)
+    prompts = pa.array(["aaaa", None, "bbbb", "cccccccccccccccc", "ä", None, "d"])
+    assert list(calling.calls_of(prompts)) == [([0, 2], ["aaaa", "bbbb"]), ([3], ["cccccccccccccccc"]), ([4, 6], ["ä", "d"])]
+
+    def reply(instruction, texts):
+        if "cccccccccccccccc" in texts:
+            raise ConnectionError("no line")
+        return [f"{len(texts)} {t}" for t in texts]
+
+    got = calling.careful_asker(reply, "").func(iter([prompts]))
+    answered = next(got).to_pylist()
+    assert [a["response"] for a in answered] == ["2 aaaa", None, "2 bbbb", None, "2 ä", None, "2 d"]
+    assert [a["error"] for a in answered] == [None] * 3 + ["ConnectionError: no line"] + [None] * 3
+    assert next(calling.asker(lambda instruction, texts: texts, "").func(iter([prompts]))).to_pylist() == prompts.to_pylist()
+
+
+def test_buckets_are_spread_over_more_tasks_than_there_are(spark):
+    texts = spark.range(90_000).select(F.col("id").alias("row_id"), F.lit(None).cast("string").alias("note"),
+                                       F.struct("id", F.lit("x").alias("content")).alias("payload"))
+    buckets = batching.bucket_count(90_000, 30)
+    batches = protocol._batched_rows(texts, "row_id", "content", 30, 90_000)
+    most = batches.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert buckets >= protocol.call_tasks(spark, 3_000) and most <= 4 * 102
+    assert batches.rdd.getNumPartitions() == protocol.TASKS_PER_BUCKET * buckets
+
+
 def scorer(bad=lambda text: False):
     bare = catalog.note_remover()
 
