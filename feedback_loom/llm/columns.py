@@ -45,14 +45,19 @@ def mapped(df: DataFrame, run, schema: T.StructType) -> DataFrame:
     return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(renamed, plain).toDF(*schema.names)
 
 
+def dealt_parts(many: DataFrame, on: str) -> DataFrame:
+    """``(on, _parts)``: the number of tasks for each key with more than ``DEALT`` rows."""
+    return cut(many.groupBy(on).count().where(F.col("count") > DEALT).select(
+        on, F.ceil(F.col("count") / DEALT).cast("int").alias("_parts")))
+
+
 def join_dealt(many: DataFrame, one: DataFrame, on: str, by: str) -> DataFrame:
     """``many`` joined with ``one`` on a column; a key with more than ``DEALT`` rows of ``many`` goes to several tasks.
 
     The rows of such a key are dealt by the hash of the column ``by``, and its row of ``one`` is copied to every part, so
     the copies are few against the rows.
     """
-    hot = cut(many.groupBy(on).count().where(F.col("count") > DEALT).select(
-        on, F.ceil(F.col("count") / DEALT).cast("int").alias("_parts")))
+    hot = dealt_parts(many, on)
     parts = F.coalesce("_parts", F.lit(1))
     dealt = join_sized(many, hot, on, "left").withColumn("_part", F.pmod(F.xxhash64(by), parts).cast("int")).drop("_parts")
     copied = join_sized(one, hot, on, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")

@@ -25,15 +25,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
 from ..session import cut, join_sized, to_table
-from .columns import few_rows, join_dealt, mapped, quoted, without
+from .columns import dealt_parts, few_rows, mapped, quoted, without
 from .words import CHAIN, Words, mix, signed, slices, words_of
 
 RARE_WORDS = 5
 MIN_WORDS = 30
-#: Passes of the alignment in which order counts, and documents from which on a line is joined by broadcast.
-PASSES, HOT_LINE = 16, 1000
+#: Passes of the alignment in which order counts, and documents of one block from which on a line's holders stay out of buckets.
+PASSES, HOT_LINE = 16, 100
+#: Hashes that leave a task as one block, and bytes of corpus text whose hashes meet in one bucket.
+GATHER, BUCKET_BYTES = 1 << 20, 16 << 20
 #: Neighbouring word runs of which one pairs documents: no passage of 50 words is without one.
 SPREAD = 21
 _LINE_END, _STOPS = 0x0A, np.zeros(256, bool)
@@ -111,38 +114,135 @@ def picked(runs: np.ndarray) -> np.ndarray:
     return np.unique(_sliding(runs, min(SPREAD, len(runs)), np.minimum)) if len(runs) else runs
 
 
-def _line_arrays(column, picks_of: int) -> Iterator[tuple[list, list, list, list]]:
-    """Hashes and word counts of each row's lines, of its short lines with their neighbours, and picked runs of words."""
-    for _, _, data, offsets in slices(column):
+def _keys_in(column, picks_of: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Hashes that pair documents and the rows they are in: of lines and of short lines' runs, and of picked runs of words."""
+    for low, _, data, offsets in slices(column):
         words = words_of(data, offsets)
         heads, hashes, text = lines_of(words, offsets)
         sizes = np.diff(np.append(heads, len(words.hashes))).astype(np.int32)
         runs, of_runs = runs_of(hashes, sizes, text)
-        hashes, edges = signed(hashes), np.searchsorted(text, np.arange(len(offsets)))
-        runs, behind = signed(runs), np.searchsorted(of_runs, np.arange(len(offsets)))
+        alone = sizes >= RARE_WORDS
         longer = word_runs(words.hashes, picks_of) if picks_of else words.hashes[:0]
-        for i in range(len(offsets) - 1):
-            a, b, c, d = edges[i], edges[i + 1], behind[i], behind[i + 1]
-            own = longer[words.first[i]:max(words.first[i], words.first[i + 1] - picks_of + 1)]
-            yield hashes[a:b], sizes[a:b], runs[c:d], signed(picked(own))
+        ends = np.maximum(words.first[:-1], words.first[1:] - picks_of + 1)
+        picks = [picked(longer[i:j]) for i, j in zip(words.first[:-1].tolist(), ends.tolist())]
+        yield (np.concatenate([hashes[alone], runs]), np.concatenate([text[alone], of_runs]) + low,
+               np.concatenate([hashes[:0], *picks]), np.repeat(np.arange(len(picks)), [len(x) for x in picks]) + low)
 
 
-def line_hashes(docs: DataFrame, text: str = "text", key: str = "doc_id", picks_of: int = 0) -> DataFrame:
-    """``(id, lines, sizes, runs, picks)``: the hashes and word counts of each row's lines, in order.
+def _narrow(ids: np.ndarray) -> tuple[int, bytes]:
+    """Ids as their smallest and the differences to it, in as few bytes as hold them."""
+    base = ids.min()
+    above = ids.view(np.uint64) - base.view(np.uint64)
+    return int(base), above.astype(np.min_scalar_type(above.max())).tobytes()
 
-    And the hashes of its short lines' runs, and of some runs of ``picks_of`` words (0: of none).
+
+def _wide(base: int, n: int, data: bytes) -> np.ndarray:
+    above = np.frombuffer(data, f"u{len(data) // n}").astype(np.uint64)
+    return (above + np.array([base], np.int64).view(np.uint64)).view(np.int64)
+
+
+def _blobs(keys: np.ndarray, ids: np.ndarray, by_words: bool, buckets: int) -> Iterator[dict]:
+    """Sorted keys and their ids as one row per bucket.
+
+    Of a key with more than ``HOT_LINE`` ids the bucket gets the smallest one and a mark; the ids are a row of their own.
     """
+    order = np.lexsort((ids, keys))
+    keys, ids = keys[order], ids[order]
+    new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))
+    keys, ids = keys[new], ids[new]
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    counts = np.diff(np.append(heads, len(keys)))
+    many = np.flatnonzero(counts > HOT_LINE)
+    for i in many.tolist():
+        own = slice(heads[i], heads[i] + counts[i])
+        base, data = _narrow(ids[own])
+        # groups of rows that only pass through, by block
+        yield {"bucket": -1 - int(ids[0]) % (1 << 30), "by_words": by_words, "keys": keys[own][:1].tobytes(), "base": base,
+               "ids": data, "n": int(counts[i]), "marks": b""}
+    marks, stay = keys[heads[many]], np.repeat(counts <= HOT_LINE, counts)
+    stay[heads] = True
+    keys, ids = keys[stay], ids[stay]
+    bounds = np.array([-(-(i << 32) // buckets) << 32 for i in range(buckets)], np.uint64)
+    edges, of_marks = (np.append(np.searchsorted(x, bounds), len(x)).tolist() for x in (keys, marks))
+    for bucket, (i, j) in enumerate(zip(edges, edges[1:])):
+        if j > i:
+            base, data = _narrow(ids[i:j])
+            yield {"bucket": bucket, "by_words": by_words, "keys": keys[i:j].tobytes(), "base": base, "ids": data, "n": j - i,
+                   "marks": marks[of_marks[bucket]:of_marks[bucket + 1]].tobytes()}
+
+
+def line_keys(docs: DataFrame, text: str, key: str, picks_of: int, buckets: int) -> DataFrame:
+    """What may pair documents, as blobs of many documents by bucket: see ``_blobs``."""
+    schema = "bucket int, by_words boolean, keys binary, base long, ids binary, n int, marks binary"
+    types = to_arrow_schema(T.StructType.fromDDL(schema))
+
     def run(batches):
-        for batch in few_rows(batches):
-            found = list(_line_arrays(batch.column(1), picks_of))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0).cast(pa.int64()), *(
-                    pa.array([x[i] for x in found], pa.list_(kind))
-                    for i, kind in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64()))),
-            ], names=["id", "lines", "sizes", "runs", "picks"])
+        held, n = [], 0
+
+        def packed():
+            for by_words in (False, True):
+                keys, ids = (np.concatenate([x[2 * by_words + i] for x in held]) for i in range(2))
+                if len(keys):
+                    yield pa.RecordBatch.from_pylist(list(_blobs(keys, ids, by_words, buckets)), schema=types)
 
-    return (docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long"), F.col(text).cast("string"))
-            .mapInArrow(run, "id long, lines array<long>, sizes array<int>, runs array<long>, picks array<long>"))
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            for lines, rows, picks, of_picks in _keys_in(batch.column(1), picks_of):
+                held.append((lines, ids[rows], picks, ids[of_picks]))
+                n += len(lines) + len(picks)
+                if n >= GATHER:
+                    yield from packed()
+                    held, n = [], 0
+        if held:
+            yield from packed()
+
+    given = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long"), F.col(text).cast("string"))
+    return given.mapInArrow(run, schema)
+
+
+PAIRED = pa.schema([("id", pa.int64()), ("first", pa.int64()), ("by_words", pa.bool_()), ("line", pa.int64()), ("held", pa.list_(pa.int64()))])
+
+
+def _paired(names: tuple, table: pa.Table) -> pa.Table:
+    """The pairs of one bucket, the first holders of its marked lines, and rows that pass through."""
+    bucket, by_words = (x.as_py() for x in names)
+    blobs = table.to_pylist()
+    keys = [np.frombuffer(x["keys"], np.uint64) for x in blobs]
+    ids = [_wide(x["base"], x["n"], x["ids"]) for x in blobs]
+    if bucket < 0:
+        return pa.Table.from_pylist([{"by_words": by_words, "line": int(signed(k)[0]), "held": i.tolist()} for k, i in zip(keys, ids)],
+                                    schema=PAIRED)
+    keys, ids = np.concatenate(keys), np.concatenate(ids)
+    order = np.argsort(keys)
+    keys, ids = keys[order], ids[order]
+    heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    firsts = np.minimum.reduceat(ids, heads)
+    marks = np.unique(np.concatenate([np.frombuffer(x["marks"], np.uint64) for x in blobs]))
+    of_marks = firsts[np.searchsorted(keys[heads], marks)]
+    first = np.repeat(firsts, np.diff(np.append(heads, len(keys))))
+    later = ids > first
+    ids, first = ids[later], first[later]
+    order = np.lexsort((first, ids))
+    ids, first = ids[order], first[order]
+    new = np.append(True, (ids[1:] != ids[:-1]) | (first[1:] != first[:-1]))[:len(ids)]
+    ids, first = ids[new], first[new]
+    n, m = len(ids), len(marks)
+    none = pa.nulls(m, pa.int64())
+    return pa.Table.from_arrays([
+        pa.chunked_array([pa.array(ids), none]), pa.array(np.append(first, of_marks)), pa.array(np.full(n + m, by_words)),
+        pa.chunked_array([pa.nulls(n, pa.int64()), pa.array(signed(marks))]), pa.nulls(n + m, PAIRED.field("held").type)], schema=PAIRED)
+
+
+def paired(docs: DataFrame, text: str = "text", key: str = "doc_id", picks_of: int = 0) -> DataFrame:
+    """``(id, first, by_words)``: each document and the first ones that hold a line or a picked run of words of it."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
+    blobs = line_keys(docs, text, key, picks_of, max(1, -(-size // BUCKET_BYTES)))
+    found = to_table(blobs.groupBy("bucket", "by_words").applyInArrow(_paired, from_arrow_schema(PAIRED)), "paired")
+    hot = found.where("id IS NULL AND held IS NULL").select("line", "by_words", "first")
+    held = join_sized(found.where("held IS NOT NULL").select("line", "by_words", "held"), hot, ["line", "by_words"])
+    held = held.select(F.explode("held").alias("id"), "first", "by_words").where("id > first")
+    pairs = found.where("id IS NOT NULL").select("id", "first", "by_words").unionByName(held)
+    return cut(pairs.groupBy("id", "first").agg(F.max("by_words").alias("by_words")))
 
 
 def _ordered(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -246,38 +346,99 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(found)
 
 
-def _matches(batches):
-    for batch in batches:
-        later, lines, earlier = (batch.column(i) for i in range(3))
-        found = []
-        for one, two in zip(lines, earlier):
-            found.append([i for i, _ in patience(one.values.to_pylist(), two.values.to_pylist())])
-        yield pa.RecordBatch.from_arrays([later, pa.array(found, pa.list_(pa.int32()))], names=["id", "places"])
-
-
-def _words_in(text) -> np.ndarray:
-    data = np.frombuffer(text.as_buffer().to_pybytes() if text.is_valid else b"", np.uint8)
-    return words_of(data, np.array([0, len(data)])).hashes
-
-
 def _ranges(marked: np.ndarray) -> list[tuple[int, int]]:
     """Runs of marked places: first, behind the last."""
     turns = np.diff(np.concatenate([[0], marked.astype(np.int8), [0]]))
     return list(zip(np.flatnonzero(turns == 1).tolist(), np.flatnonzero(turns == -1).tolist()))
 
 
-def _common_words(batches, k: int):
-    """Ranges of words of later texts (first, behind the last, first, ...) whose runs of ``k`` words the earlier text holds."""
-    last = held = None
+class _Earlier:
+    """What one row of an earlier document holds."""
+
+    def __init__(self, lines: np.ndarray, text, k: int):
+        self.lines, self.known, self.k = lines, np.unique(lines), k
+        self._text, self._runs = text, None
+
+    def places(self, lines: np.ndarray) -> np.ndarray:
+        """Marks of the lines that are matched."""
+        if np.array_equal(lines, self.lines):
+            return np.ones(len(lines), bool)
+        marked = np.zeros(len(lines), bool)
+        here = np.flatnonzero(_held(lines, self.known))
+        if len(here):
+            there = self.lines[_held(self.lines, np.unique(lines[here]))]
+            marked[here[[i for i, _ in patience(lines[here].tolist(), there.tolist())]]] = True
+        return marked
+
+    def words(self, runs: np.ndarray) -> list[int]:
+        """Ranges of words whose runs of ``k`` words are here."""
+        if self._runs is None:
+            self._runs = np.unique(next(_runs_in([self._text], self.k)))
+        return [x for i, j in _ranges(_held(runs, self._runs)) for x in (i, j + self.k - 1)]
+
+
+def _held(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are in a sorted array."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    place = np.searchsorted(known, values)
+    place[place == len(known)] = 0
+    return known[place] == values
+
+
+def _runs_in(texts: list, k: int) -> Iterator[np.ndarray]:
+    """The hashes of all runs of ``k`` words of each text."""
+    for _, _, data, offsets in slices(pa.array(texts, pa.large_string())):
+        words = words_of(data, offsets)
+        runs = word_runs(words.hashes, k)
+        for i, j in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+            yield runs[i:max(i, j - k + 1)]
+
+
+def _lines_in(batches):
+    """``(id, lines, text, needs)``: the hashes of each row's lines, in order."""
+    for batch in batches:
+        for part in few_rows([batch]):
+            found = []
+            for _, _, data, offsets in slices(part.column(1)):
+                _, hashes, text = lines_of(words_of(data, offsets), offsets)
+                found.append((signed(hashes), np.bincount(text, minlength=len(offsets) - 1)))
+            hashes, counts = (np.concatenate([x[i] for x in found]) if found else np.zeros(0, np.int64) for i in range(2))
+            ends = np.append(0, np.cumsum(counts)).astype(np.int32)
+            lines = pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes))
+            yield pa.RecordBatch.from_arrays([part.column(0), lines, part.column(1), part.column(2)], names=["id", "lines", "text", "needs"])
+
+
+def _shared(batches, k: int):
+    """Ranges of lines and of words of later texts that the earlier document before them holds.
+
+    Rows ``(first, part, later, id, lines, text)`` come sorted, so each part of a first document opens with its own rows.
+    """
+    at, earlier = None, []
     for batch in batches:
-        later, texts, earlier = (batch.column(i) for i in range(3))
-        found = []
-        for one, two in zip(texts, earlier):
-            if last is None or not last.equals(two):
-                last, held = two, word_runs(_words_in(two), k)
-            shared = _ranges(np.isin(word_runs(_words_in(one), k), held))
-            found.append([x for i, j in shared for x in (i, j + k - 1)])
-        yield pa.RecordBatch.from_arrays([later, pa.array(found, pa.list_(pa.int32()))], names=["id", "words"])
+        firsts, parts, laters = (batch.column(i).to_pylist() for i in range(3))
+        lines, texts = batch.column(4), batch.column(5)
+        edges, values = lines.offsets.to_numpy(), lines.values.to_numpy(zero_copy_only=False)
+        todo, kept, places = [], [], []
+        for i, later in enumerate(laters):
+            own = values[edges[i]:edges[i + 1]]
+            if not later:
+                if at != (firsts[i], parts[i]):
+                    at, earlier = (firsts[i], parts[i]), []
+                earlier.append(_Earlier(own, texts[i].as_py(), k))
+                continue
+            kept.append(i)
+            places.append(np.logical_or.reduce([x.places(own) for x in earlier]))
+            if texts[i].is_valid and not places[-1].all():
+                todo.append((len(kept) - 1, i, earlier))
+        words: list[list[int]] = [[] for _ in kept]
+        runs = _runs_in([texts[i].as_py() for _, i, _ in todo], k)
+        for (j, _, held), own in zip(todo, runs):
+            words[j] = [x for one in held for x in one.words(own)]
+        kind = pa.list_(pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(3).take(pa.array(kept, pa.int32())), pa.array([[x for y in _ranges(p) for x in y] for p in places], kind),
+             pa.array(words, kind)], names=["id", "places", "words"])
 
 
 def _without(text: bytes, places: list[int], repeated: list[int], min_words: int) -> tuple[bytes, list[tuple[int, int]]]:
@@ -286,7 +447,8 @@ def _without(text: bytes, places: list[int], repeated: list[int], min_words: int
     words = words_of(data, offsets)
     heads, _, _ = lines_of(words, offsets)
     matched = np.zeros(len(heads), bool)
-    matched[places] = True
+    for i, j in zip(places[::2], places[1::2]):
+        matched[i:j] = True
     marked = np.repeat(matched, np.diff(np.append(heads, len(words.hashes))))
     for i, j in zip(repeated[::2], repeated[1::2]):
         marked[i:j] = True
@@ -306,35 +468,29 @@ def repeated_parts(docs: DataFrame, text: str = "text", key: str = "doc_id", min
                    within_lines: bool = True) -> DataFrame:
     """``(key, places, words)``: what later documents share with earlier ones.
 
-    The places of lines, by alignment, and the ranges of words whose runs of ``min_words`` words are held there.
+    The ranges of lines (first, behind the last, first, ...), by alignment, and the ranges of words whose runs of
+    ``min_words`` words are held there.
     """
-    within_lines &= min_words > 0
-    arrays = to_table(line_hashes(docs, text, key, min_words if within_lines else 0), "lines")
-    alone = F.filter("lines", lambda _, i: F.get("sizes", i) >= RARE_WORDS)
-    # a line counts once for a document, however often it stands there
-    rare = arrays.select(F.explode(F.array_distinct(F.concat(alone, "runs"))).alias("line"), "id", F.lit(False).alias("by_words"))
-    if within_lines:
-        rare = rare.union(arrays.select(F.explode(F.array_distinct("picks")), "id", F.lit(True)))
-    firsts = rare.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n"))
-    firsts = cut(firsts.where("first < last").select("line", "first", "n"))
-    # lines of very many documents are few: there are less than rows / HOT_LINE of them, and they are joined by broadcast
-    hot = cut(firsts.where(F.col("n") > HOT_LINE).select("line", "first"))
-    others = join_sized(rare, hot.select("line"), "line", "left_anti").join(
-        firsts.where(F.col("n") <= HOT_LINE).select("line", "first"), "line")
-    pairs = join_sized(rare, hot, "line").unionByName(others).where("id > first")
-    pairs = cut(pairs.groupBy("id", "first").agg(F.max("by_words").alias("by_words")))
-    earlier = arrays.select(F.col("id").alias("first"), F.col("lines").alias("earlier"))
-    both = join_dealt(pairs.join(arrays.select("id", "lines"), "id"), earlier, "first", "id").select("id", "lines", "earlier")
-    none = F.array().cast("array<int>")
-    found = both.mapInArrow(_matches, "id long, places array<int>").select("id", "places", none.alias("words"))
-    if within_lines:
-        texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("later"))
-        earlier = texts.toDF("first", "earlier")
-        both = join_dealt(pairs.where("by_words").join(texts, "id"), earlier, "first", "id").select("id", "later", "earlier")
-        shared = both.mapInArrow(lambda batches: _common_words(batches, min_words), "id long, words array<int>")
-        found = found.union(shared.select("id", none, "words"))
-    found = found.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("places"))).alias("places"),
-                                    F.flatten(F.collect_list("words")).alias("words"))
+    picks_of = min_words if within_lines and min_words > 0 else 0
+    pairs = paired(docs, text, key, picks_of)
+    parts = F.coalesce("_parts", F.lit(1))
+    later = join_sized(pairs, dealt_parts(pairs, "first"), "first", "left").select(
+        "id", "first", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), F.lit(True).alias("later"), "by_words")
+    earlier = later.groupBy("first", "part").agg(F.max("by_words").alias("by_words")).select(
+        F.col("first").alias("id"), "first", "part", F.lit(False).alias("later"), "by_words")
+    needs = cut(later.unionByName(earlier).groupBy("id").agg(
+        F.collect_list(F.struct("first", "part", "later", "by_words")).alias("needs")))
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    given = join_sized(texts, needs, "id").select("id", "text", "needs")
+    # texts go where runs of words are compared, lines everywhere
+    moved = given.mapInArrow(_lines_in, T.StructType([
+        given.schema["id"], T.StructField("lines", T.ArrayType(T.LongType())), given.schema["text"], given.schema["needs"]])).select(
+        "id", "lines", "text", F.explode("needs").alias("need")).select(
+        "need.first", "need.part", "need.later", "id", "lines", F.when(F.col("need.by_words"), F.col("text")).alias("text"))
+    moved = moved.repartition("first", "part").sortWithinPartitions("first", "part", "later")
+    found = moved.mapInArrow(lambda batches: _shared(batches, min_words), "id long, places array<int>, words array<int>")
+    found = found.where("size(places) + size(words) > 0").groupBy("id").agg(
+        *[F.flatten(F.collect_set(c)).alias(c) for c in ("places", "words")])
     return to_table(found.withColumnRenamed("id", key), "repeated")
 
 
@@ -361,17 +517,14 @@ def deduplicated(docs: DataFrame, text: str = "text", key: str = "doc_id", min_w
     def run(batches):
         for batch in batches:
             column, places, words = (batch.column(len(others) + i) for i in range(3))
-            texts, removed = [], []
+            texts, removed = column.to_pylist(), []
             for i, (given_places, given_words) in enumerate(zip(places.to_pylist(), words.to_pylist())):
-                value = column[i]
-                if (given_places or given_words) and value.is_valid:
-                    value, found = _without(value.as_buffer().to_pybytes(), given_places, given_words, min_words)
-                    texts.append(pa.scalar(value.decode(), pa.string()))
-                else:
-                    found = []
-                    texts.append(value)
+                found = []
+                if (given_places or given_words) and texts[i] is not None:
+                    value, found = _without(column[i].as_buffer().to_pybytes(), given_places, given_words, min_words)
+                    texts[i] = value.decode() if found else texts[i]
                 removed.append(found)
-            texts = column if not any(removed) else pa.array([x.as_py() for x in texts], pa.string())
+            texts = column if not any(removed) else pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(others)], texts, pa.array([sum(j - i for i, j in x) for x in removed], pa.int32()),
                  pa.array(removed, pa.list_(pa.list_(pa.int32())))], names=schema.names)

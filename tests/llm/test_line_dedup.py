@@ -1,9 +1,13 @@
 """Line dedup: alignment, deletion and edge cases."""
 
+from pathlib import Path
+
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings, strategies as st
 
 from feedback_loom.llm import columns, line_dedup, queries
+from feedback_loom.session import recorded_scratch, to_table
 
 PASSAGE = "\n".join(" ".join(f"p{i}{j}" for j in range(12)) + "." for i in range(5))
 
@@ -204,3 +208,36 @@ def test_clashing_names_give_way(spark):
     assert got[2].n_removed == 5 and got[2]["od.d"] == "d" and len(got[2]) == 5
     kept = line_dedup.without_repeats(docs)
     assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, PASSAGE, 7, "a", "b")]
+
+
+def test_pairs_join_each_document_with_the_first_holders(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LINE", 2)
+    rng = np.random.default_rng(0)
+    ids = [-2 ** 63, 2 ** 63 - 1, *rng.integers(-2 ** 40, 2 ** 40, 60).tolist()]
+    texts = [" ".join(f"w{n}a w{n}b w{n}c." + f" x{n} y{n} z{n} u{n} v{n}!" * (n % 2) for n in rng.integers(0, 30, 6).tolist()) for _ in ids]
+    rows = [*zip(ids, texts), (ids[5], texts[6]), (ids[7], None), (None, texts[8])]
+    held, pairs = {}, {}
+    for i, text in rows:
+        lines, _, picks, _ = next(line_dedup._keys_in(pa.array([text]), 8))
+        for by_words, keys in ((False, lines), (True, picks)):
+            for x in set(keys.tolist()) if i is not None else ():
+                held.setdefault((by_words, x), set()).add(i)
+    for (by_words, _), found in held.items():
+        for i in found - {min(found)}:
+            pairs[i, min(found)] = by_words or pairs.get((i, min(found)), False)
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        assert {(r.id, r["first"]): r.by_words for r in line_dedup.paired(docs, picks_of=8).collect()} == pairs
+    assert any(pairs.values()) and len(held) > 100
+
+
+def test_written_tables_are_small_beside_the_input(spark, tmp_path):
+    rng = np.random.default_rng(0)
+    texts = [" ".join(f"w{n}" + "." * (n % 9 == 0) for n in rng.integers(0, 10 ** 6, 250).tolist()) for _ in range(1000)]
+    rows = [(i, text if i % 4 else texts[i - 1][:600] + " " + text) for i, text in enumerate(texts)]
+    with recorded_scratch() as given:
+        docs = to_table(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), "documents")
+    with recorded_scratch() as paths:
+        line_dedup.deduplicated(docs).write.parquet(str(tmp_path / "out"))
+    size, written = (sum(f.stat().st_size for p in x for f in Path(p.removeprefix("file:")).rglob("*.parquet")) for x in (given, paths))
+    assert spark.read.parquet(str(tmp_path / "out")).where("n_removed > 0").count() > 200 and 0 < written < size / 10
