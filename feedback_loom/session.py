@@ -6,10 +6,12 @@ by many fits) is written to the folder the cluster names in
 """
 
 import uuid
+from collections import Counter
 from collections.abc import Callable
 from contextlib import contextmanager
 from contextvars import ContextVar
 from functools import reduce
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -89,6 +91,35 @@ def drop_scratch(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+#: Lets Spark delete the shuffle files of a query as soon as it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_cleaned_by: Counter = Counter()
+_before: dict[int, str | None] = {}
+_cleaning = Lock()
+
+
+@contextmanager
+def without_old_shuffles(spark: SparkSession):
+    """Within the block the shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+
+    For tables that are written and read again: a frame that a second action runs anew would shuffle anew too.
+    """
+    key = id(spark)
+    with _cleaning:
+        if not _cleaned_by[key]:
+            _before[key] = spark.conf.get(CLEANUP, None)
+            spark.conf.set(CLEANUP, "true")
+        _cleaned_by[key] += 1
+    try:
+        yield
+    finally:
+        with _cleaning:
+            _cleaned_by[key] -= 1
+            if not _cleaned_by[key]:
+                before = _before.pop(key)
+                spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 def to_table(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 

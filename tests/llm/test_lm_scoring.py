@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from feedback_loom.llm import lm_scoring, queries
+from feedback_loom.session import CLEANUP, to_table, without_old_shuffles
 
 
 def tokens(text):
@@ -102,3 +103,57 @@ def test_levels_and_filter():
     read = held.level(keys)
     assert (read >= lm_scoring.levels(counts)).all() and (read == lm_scoring.levels(counts)).mean() > 0.97
     assert (held.level(rng.integers(0, 2 ** 58, 4000).astype(np.uint64)) > 0).mean() < 0.03
+
+
+def test_a_model_of_any_size_takes_the_same_passes_and_gives_the_same_scores(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    # every third word is one hot word
+    texts = [" ".join("hot" if i % 3 == 0 else f"w{i}" for i in rng.integers(0, 300, 150)) for _ in range(80)]
+    train = spark.createDataFrame([(t,) for t in texts[:60]], "text string").repartition(3)
+    docs = spark.createDataFrame([*enumerate(texts), (None, None), (7, "new words w1")], "doc_id long, text string")
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 2000)
+    written = []
+    to_table = lm_scoring.to_table
+    monkeypatch.setattr(lm_scoring, "to_table", lambda df, name: written.append(name) or to_table(df, name))
+    models, found, tables = [], [], []
+    # the whole model fits, the words alone do, nothing fits
+    for max_bytes in (1 << 20, 12_000, 6000, 2000):
+        written.clear()
+        models.append(lm_scoring.trained(train, max_bytes=max_bytes))
+        rows = lm_scoring.scored(docs, models[-1], extra={"chunk": docs["doc_id"] % 2}).collect()
+        found.append(sorted((str(r.doc_id), r.chunk, r.n_tokens, r.n_known, round(r.base_score, 9), round(r.score, 9)) for r in rows))
+        tables.append(len(written))
+    assert [m.shards > 1 for m in models] == [False, True, True, True] and models[1].shards < models[3].shards
+    assert [bool(m.deal.parts) for m in models] == [False, False, False, True] and max(models[3].deal.parts) > 1
+    assert tables[1] == tables[2] == tables[3] == tables[0] + 1
+    assert found[0] == found[1] == found[2] and len(found[0]) == 82
+    assert all(m.weights == models[0].weights for m in models)
+    assert [r[:5] for r in found[0]] == [r[:5] for r in found[3]]
+    # other blocks, so other errors of the filter, which can only raise a probability
+    expected = {str(i): e for i, e in enumerate(exact(texts[:60], texts))} | {"None": next(exact(texts[:60], [None]))}
+    for rows in (found[0], found[3]):
+        errors = [(r[5] - expected[r[0]][3]) / r[2] for r in rows if r[0] != "7"]
+        assert min(errors) > -1e-9 and np.mean(errors) < 0.02
+
+
+def test_nothing_known_and_nothing_asked(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    nothing = lm_scoring.trained(docs.limit(0), max_bytes=50)
+    assert nothing.shards > 1
+    assert sorted((r.n_tokens, r.n_known, r.score) for r in lm_scoring.scored(docs, nothing).collect()) == [(1, 0, 0.0), (3, 0, 0.0)]
+    assert lm_scoring.scored(docs.limit(0), lm_scoring.trained(docs, max_bytes=50)).collect() == []
+
+
+def test_shuffle_files_go_when_their_query_ends(spark):
+    store = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {b.toString() for b in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(store.getAllBlocks())
+                        if b.isShuffle() or "shuffle" in b.toString()}
+    rows = spark.range(1000).repartition(5, "id")
+    before = shuffles()
+    kept = to_table(rows, "kept")
+    assert shuffles() - before
+    before = shuffles()
+    with without_old_shuffles(spark):
+        gone = to_table(rows, "gone")
+    assert not shuffles() - before and kept.count() == gone.count() == 1000
+    assert spark.conf.get(CLEANUP, None) in (None, "false")
