@@ -1,6 +1,7 @@
 """Runs that are cut off, calls that raise, and equal texts."""
 
 import os
+import random
 
 import pytest
 from compare import difference, duck
@@ -10,6 +11,7 @@ import oracles
 from feedback_loom import CallableBackend, catalog
 from feedback_loom.operators import protocol
 from feedback_loom.operators.ledger import RunLedger
+from feedback_loom.session import scratch_root
 
 
 @pytest.fixture
@@ -141,6 +143,36 @@ def test_answers_of_a_hot_text_are_broadcast(spark, texts, monkeypatch):
     assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def files_below(folder):
+    return [os.path.join(at, name) for at, _, names in os.walk(folder.removeprefix("file:")) for name in names]
+
+
+@pytest.mark.parametrize("per_block", [250_000, 100])
+def test_texts_are_stored_once_and_not_with_the_answers(spark, tmp_path, monkeypatch, per_block):
+    monkeypatch.setattr(protocol, "TEXTS_PER_BLOCK", per_block)
+    rng = random.Random(1)
+    bodies = {i: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=12_000)) + str(i) for i in range(300)}
+    rows = spark.createDataFrame([(i, t) for i, t in bodies.items()] + [(None, bodies[7]), (5, bodies[5]), (None, None)],
+                                 "row_id long, content string").repartition(4)
+    size = sum(map(len, bodies.values()))
+    before = set(files_below(scratch_root(spark)))
+    broken = recorder(tmp_path, lambda p: p.startswith(protocol.NOTES["format"]))
+    with pytest.raises(RuntimeError, match="no line"):
+        CallableBackend(broken, run=f"sizes{per_block}").score(rows, "content", "score", 30)
+    # nothing of the round without an answer, and no texts, are left
+    new = set(files_below(scratch_root(spark))) - before
+    assert new and not any("/answers/score/1/" in path or "_texts/" in path for path in new)
+    assert sum(map(os.path.getsize, new)) < size / 10
+    answered = CallableBackend(recorder(tmp_path), run=f"sizes{per_block}").score(rows, "content", "score", 30)
+    got = sorted(((-1 if r.row_id is None else r.row_id, r.content or "", r.score) for r in answered.rows.collect()), key=lambda r: r[:2])
+    assert got == sorted([(i, t, None if t.endswith("7") else len(t) % 11) for i, t in [*bodies.items(), (-1, bodies[7]), (5, bodies[5])]] + [(-1, "", None)],
+                         key=lambda r: r[:2])
+    assert {r.content for r in answered.quarantine.collect()} == {t for t in bodies.values() if t.endswith("7")} | {None}
+    new = set(files_below(scratch_root(spark))) - before
+    assert not any("_texts/" in path for path in new) and sum(map(os.path.getsize, new)) < size / 10
+    RunLedger(spark, f"sizes{per_block}").drop()
+
+
 def test_names_of_runs(spark):
     for name in ("", "../x", "a/b", ".hidden"):
         with pytest.raises(ValueError):
